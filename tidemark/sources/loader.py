@@ -15,6 +15,7 @@ MODES = ("CREATE", "REPLACE", "APPEND")
 ROWS_PER_FILE = 2_000_000
 LOADED_AT = "uploadTimestampUTC"
 DRY_RUN_ROWS = 5
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -106,9 +107,13 @@ def _overwrite(rows: DataFrame, table: str, dynamic: bool = False) -> None:
     staging = scratch_path(spark, "staging")
     rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(staging)
     staged = spark.read.schema(rows.schema).parquet(staging)
-    writer = staged.write.option("maxRecordsPerFile", ROWS_PER_FILE)
-    writer = writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-    writer.insertInto(table, overwrite=True)
+    # insertInto follows the session setting, not a writer option.
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic" if dynamic else "static")
+    try:
+        staged.write.option("maxRecordsPerFile", ROWS_PER_FILE).insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
     spark.catalog.refreshTable(table)
 
 
