@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import value_positions
-from tidemark.operators.skew import join_same, lookup_join
+from tidemark.operators.ranking import ONE_TASK_ROWS, with_positions
+from tidemark.operators.skew import join_same
 from tidemark.session import materialize
 
 
@@ -78,7 +78,12 @@ def last_by(value: str, *order: str) -> Column:
 
 
 def numbered_parts(
-    df: DataFrame, keys: Sequence[str], order_by: str, size: int, descending: bool = False
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: str,
+    size: int,
+    descending: bool = False,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Adds ``part`` and ``part_split`` so that a (group, part, split) holds about ``size`` rows.
 
@@ -89,17 +94,14 @@ def numbered_parts(
     number = F.col(order_by).cast("double")
     last = F.lit(float("-inf") if descending else float("inf"))
     placed = df.withColumn("_order", F.coalesce(number, last))
-    positions = value_positions(placed, keys, "_order", descending)
-    found = positions.select(
-        *keys,
-        "_order",
-        "_ties",
-        F.floor(F.col("_before") / size).alias("part"),
-        F.ceil(F.col("_ties") / size).alias("_splits"),
-    )
-    joined = lookup_join(placed, materialize(found, "parts"), [*keys, "_order"], "_ties")
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    return joined.withColumn("part_split", F.pmod(row_hash, F.col("_splits"))).drop("_splits", "_order")
+    splits = F.ceil(F.col("_ties") / size)
+    return (
+        with_positions(placed, keys, "_order", descending, one_task_rows)
+        .withColumn("part", F.floor(F.col("_before") / size))
+        .withColumn("part_split", F.when(splits > 1, F.pmod(row_hash, splits)).otherwise(0))
+        .drop("_order", "_ties", "_before")
+    )
 
 
 def nested_parts(
@@ -111,12 +113,13 @@ def nested_parts(
     name: str = "rows",
     descending: bool = False,
     tie_break: Sequence[tuple[str, bool]] = (),
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Rows nested into ordered lists of about ``size``, as many lists per group as it takes.
 
     ``tie_break`` is (column, descending) applied among rows with equal ``order_by`` in a list.
     """
-    parts = numbered_parts(df, keys, order_by, size, descending)
+    parts = numbered_parts(df, keys, order_by, size, descending, one_task_rows)
     order = [_ordered_key(order_by, descending), *[_ordered_key(c, d) for c, d in tie_break]]
     entry = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.struct(*columns).alias("row"))
     ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["row"])
@@ -137,14 +140,17 @@ def text_digest(
     sep: str,
     descending: bool = False,
     tie_break: Sequence[tuple[str, bool]] = (),
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """All texts of a group joined in order, NULL texts left out.
 
     One row per group while it has up to ``size`` texts; a larger group continues in further
     parts, which read in order make up the whole.
     """
-    kept = df.withColumn("_text", text).where(F.col("_text").isNotNull())
-    nested = nested_parts(kept, keys, order_by, size, ["_text"], "_rows", descending, tie_break)
+    ties = [c for c, _ in tie_break if c not in keys]
+    kept = df.select(*dict.fromkeys([*keys, order_by, *ties]), text.alias("_text")).where(F.col("_text").isNotNull())
+    kept = materialize(kept, "texts")
+    nested = nested_parts(kept, keys, order_by, size, ["_text"], "_rows", descending, tie_break, one_task_rows)
     joined = F.array_join(F.transform("_rows", lambda r: r["_text"]), sep)
     return nested.select(*keys, "part", "part_split", F.size("_rows").alias("num_texts"), joined.alias(name))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import bucket_carry, range_buckets, with_carry
+from tidemark.operators.ranking import ONE_TASK_ROWS, bucket_carry, range_buckets, with_carry
 from tidemark.operators.skew import lookup_join
 from tidemark.session import materialize
 
@@ -34,6 +34,7 @@ def latest_before(
     left_time: str,
     right_time: str,
     strict: bool = True,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """For each left row the right rows with the latest time before it, per key.
 
@@ -58,7 +59,7 @@ def latest_before(
     both = asked.withColumn("_side", F.lit(side)).unionByName(
         given.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
-    both = range_buckets(materialize(both, "asof-times"), keys, "_t")
+    both = range_buckets(materialize(both, "asof-times"), keys, "_t", one_task_rows=one_task_rows)
     right_t = F.when(F.col("_side") == 1, F.col("_t"))
     carry = bucket_carry(both, keys, F.max(right_t))
     upto = Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side").rowsBetween(

@@ -1,7 +1,8 @@
 """Ranks with the tie rules of statistics packages, at any group size.
 
 ``tie_ranks`` uses a plain window and suits aggregated frames whose groups are small by
-nature. ``value_positions`` and what builds on it never put a whole group in one task.
+nature. ``with_positions`` and what builds on it use a window only for a frame counted to be
+small, and otherwise never put a whole group in one task.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from tidemark.session import materialize
 
 HOT_GROUPS = 64
 CUTS = 64
+# A frame of this many rows may be sorted by one task.
+ONE_TASK_ROWS = 1_000_000
 
 
 def tie_ranks(value: str, partition: Sequence[str], prefix: str, method: str = "min") -> dict[str, Column]:
@@ -50,15 +53,20 @@ def _as_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def range_buckets(df: DataFrame, keys: list[str], value: str, descending: bool = False) -> DataFrame:
+def range_buckets(
+    df: DataFrame, keys: list[str], value: str, descending: bool = False, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Adds ``_bucket``: consecutive value ranges of the groups with most rows, else 0.
 
     The ``HOT_GROUPS`` largest groups get up to ``CUTS`` ranges each from an approximate
     quantile sketch; every other group is below one part in ``HOT_GROUPS`` of the rows. The cut points
     (at most ``HOT_GROUPS * CUTS`` numbers) come to the driver once, so all branches that
-    read the result agree on them. Equal values always share a bucket. ``df`` is read
-    twice: pass a materialised one.
+    read the result agree on them. Equal values always share a bucket. A frame of up to
+    ``one_task_rows`` rows is left in one bucket. ``df`` is read several times: pass a
+    materialised one.
     """
+    if df.count() <= one_task_rows:
+        return df.withColumn("_bucket", F.lit(0))
     number = _as_number(df, value)
     shares = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
     sketch = df.groupBy(*keys).agg(
@@ -94,19 +102,20 @@ def with_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def value_positions(
-    df: DataFrame, keys: Sequence[str], value: str, descending: bool = False, weight: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    descending: bool = False,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Distinct values per group with ``_ties`` (rows holding it) and ``_before`` (rows ahead).
 
     Rows are first counted per distinct value, with a map-side combine. The counts of a hot
     group are then summed range by range, and each range adds what the earlier ones hold.
-    ``weight`` names a count column when ``df`` is already aggregated.
     """
     keys = list(keys)
-    rows = F.sum(weight) if weight else F.count(F.lit(1))
-    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(rows.alias("_ties"))
-    counts = materialize(counts, "value-counts")
-    bucketed = range_buckets(counts, keys, value, descending)
+    counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_ties"))
+    bucketed = range_buckets(materialize(counts, "value-counts"), keys, value, descending, one_task_rows)
     carry = bucket_carry(bucketed, keys, F.sum("_ties"))
     order = F.desc(value) if descending else F.asc(value)
     ahead = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -116,8 +125,34 @@ def value_positions(
         lambda total, p: total + p["v"],
     )
     local = F.coalesce(F.sum("_ties").over(ahead), F.lit(0))
-    return with_carry(bucketed, carry, keys).select(
-        *keys, value, "_ties", (local + earlier).alias("_before")
+    placed = with_carry(bucketed, carry, keys).select(*keys, value, "_ties", (local + earlier).alias("_before"))
+    return materialize(placed, "positions")
+
+
+def with_positions(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    descending: bool = False,
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> DataFrame:
+    """Each row with ``_before`` (rows of its group ahead of it) and ``_ties`` (rows level with it).
+
+    Rows with a NULL value have NULLs. ``df`` is read several times: pass a table or a
+    materialised frame.
+    """
+    keys = list(keys)
+    if df.count() > one_task_rows:
+        positions = value_positions(df, keys, value, descending, one_task_rows)
+        return lookup_join(df, positions, [*keys, value], "_ties", keep_weight=True)
+    v = F.col(value)
+    ordered = Window.partitionBy(*keys).orderBy(v.desc_nulls_last() if descending else v.asc_nulls_last())
+    ties = F.count(F.lit(1)).over(Window.partitionBy(*keys, value))
+    return df.withColumns(
+        {
+            "_ties": F.when(v.isNotNull(), ties),
+            "_before": F.when(v.isNotNull(), F.rank().over(ordered).cast("long") - 1),
+        }
     )
 
 
@@ -129,39 +164,39 @@ def scaled_rank(
     descending: bool = False,
     method: str = "min",
     num_at_rank: str | None = None,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``tie_ranks`` for groups of any size, down to one group that is the whole table."""
-    keys = list(keys)
-    positions = value_positions(df, keys, value, descending)
+    placed = with_positions(df, keys, value, descending, one_task_rows)
     number = F.col("_before") + 1
     if method == "average":
         number = number + (F.col("_ties") - 1) / F.lit(2.0)
-    found = positions.withColumn(rank, number)
+    ranked = placed.withColumn(rank, number)
     if num_at_rank:
-        found = found.withColumn(num_at_rank, F.col("_ties"))
-    found = materialize(found.drop("_before"), "positions")
-    return lookup_join(df, found, [*keys, value], "_ties")
+        ranked = ranked.withColumn(num_at_rank, F.col("_ties"))
+    return ranked.drop("_before", "_ties")
 
 
-def group_slices(df: DataFrame, groups: int, order_by: str) -> DataFrame:
+def group_slices(df: DataFrame, groups: int, order_by: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """Adds ``upload_group``: 1 to ``groups``, rows split evenly in ``order_by`` order.
 
     ``order_by`` should be unique; rows with equal values share a slice.
     """
     total = df.where(F.col(order_by).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    positions = value_positions(df, [], order_by)
+    placed = with_positions(df, [], order_by, one_task_rows=one_task_rows)
     slice_no = F.ceil((F.col("_before") + 1) / total * groups).cast("int")
-    found = materialize(positions.select(order_by, "_ties", slice_no.alias("upload_group")), "slices")
-    return lookup_join(df, found, [order_by], "_ties")
+    return placed.withColumn("upload_group", slice_no).drop("_before", "_ties")
 
 
-def five_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def five_numbers(
+    df: DataFrame, keys: Sequence[str], value: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Minimum, quartiles and maximum per group, exact, with linear interpolation.
 
     Only the values at the wanted positions are kept, so a group is never gathered.
     """
     keys = list(keys)
-    positions = materialize(value_positions(df, keys, value), "positions")
+    positions = value_positions(df, keys, value, one_task_rows=one_task_rows)
     totals = positions.groupBy(*keys).agg(F.sum("_ties").alias("_total"))
     if keys:
         placed = join_same(positions, totals, keys, "inner")

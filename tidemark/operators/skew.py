@@ -28,6 +28,7 @@ def lookup_join(
     weight: str,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
+    keep_weight: bool = False,
 ) -> DataFrame:
     """Left join ``df`` to ``lookup`` on ``keys``; NULL keys match each other.
 
@@ -35,8 +36,12 @@ def lookup_join(
     heaviest keys are spread over ``salts`` partitions and the matching lookup rows are
     repeated once per salt, so no key is one task. At most ``HOT_KEYS`` keys are heavy, which
     bounds the broadcast; any other key has less than one part in ``HOT_KEYS`` of the rows.
-    ``lookup`` is read twice: pass a materialised one.
+    Without a heavy key it is a plain join. ``lookup`` is read several times: pass a
+    materialised one.
     """
+    heaviest = lookup.agg(F.max(weight)).first()[0]
+    if heaviest is None or heaviest < hot_rows:
+        return join_same(df, lookup if keep_weight else lookup.drop(weight), keys)
     hot = (
         lookup.where(F.col(weight) >= hot_rows)
         .select(*keys, weight)
@@ -48,7 +53,8 @@ def lookup_join(
     spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
     left = _flag(df, hot, keys).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = _flag(lookup, hot, keys).withColumn("_salt", F.explode(copies)).drop("_hot", weight)
+    right = _flag(lookup, hot, keys).withColumn("_salt", F.explode(copies)).drop("_hot")
+    right = right if keep_weight else right.drop(weight)
     return join_same(left, right, [*keys, "_salt"]).drop("_hot", "_salt")
 
 

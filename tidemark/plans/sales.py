@@ -19,7 +19,7 @@ CATEGORY = ["category", "category_name"]
 ITEM = ["category_name", "item_description"]
 
 
-def item_months(
+def sales_facts(
     sales: DataFrame,
     items: DataFrame,
     day: str,
@@ -29,24 +29,29 @@ def item_months(
     as_of: dt.date,
     start: dt.date | None = None,
 ) -> DataFrame:
-    """Monthly sums per item with the item's columns.
+    """Sales of complete months with the month's first day and the item's columns.
 
-    Sales are summed per (month, item) before they meet the item table, so a best-selling item
-    is a few dozen rows in that join, not a large part of the facts.
+    The planner sends the item table out whole if its size allows. Beyond that it shuffles both
+    sides, and the partition of a best-selling item is split while the query runs.
     """
     kept = sales.where(before_month_of(day, as_of))
     if start is not None:
         kept = kept.where(F.col(day) >= F.lit(start))
-    months = kept.groupBy(month_key(day).alias("month"), F.col(item).alias("item_id")).agg(
-        F.sum(volume).alias("volume"), F.sum(dollars).alias("dollars")
+    facts = kept.select(
+        F.trunc(F.to_date(day), "MM").alias("month_start"),
+        F.col(item).alias("item_id"),
+        F.col(volume).alias("volume"),
+        F.col(dollars).alias("dollars"),
     )
-    return months.join(items, "item_id", "left")
+    return facts.join(items, "item_id", "left")
 
 
-def monthly_by_category(months: DataFrame) -> DataFrame:
-    return months.groupBy("month", *CATEGORY).agg(
+def monthly_by_category(facts: DataFrame) -> DataFrame:
+    """Sums by month and category; the month is turned into text after the rows are summed."""
+    sums = facts.groupBy("month_start", *CATEGORY).agg(
         F.sum("volume").alias("category_monthly_volume"), F.sum("dollars").alias("category_monthly_dollars")
     )
+    return sums.withColumn("month", month_key("month_start")).select("month", *CATEGORY, *sums.columns[3:])
 
 
 def top_categories(monthly: DataFrame, n: int = 20, drop_null_keys: bool = False) -> DataFrame:
@@ -96,14 +101,14 @@ def category_correlation(shares: DataFrame, min_months: int = 24, min_pct: float
     )
 
 
-def described(months: DataFrame) -> DataFrame:
-    return months.where(F.col("category_name").isNotNull() & F.col("item_description").isNotNull())
+def described(facts: DataFrame) -> DataFrame:
+    return facts.where(F.col("category_name").isNotNull() & F.col("item_description").isNotNull())
 
 
-def item_features(months: DataFrame) -> DataFrame:
+def item_features(facts: DataFrame) -> DataFrame:
     """Tokens, volume, unit price and fourth-quarter share per described item."""
-    fourth = F.substring("month", 6, 2).isin("10", "11", "12")
-    sums = described(months).groupBy(*ITEM).agg(
+    fourth = F.month("month_start").isin(10, 11, 12)
+    sums = described(facts).groupBy(*ITEM).agg(
         F.sum("volume").alias("total_item_volume"),
         safe_ratio(F.sum("dollars"), F.sum("volume")).alias("avg_dollars_per_unit"),
         percent(sum_if(fourth, "volume"), F.sum("volume")).alias("pct_item_volume_q4"),
@@ -113,10 +118,10 @@ def item_features(months: DataFrame) -> DataFrame:
     )
 
 
-def dearest_items(months: DataFrame, n: int = 10, tokens: bool = False) -> DataFrame:
+def dearest_items(facts: DataFrame, n: int = 10, tokens: bool = False) -> DataFrame:
     """The items with the highest unit price, ordered by a figure that is not returned."""
     price = safe_ratio(F.sum("dollars"), F.sum("volume"))
-    ranked = described(months).groupBy(*ITEM).agg(price.alias("_price"))
+    ranked = described(facts).groupBy(*ITEM).agg(price.alias("_price"))
     top = ranked.orderBy(F.desc_nulls_last("_price"), *ITEM).limit(n).drop("_price")
     if tokens:
         top = top.withColumns(

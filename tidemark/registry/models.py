@@ -32,7 +32,7 @@ def _once(name, spark, sf, make):
 
 def _clustered(spark, sf):
     def make():
-        items = materialize(sales_plan.item_features(sales._months(spark, sf, by="p_type")), "items")
+        items = materialize(sales_plan.item_features(sales._facts(spark, sf, by="p_type")), "items")
         return items, learning.fit_clusters(items, TOKENS, NUMBERS)
 
     return _once("clusters", spark, sf, make)

@@ -19,7 +19,7 @@ TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 TYPE_RULES = [("^small|^medium", "Compact"), ("large", "Big"), ("promo|economy", "Value"), ("a", "Other")]
 
 
-def _months(spark: SparkSession, sf: str, start: dt.date | None = None, by: str = "p_brand") -> DataFrame:
+def _facts(spark: SparkSession, sf: str, start: dt.date | None = None, by: str = "p_brand") -> DataFrame:
     items = read_table(spark, sf, "part").select(
         F.col("p_partkey").alias("item_id"),
         F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("category"),
@@ -27,11 +27,11 @@ def _months(spark: SparkSession, sf: str, start: dt.date | None = None, by: str
         F.col("p_name").alias("item_description"),
     )
     lines = read_table(spark, sf, "lineitem")
-    return plan.item_months(lines, items, "l_shipdate", "l_partkey", "l_quantity", "l_extendedprice", AS_OF, start)
+    return plan.sales_facts(lines, items, "l_shipdate", "l_partkey", "l_quantity", "l_extendedprice", AS_OF, start)
 
 
 def _monthly(spark: SparkSession, sf: str) -> DataFrame:
-    return plan.monthly_by_category(_months(spark, sf))
+    return plan.monthly_by_category(_facts(spark, sf))
 
 
 def sales_monthly_by_category(spark, sf):
@@ -55,7 +55,7 @@ def sales_chosen_category_series(spark, sf):
 
 
 def _correlation(spark, sf, by="p_brand"):
-    monthly = plan.monthly_by_category(_months(spark, sf, START, by))
+    monthly = plan.monthly_by_category(_facts(spark, sf, START, by))
     return plan.category_correlation(plan.month_shares(monthly))
 
 
@@ -71,14 +71,14 @@ def sales_category_correlation(spark, sf):
 
 
 def sales_correlation_matrix(spark, sf):
-    months = _months(spark, sf, START, "p_type").withColumn("category", F.lit(0))
-    corr = plan.category_correlation(plan.month_shares(plan.monthly_by_category(months)))
+    facts = _facts(spark, sf, START, "p_type").withColumn("category", F.lit(0))
+    corr = plan.category_correlation(plan.month_shares(plan.monthly_by_category(facts)))
     matrix = mean_matrix(corr, "category_name1", "category_name2", "category_corr_across_months", TYPES)
     return rounded(matrix, {c: 6 for c in TYPES})
 
 
 def sales_item_features(spark, sf):
-    features = plan.item_features(_months(spark, sf, by="p_type"))
+    features = plan.item_features(_facts(spark, sf, by="p_type"))
     joined = features.withColumns(
         {"cat_tokens": F.array_join("cat_tokens", " "), "item_tokens": F.array_join("item_tokens", " ")}
     )
@@ -86,11 +86,11 @@ def sales_item_features(spark, sf):
 
 
 def sales_item_price_top10(spark, sf):
-    return plan.dearest_items(_months(spark, sf, by="p_type"))
+    return plan.dearest_items(_facts(spark, sf, by="p_type"))
 
 
 def sales_item_tokens_top10(spark, sf):
-    top = plan.dearest_items(_months(spark, sf, by="p_type"), tokens=True)
+    top = plan.dearest_items(_facts(spark, sf, by="p_type"), tokens=True)
     return top.withColumns(
         {"cat_tokens": F.array_join("cat_tokens", " "), "item_tokens": F.array_join("item_tokens", " ")}
     )

@@ -23,25 +23,26 @@ TOTAL = 10_000.0
 CORRELATED = ["gold", "medals", "medal_share", "medal_share_prev", "gdp_scaled", "population_scaled"]
 
 
-def _customer_years(spark, sf) -> DataFrame:
-    """Orders per customer, year and priority: summed before any join."""
-    priority = F.col("o_orderpriority")
-    return read_table(spark, sf, "orders").groupBy(
-        F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year")
-    ).agg(
-        F.count_if(priority == "1-URGENT").alias("gold"),
-        F.count_if(priority == "2-HIGH").alias("silver"),
-        F.count_if(priority == "3-MEDIUM").alias("bronze"),
+def _medal_counts() -> list:
+    kinds = zip(plan.MEDALS, ("1-URGENT", "2-HIGH", "3-MEDIUM"))
+    return [F.count_if(F.col("o_orderpriority") == kind).alias(medal) for medal, kind in kinds]
+
+
+def _orders(spark, sf) -> DataFrame:
+    return read_table(spark, sf, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.year("o_orderdate").alias("year"), "o_orderpriority"
     )
 
 
+def _customer_years(spark, sf) -> DataFrame:
+    return _orders(spark, sf).groupBy("c_custkey", "year").agg(*_medal_counts())
+
+
 def results(spark, sf) -> DataFrame:
     """A nation appears in a year if it won something; neighbouring nations share a group."""
     customers = read_table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
     nations = read_table(spark, sf, "nation")
-    won = _customer_years(spark, sf).join(customers, "c_custkey").groupBy("n_nationkey", "year").agg(
-        *[F.sum(m).alias(m) for m in plan.MEDALS]
-    )
+    won = _orders(spark, sf).join(customers, "c_custkey").groupBy("n_nationkey", "year").agg(*_medal_counts())
     named = won.join(nations, "n_nationkey").where(F.col("gold") + F.col("silver") + F.col("bronze") > 0)
     return named.select(
         "year",
