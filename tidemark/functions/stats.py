@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import _col
@@ -25,10 +25,12 @@ def weighted_mean(value: Column | str, weight: Column | str) -> Column:
     return safe_ratio(F.sum(_col(value) * _col(weight)), F.sum(_col(weight)))
 
 
-def strict_sum(value: Column | str) -> Column:
-    """Sum that is NULL as soon as one value of the group is NULL."""
+def strict_sum(value: Column | str, over: WindowSpec | None = None) -> Column:
+    """Sum that is NULL as soon as one value of the group (or window) is NULL."""
     v = _col(value)
-    return F.when(F.count(v) == F.count(F.lit(1)), F.sum(v))
+    parts = [F.count(v), F.count(F.lit(1)), F.sum(v)]
+    known, rows, total = [p.over(over) for p in parts] if over is not None else parts
+    return F.when(known == rows, total)
 
 
 def safe_corr(x: Column | str, y: Column | str) -> Column:

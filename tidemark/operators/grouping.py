@@ -23,7 +23,8 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], *aggregates: Column) -
     """Each row with aggregates of its group.
 
     Partial sums and a join with the (small) group table instead of a window, which would
-    sort every group in one task. NULL group keys form a group.
+    sort every group in one task. NULL group keys form a group. ``df`` is read twice: pass a
+    table or a materialised frame.
     """
     keys = list(keys)
     totals = df.groupBy(*keys).agg(*aggregates)

@@ -14,6 +14,7 @@ from tidemark.functions.scalars import before_month_of, month_key, word_tokens
 from tidemark.functions.stats import percent, safe_corr, safe_ratio, sum_if
 from tidemark.operators.grouping import top_groups, with_group_totals
 from tidemark.operators.joins import in_frame
+from tidemark.session import materialize
 
 CATEGORY = ["category", "category_name"]
 ITEM = ["category_name", "item_description"]
@@ -59,9 +60,10 @@ def top_categories(monthly: DataFrame, n: int = 20, drop_null_keys: bool = False
     return top_groups(monthly, CATEGORY, total, "total_volume", n, drop_null_keys)
 
 
-def series_of(monthly: DataFrame, categories: DataFrame) -> DataFrame:
-    """Monthly rows of the categories named in another frame (a top list)."""
-    return in_frame(monthly, categories, ["category_name"])
+def top_series(monthly: DataFrame, n: int) -> DataFrame:
+    """Monthly rows of the top categories."""
+    monthly = materialize(monthly, "monthly")
+    return in_frame(monthly, top_categories(monthly, n), ["category_name"])
 
 
 def series_of_names(monthly: DataFrame, names: list[str], first_month: str) -> DataFrame:
@@ -70,6 +72,7 @@ def series_of_names(monthly: DataFrame, names: list[str], first_month: str) -> D
 
 def month_shares(monthly: DataFrame) -> DataFrame:
     """Each category's percentage of its month; the month total comes from the same sums."""
+    monthly = materialize(monthly, "monthly")
     totals = with_group_totals(monthly, ["month"], F.sum("category_monthly_volume").alias("total_monthly_volume"))
     return totals.withColumn("pct", percent("category_monthly_volume", "total_monthly_volume"))
 

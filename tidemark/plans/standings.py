@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import ordinal, text_or_na, tied_note
 from tidemark.functions.stats import safe_ratio, strict_sum
-from tidemark.operators.grouping import last_by, standardize, with_group_totals
+from tidemark.operators.grouping import last_by, standardize
 from tidemark.operators.joins import latest_before, left_lookup
 from tidemark.operators.learning import predict, scale_to_total
 from tidemark.operators.ranking import tie_ranks, unique_rank
@@ -67,16 +67,17 @@ def panel(results: DataFrame, open_year: int) -> DataFrame:
 
 
 def with_shares(totals: DataFrame) -> DataFrame:
-    ranked = totals.withColumns(tie_ranks("medals", ["year"], "medals"))
-    shared = with_group_totals(ranked, ["year"], strict_sum("medals").alias("yr_tot_medals"))
-    shared = shared.withColumn("medal_share", safe_ratio("medals", "yr_tot_medals"))
+    """Ranks, year totals, shares and earlier shares; a year has one row per country."""
+    year_total = strict_sum("medals", Window.partitionBy("year"))
+    ranked = totals.withColumns({**tie_ranks("medals", ["year"], "medals"), "yr_tot_medals": year_total})
+    shared = ranked.withColumn("medal_share", safe_ratio("medals", "yr_tot_medals"))
     history = Window.partitionBy("country_group").orderBy("year", "country")
     return shared.withColumns({name: F.lag("medal_share", n + 1).over(history) for n, name in enumerate(LAGS)})
 
 
 def scaled_indicators(indicators: DataFrame) -> DataFrame:
     """Indicators in standard deviations from the mean of their year."""
-    return standardize(indicators, ["gdp", "population", "gdp_per_capita"], ["indicator_year"])
+    return standardize(materialize(indicators, "indicators"), ["gdp", "population", "gdp_per_capita"], ["indicator_year"])
 
 
 def with_latest_indicators(rows: DataFrame, indicators: DataFrame) -> DataFrame:
@@ -103,7 +104,7 @@ def model_rows(rows: DataFrame, train: int, test: int, target: int, target_total
 
 def forecast(rows: DataFrame, model, predictors: Sequence[str] = PREDICTORS) -> DataFrame:
     """Predicted shares scaled to each year's medals, ranked, with a text for display."""
-    scored = predict(model, rows, predictors, "pred_medal_share")
+    scored = materialize(predict(model, rows, predictors, "pred_medal_share"), "predictions")
     scored = scale_to_total(scored, "pred_medal_share", "yr_tot_medals", ["year"], "norm_pred_medal_share", "pred_medals")
     ranked = scored.withColumns(tie_ranks("pred_medals", ["year"], "pred_medals"))
     return ranked.withColumn("pred_medals_text", forecast_text())
@@ -111,7 +112,8 @@ def forecast(rows: DataFrame, model, predictors: Sequence[str] = PREDICTORS) ->
 
 def forecast_text():
     share = F.format_string("%.2f%%", F.col("pred_medal_share") * 100)
-    amount = F.coalesce(F.format_string("%.1f", F.col("pred_medals")), F.lit("NA"))
+    known = F.col("pred_medals").isNotNull()
+    amount = F.when(known, F.format_string("%.1f", F.col("pred_medals"))).otherwise("NA")
     return F.concat(
         F.col("year").cast("string"), F.lit(" "), F.col("country"),
         F.lit("\nPredicted Medal Share: "), share,

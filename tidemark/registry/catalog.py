@@ -152,21 +152,19 @@ def _vectors(spark, sf):
 
 def vector_topk(spark, sf):
     base = _vectors(spark, sf)
-    found = nearest(base, base, "vec_id", "embedding", 10)
-    return found.withColumn("distance", F.round("distance", 6) + F.lit(0.0))
+    return nearest(base, base, "vec_id", "embedding", 10)
 
 
 def vector_topk_blocks(spark, sf):
     """The same search through many small cells; the result must not depend on them."""
     base = _vectors(spark, sf)
-    found = nearest(base, base, "vec_id", "embedding", 10, block_rows=256)
-    return found.withColumn("distance", F.round("distance", 6) + F.lit(0.0))
+    return nearest(base, base, "vec_id", "embedding", 10, block_rows=256)
 
 
 def similarity_scores(spark, sf):
     base = _vectors(spark, sf)
     pairs = nearest(base, base, "vec_id", "embedding", 20, keep_self=True)
-    return rounded(score_pairs(pairs, "description"), {"description_score": 6, "description_distance": 6})
+    return rounded(score_pairs(pairs, "description"), {"description_score": 6})
 
 
 def product_pairs(spark, sf):
@@ -176,7 +174,7 @@ def product_pairs(spark, sf):
     first = score_pairs(nearest(base, base, "vec_id", "embedding", 5, keep_self=True), "full")
     second = score_pairs(nearest(halves, halves, "vec_id", "half", 5, keep_self=True), "half")
     pairs = pair_table(base.select("vec_id", "label"), "vec_id", [first, second])
-    return rounded(pairs, {"full_distance": 6, "half_distance": 6, "full_score": 6, "half_score": 6})
+    return rounded(pairs, {"full_score": 6, "half_score": 6})
 
 
 QUERIES = {
@@ -273,7 +271,7 @@ def _scored(prefix: str, source: str, k: int) -> str:
     return f"""
 {prefix}_top AS (SELECT * FROM {source} QUALIFY row_number() OVER (PARTITION BY q ORDER BY d, b) <= {k}),
 {prefix}_s AS (
-  SELECT q AS query_key, b AS base_key, round(d, 6) + 0.0 AS {prefix}_distance,
+  SELECT q AS query_key, b AS base_key, d + 0.0 AS {prefix}_distance,
          rank() OVER (ORDER BY d) AS {prefix}_ovr_rk, count(*) OVER () AS {prefix}_ovr_num,
          round((count(*) OVER () - rank() OVER (ORDER BY d) + 0.5) / count(*) OVER () * 100, 6) AS {prefix}_score,
          CASE WHEN q <> b THEN CAST(rank() OVER (PARTITION BY q, q = b ORDER BY d) AS INTEGER) END AS {prefix}_query_rk
@@ -282,7 +280,7 @@ def _scored(prefix: str, source: str, k: int) -> str:
 
 
 _TOPK = f"""WITH {_pairs()}
-SELECT q AS query_key, b AS base_key, round(d, 6) + 0.0 AS distance,
+SELECT q AS query_key, b AS base_key, d + 0.0 AS distance,
        CAST(row_number() OVER (PARTITION BY q ORDER BY d, b) AS INTEGER) AS neighbor_rk
 FROM pairs WHERE q <> b QUALIFY row_number() OVER (PARTITION BY q ORDER BY d, b) <= 10"""
 

@@ -43,8 +43,7 @@ def sales_top_categories(spark, sf):
 
 
 def sales_top_category_series(spark, sf):
-    monthly = _monthly(spark, sf)
-    series = plan.series_of(monthly, plan.top_categories(monthly, 5)).select("month", "category_name", "category_monthly_volume")
+    series = plan.top_series(_monthly(spark, sf), 5).select("month", "category_name", "category_monthly_volume")
     return rounded(series.orderBy("month", "category_name"), {"category_monthly_volume": 2})
 
 

@@ -130,9 +130,9 @@ def customer_year_rank(spark, sf):
     years = materialize(
         _customer_years(spark, sf).withColumn("orders", F.col("gold") + F.col("silver") + F.col("bronze")), "customer-years"
     )
-    ranked = scaled_rank(years, ["year"], "orders", "order_rk", descending=True, num_at_rank="num_at_rk")
-    shared = with_group_totals(ranked, ["year"], F.sum("orders").alias("year_orders"))
-    return shared.select("c_custkey", "year", "orders", "order_rk", "num_at_rk", "year_orders")
+    shared = with_group_totals(years, ["year"], F.sum("orders").alias("year_orders"))
+    ranked = scaled_rank(shared, ["year"], "orders", "order_rk", descending=True, num_at_rank="num_at_rk")
+    return ranked.select("c_custkey", "year", "orders", "order_rk", "num_at_rk", "year_orders")
 
 
 def indicators_scaled(spark, sf):
