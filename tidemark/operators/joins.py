@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import ONE_TASK_ROWS, bucket_carry, range_buckets, with_carry
-from tidemark.operators.skew import lookup_join
+from tidemark.operators.skew import HOT_ROWS, join_same, lookup_join
 from tidemark.session import materialize
 
 
@@ -59,7 +59,10 @@ def latest_before(
     both = asked.withColumn("_side", F.lit(side)).unionByName(
         given.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
-    both = range_buckets(materialize(both, "asof-times"), keys, "_t", one_task_rows=one_task_rows)
+    both = materialize(both, "asof-times")
+    rows, heaviest = both.agg(F.count(F.lit(1)), F.max("_rows")).first()
+    small = rows <= one_task_rows
+    both = both.withColumn("_bucket", F.lit(0)) if small else range_buckets(both, keys, "_t", one_task_rows=0)
     right_t = F.when(F.col("_side") == 1, F.col("_t"))
     carry = bucket_carry(both, keys, F.max(right_t))
     upto = Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side").rowsBetween(
@@ -76,6 +79,8 @@ def latest_before(
     )
     found = matched.join(right.withColumn("_match", F.col(right_time)), [*keys, "_match"], "left")
     found = found.drop("_match").withColumnRenamed("_t", left_time)
+    if small and (heaviest or 0) < HOT_ROWS:
+        return join_same(left, found.drop("_rows"), [*keys, left_time])
     return lookup_join(left, materialize(found, "asof-match"), [*keys, left_time], "_rows")
 
 

@@ -26,7 +26,7 @@ def lookup_join(
     lookup: DataFrame,
     keys: list[str],
     weight: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     salts: int = SALTS,
     keep_weight: bool = False,
 ) -> DataFrame:
@@ -39,6 +39,7 @@ def lookup_join(
     Without a heavy key it is a plain join. ``lookup`` is read several times: pass a
     materialised one.
     """
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     heaviest = lookup.agg(F.max(weight)).first()[0]
     if heaviest is None or heaviest < hot_rows:
         return join_same(df, lookup if keep_weight else lookup.drop(weight), keys)

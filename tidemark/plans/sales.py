@@ -80,7 +80,8 @@ def month_shares(monthly: DataFrame) -> DataFrame:
 def category_correlation(shares: DataFrame, min_months: int = 24, min_pct: float = 1.0) -> DataFrame:
     """Correlation of every ordered pair of categories over the months both were sold in.
 
-    A pair counts when both average ``min_pct`` over at least ``min_months`` shared months.
+    ``shares`` has one row per month and category, so the rows of a pair are its shared months.
+    A pair counts when both average ``min_pct`` over at least ``min_months`` of them.
     Such a category has percentages adding up to ``min_months * min_pct`` or more, so others
     leave before the self-join. As a month's percentages add up to 100, at most
     ``100 * months / (min_months * min_pct)`` categories stay, however many there are.
@@ -88,11 +89,12 @@ def category_correlation(shares: DataFrame, min_months: int = 24, min_pct: float
     weight = with_group_totals(shares, CATEGORY, F.sum(F.greatest("pct", F.lit(0.0))).alias("_weight"))
     # The margin covers rounding of the sum; the exact test follows on each pair.
     strong = weight.where(F.col("_weight") >= min_months * min_pct * (1 - 1e-9)).select("month", *CATEGORY, "pct")
+    strong = materialize(strong, "strong-categories")
     a = strong.select("month", *[F.col(c).alias(f"{c}1") for c in CATEGORY], F.col("pct").alias("pct1"))
     b = strong.select("month", *[F.col(c).alias(f"{c}2") for c in CATEGORY], F.col("pct").alias("pct2"))
     names = [f"{c}{i}" for i in (1, 2) for c in CATEGORY]
     pairs = a.join(b, "month").groupBy(*names).agg(
-        F.count_distinct("month").alias("num_months"),
+        F.count(F.lit(1)).alias("num_months"),
         safe_corr("pct1", "pct2").alias("category_corr_across_months"),
         F.avg("pct1").alias("category1_avg_pct_of_month_volume"),
         F.avg("pct2").alias("category2_avg_pct_of_month_volume"),

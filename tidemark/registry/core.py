@@ -86,7 +86,8 @@ def nation_profile(spark, sf):
     """The same profile by another column, sorted by it."""
     customers = read_table(spark, sf, "customer").where(F.col("c_acctbal") > 0)
     averages = profile_by(
-        customers, "c_nationkey", F.count(F.lit(1)).alias("num_customers"), F.avg("c_acctbal").alias("avg_balance")
+        customers, "c_nationkey", F.count(F.lit(1)).alias("num_customers"), F.avg("c_acctbal").alias("avg_balance"),
+        F.count_distinct("c_mktsegment").alias("num_segments"),
     )
     return averages.withColumn("avg_balance", F.round("avg_balance", 4)).orderBy("c_nationkey")
 
@@ -171,9 +172,9 @@ SELECT o_orderkey, o_orderstatus, o_orderdate,
        round(CASE WHEN year(o_orderdate) >= 1999 THEN o_totalprice + 1 ELSE o_totalprice END, 2) AS o_totalprice FROM orders"""
 
 
-def _profile(column: str) -> str:
+def _profile(column: str, more: str = "") -> str:
     return f"""
-SELECT {column}, count(*) AS num_customers, round(avg(c_acctbal), 4) AS avg_balance
+SELECT {column}, count(*) AS num_customers, round(avg(c_acctbal), 4) AS avg_balance{more}
 FROM customer WHERE c_acctbal > 0 GROUP BY {column}"""
 
 
@@ -187,7 +188,7 @@ SQL = {
 SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS num_orders FROM orders
 WHERE o_orderdate >= DATE '1998-01-01' AND o_totalprice > 100000 GROUP BY ALL""",
     "segment_profile": _profile("c_mktsegment"),
-    "nation_profile": _profile("c_nationkey"),
+    "nation_profile": _profile("c_nationkey", ", count(DISTINCT c_mktsegment) AS num_segments"),
     "upload_slices": """
 SELECT CAST(ceil(rn / n * 8) AS INTEGER) AS upload_group, count(*) AS num_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
 FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders) GROUP BY ALL""",
