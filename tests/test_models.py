@@ -112,7 +112,7 @@ def test_catalog_end_to_end(spark):
         [("p1", "ann", "2020-01-01", 5, "Good", 3, 0, "Yes"), ("p1", "bob", "2020-02-01", 1, None, 9, 0, "No"), ("p1", "cy", "2020-03-01", 3, "Ok", 3, 0, "Hm")],
         "key string, author string, date string, stars int, title string, helpful_yes long, helpful_no long, text string",
     ).withColumn("date", F.to_date("date"))
-    linked = catalog.with_links(products, {"bj": "B&J"}, "https://x", "s://x", "img")
+    linked = catalog.with_links(products, "https://x", "s://x", "img", {"bj": "B&J"})
     images = linked.where("key = 'p1'").select(F.col("image_uri").alias("uri"))
     summaries = catalog.with_review_summaries(catalog.review_digests(reviews), enrich.OfflineText)
     made = catalog.assemble(

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.prompts import NO_DESCRIPTION, NO_REVIEWS, alt_text_prompt, description_prompt, review_prompt
-from tidemark.functions.scalars import code_label, day_label, null_if_text, object_link, suffix_if_present
+from tidemark.functions.scalars import (
+    PRODUCT_BRAND_NAMES, code_label, day_label, null_if_text, object_link, suffix_if_present,
+)
 from tidemark.operators.enrich import EmbeddingProvider, GenerateOptions, TextProvider, embed, generate
 from tidemark.operators.grouping import text_digest
 from tidemark.operators.joins import left_lookup, outer_by_key
@@ -21,7 +23,9 @@ from tidemark.session import materialize
 REVIEWS_PER_PART = 10_000
 
 
-def with_links(products: DataFrame, brands: Mapping[str, str], web_root: str, store_root: str, folder: str) -> DataFrame:
+def with_links(
+    products: DataFrame, web_root: str, store_root: str, folder: str, brands: Mapping[str, str] = PRODUCT_BRAND_NAMES
+) -> DataFrame:
     """Brand name, display name and the links of the product picture."""
     return products.withColumns(
         {

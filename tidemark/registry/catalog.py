@@ -31,7 +31,7 @@ def products(spark, sf) -> DataFrame:
         F.col("text").alias("description"),
         F.when(F.col("n_chars") < 600, F.col("source")).alias("ingredients"),
     )
-    return plan.with_links(rows, BRANDS, WEB, STORE, FOLDER)
+    return plan.with_links(rows, WEB, STORE, FOLDER, BRANDS)
 
 
 def reviews(spark, sf) -> DataFrame:

@@ -11,6 +11,7 @@ from tidemark.operators import learning
 from tidemark.operators.attribution import attribute, attribution_text, attribution_wide
 from tidemark.operators.enrich import GenerateOptions, OfflineText, generate
 from tidemark.operators.joins import left_lookup
+from tidemark.operators.reshape import to_long
 from tidemark.plans import sales as sales_plan
 from tidemark.plans import standings as plan
 from tidemark.registry import sales, standings
@@ -55,6 +56,16 @@ def cluster_centroids(spark, sf):
     return learning.centroids(spark, _clustered(spark, sf)[1])
 
 
+def brand_profile(spark, sf):
+    """The cluster report for given groups: brands by the first digit of their number."""
+    items = sales_plan.item_features(sales._facts(spark, sf))
+    grouped = materialize(items.withColumn("cluster", F.regexp_extract("category_name", "([0-9])", 1)), "items")
+    report = learning.cluster_profile(
+        grouped, "cluster", "total_item_volume", NUMBERS, "item_description", "category_name"
+    )
+    return rounded(report, {"total_volume": 2, "avg_dollars_per_unit": 6, "pct_item_volume_q4": 6})
+
+
 def _rows(spark, sf) -> DataFrame:
     def make():
         rows = standings.panel_with_indicators(spark, sf)
@@ -69,6 +80,20 @@ def glm_coefficients(spark, sf):
     return learning.gaussian_coefficients(spark, model, plan.PREDICTORS)
 
 
+def glm_normal_equations(spark, sf):
+    """At the least-squares solution the residuals have no part along any predictor."""
+    rows = standings._analysed(spark, sf).select(
+        F.col("medal_share").cast("double"), *[F.col(c).cast("double").alias(c) for c in plan.PREDICTORS]
+    ).dropna()
+    model = learning.fit_gaussian(rows, "medal_share", plan.PREDICTORS)
+    fitted = F.lit(float(model.intercept))
+    for name, weight in zip(plan.PREDICTORS, model.coefficients):
+        fitted = fitted + F.col(name) * float(weight)
+    rest = rows.withColumns({"rest": F.col("medal_share") - fitted, "one": F.lit(1.0)})
+    moments = rest.agg(*[F.sum(F.col("rest") * F.col(c)).alias(c) for c in [*plan.PREDICTORS, "one"]])
+    return rounded(to_long(moments, [], [*plan.PREDICTORS, "one"], "term", "moment"), {"moment": 7})
+
+
 def glm_single_predictor(spark, sf):
     """With one predictor the coefficients are those of the least-squares line."""
     rows = standings._analysed(spark, sf)
@@ -120,6 +145,16 @@ def gbt_attribution(spark, sf):
     return _attribution(spark, sf).drop("_order")
 
 
+def gbt_attribution_adds_up(spark, sf):
+    """Base value and attributions of a row add up to its prediction."""
+    parts = _attribution(spark, sf).groupBy("year", "country").agg(
+        (F.sum("value") + F.first("base_value")).alias("total"), F.count(F.lit(1)).alias("num_predictors")
+    )
+    both = _forecast(spark, sf).select("year", "country", "pred_medal_share").join(parts, ["year", "country"])
+    gap = (F.col("total") - F.col("pred_medal_share")).alias("gap")
+    return rounded(both.select("year", "country", "num_predictors", gap), {"gap": 9})
+
+
 def gbt_attribution_wide(spark, sf):
     long = _attribution(spark, sf)
     ids = ["year", "country"]
@@ -148,12 +183,35 @@ def forecast_standings_long(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        cluster_profile, cluster_eval, cluster_centroids, glm_coefficients, glm_single_predictor, gbt_predictions,
-        gbt_metrics, gbt_importance, gbt_attribution, gbt_attribution_wide, forecast_explanations, forecast_standings_long,
+        cluster_profile, brand_profile, cluster_eval, cluster_centroids, glm_coefficients, glm_single_predictor, glm_normal_equations, gbt_predictions,
+        gbt_metrics, gbt_importance, gbt_attribution, gbt_attribution_adds_up, gbt_attribution_wide, forecast_explanations, forecast_standings_long,
     )
 }
 
+_FEATURES = f"""{sales._FACTS},
+items AS (
+  SELECT p_brand AS category_name, p_name AS item_description, sum(volume) AS w,
+         sum(dollars) / nullif(sum(volume), 0) AS price,
+         sum(CASE WHEN month(l_shipdate) IN (10, 11, 12) THEN volume ELSE 0 END) / nullif(sum(volume), 0) * 100 AS q4,
+         regexp_extract(p_brand, '([0-9])', 1) AS cluster
+  FROM facts WHERE p_brand IS NOT NULL AND p_name IS NOT NULL GROUP BY p_brand, p_name HAVING sum(volume) > 0
+),
+top AS (
+  SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY w DESC, item_description, category_name) AS n FROM items
+)"""
+
 SQL = {
+    "brand_profile": f"""WITH {_FEATURES}
+SELECT cluster, round(sum(w), 2) AS total_volume, round(sum(w * price) / nullif(sum(w), 0), 6) AS avg_dollars_per_unit,
+       round(sum(w * q4) / nullif(sum(w), 0), 6) AS pct_item_volume_q4,
+       string_agg(item_description, ', ' ORDER BY n) FILTER (n <= 10) AS top_items,
+       string_agg(DISTINCT category_name, ', ' ORDER BY category_name) AS categories
+FROM top GROUP BY cluster""",
+    "glm_normal_equations": "SELECT unnest(["
+    + ", ".join(f"'{c}'" for c in [*plan.PREDICTORS, "one"])
+    + "]) AS term, CAST(0 AS DOUBLE) AS moment",
+    "gbt_attribution_adds_up": f"""WITH {standings._ASOF}
+SELECT year, country, CAST(5 AS BIGINT) AS num_predictors, CAST(0 AS DOUBLE) AS gap FROM joined WHERE year BETWEEN 1996 AND 2001""",
     "glm_single_predictor": f"""WITH {standings._ASOF}
 SELECT 'population_scaled' AS term, round(regr_slope(medal_share, population_scaled), 8) + 0.0 AS estimate FROM analysed
 UNION ALL SELECT '(Intercept)', round(regr_intercept(medal_share, population_scaled), 8) + 0.0 FROM analysed""",

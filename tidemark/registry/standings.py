@@ -8,11 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators.grouping import with_group_totals
-from tidemark.operators.joins import latest_before
-from tidemark.operators.ranking import five_numbers, scaled_rank
-from tidemark.operators.reshape import corr_matrix, densify
+from tidemark.functions.scalars import text_or_na
 from tidemark.functions.stats import line_intercept, line_slope
+from tidemark.operators.grouping import joined_text, with_group_totals
+from tidemark.operators.joins import latest_before
+from tidemark.operators.learning import regression_metrics, scale_to_total
+from tidemark.operators.ranking import five_numbers, scaled_rank, tie_ranks
+from tidemark.operators.reshape import corr_matrix, densify, to_long, to_wide
 from tidemark.plans import standings as plan
 from tidemark.registry.common import rounded
 from tidemark.session import materialize
@@ -119,6 +121,30 @@ def medals_long_ranked(spark, sf):
     )
 
 
+def medals_wide_with_text(spark, sf):
+    """The long medal rows turned back to columns, and as one text per country and year."""
+    ids = ["year", "country"]
+    kinds = ["gold", "silver", "bronze", "medals"]
+    long = materialize(to_long(_panel(spark, sf), ids, kinds, "variable", "value"), "long")
+    wide = to_wide(long, ids, "variable", F.col("value"), kinds, "num_")
+    line = F.concat("variable", F.lit(": "), text_or_na(F.col("value").cast("long")))
+    return wide.join(joined_text(long, ids, "variable", line, "medals_text"), ids)
+
+
+def persistence_forecast(spark, sf):
+    """Earlier shares taken as the forecast, made to add up to each year's medals, and ranked."""
+    rows = materialize(_panel(spark, sf).withColumn("share", F.coalesce("medal_share_prev", F.lit(0.0))), "persistence")
+    scaled = scale_to_total(rows, "share", "yr_tot_medals", ["year"], "norm_share", "pred_medals")
+    scaled = rounded(scaled, {"norm_share": 9, "pred_medals": 6})
+    ranked = scaled.withColumns(tie_ranks("pred_medals", ["year"], "pred_medals"))
+    return ranked.select("year", "country", "norm_share", "pred_medals", "pred_medals_rk", "pred_medals_num_at_rk")
+
+
+def persistence_metrics(spark, sf):
+    rows = _panel(spark, sf).where(F.col("year") >= 1997)
+    return rounded(regression_metrics(rows, "medal_share", "medal_share_prev"), {"rmse": 9, "mae": 9, "rsq": 9})
+
+
 def customer_year_grid(spark, sf):
     """Every customer in every year, with zeros for years without orders."""
     years = materialize(_customer_years(spark, sf).withColumnRenamed("c_custkey", "customer"), "customer-years")
@@ -200,7 +226,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         medals_by_year, medals_year_hosts, medals_group_span, medals_rank_share_lag, medals_entrants_zero_filled,
-        medals_long_ranked, customer_year_grid, customer_year_rank, indicators_scaled, indicators_asof,
+        medals_long_ranked, medals_wide_with_text, persistence_forecast, persistence_metrics, customer_year_grid, customer_year_rank, indicators_scaled, indicators_asof,
         events_latest_error, numeric_corr_matrix, share_change_quartiles, order_price_quartiles, share_trend_line,
         model_split_counts,
     )
@@ -335,6 +361,24 @@ SELECT year, country, medals_field, medals_field_order, round(v, 6) + 0.0 AS med
             WHEN rk % 10 = 2 THEN 'nd' WHEN rk % 10 = 3 THEN 'rd' ELSE 'th' END
             || CASE WHEN num > 1 THEN ' (tied)' ELSE '' END END AS rank_text
 FROM ranked""",
+    "medals_wide_with_text": f"""WITH {_PANEL}
+SELECT year, country, CAST(gold AS DOUBLE) AS num_gold, CAST(silver AS DOUBLE) AS num_silver,
+       CAST(bronze AS DOUBLE) AS num_bronze, CAST(medals AS DOUBLE) AS num_medals,
+       'bronze: ' || coalesce(CAST(bronze AS VARCHAR), 'NA') || chr(10) || 'gold: ' || coalesce(CAST(gold AS VARCHAR), 'NA') || chr(10)
+       || 'medals: ' || coalesce(CAST(medals AS VARCHAR), 'NA') || chr(10) || 'silver: ' || coalesce(CAST(silver AS VARCHAR), 'NA')
+       AS medals_text FROM panel""",
+    "persistence_forecast": f"""WITH {_PANEL},
+s AS (SELECT *, coalesce(medal_share_prev, 0) AS share FROM panel),
+n AS (SELECT *, share / nullif(sum(share) OVER (PARTITION BY year), 0) AS ns FROM s),
+p AS (SELECT *, round(ns, 9) AS norm_share, round(ns * yr_tot_medals, 6) AS pred_medals FROM n)
+SELECT year, country, norm_share, pred_medals,
+       CASE WHEN pred_medals IS NOT NULL THEN rank() OVER (PARTITION BY year ORDER BY pred_medals DESC NULLS LAST) END AS pred_medals_rk,
+       CASE WHEN pred_medals IS NOT NULL THEN count(*) OVER (PARTITION BY year, pred_medals) END AS pred_medals_num_at_rk FROM p""",
+    "persistence_metrics": f"""WITH {_PANEL},
+r AS (SELECT medal_share AS t, medal_share_prev AS e FROM panel
+      WHERE year >= 1997 AND medal_share IS NOT NULL AND medal_share_prev IS NOT NULL)
+SELECT round(sqrt(avg((t - e) * (t - e))), 9) AS rmse, round(avg(abs(t - e)), 9) AS mae,
+       round(corr(t, e) * corr(t, e), 9) AS rsq, count(*) AS num_rows FROM r""",
     "customer_year_grid": f"""WITH {_RESULTS}
 SELECT y.year, c.o_custkey AS customer, coalesce(gold, 0) AS gold, coalesce(silver, 0) AS silver, coalesce(bronze, 0) AS bronze
 FROM (SELECT DISTINCT year FROM cy) y CROSS JOIN (SELECT DISTINCT o_custkey FROM cy) c

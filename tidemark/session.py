@@ -49,7 +49,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path below a folder of this application, which may be removed once it has ended."""
+    return f"{shared_dir(spark)}/tidemark-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def use_checkpoint_dir(spark: SparkSession) -> None:
