@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import ONE_TASK_ROWS, bucket_carry, range_buckets, with_carry
-from tidemark.operators.skew import HOT_ROWS, join_same, lookup_join
+from tidemark.operators.skew import lookup_join
 from tidemark.session import materialize
 
 
@@ -60,27 +60,22 @@ def latest_before(
         given.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
     both = materialize(both, "asof-times")
-    rows, heaviest = both.agg(F.count(F.lit(1)), F.max("_rows")).first()
-    small = rows <= one_task_rows
-    both = both.withColumn("_bucket", F.lit(0)) if small else range_buckets(both, keys, "_t", one_task_rows=0)
+    both, split = range_buckets(both, keys, "_t", one_task_rows=one_task_rows)
     right_t = F.when(F.col("_side") == 1, F.col("_t"))
-    carry = bucket_carry(both, keys, F.max(right_t))
+    if split:
+        both = with_carry(both, bucket_carry(both, keys, F.max(right_t), F.array_max), keys, "_earlier")
+    else:
+        both = both.withColumn("_earlier", F.lit(None))
     upto = Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    earlier = F.array_max(
-        F.transform(F.filter("_carry", lambda p: p["b"] < F.col("_bucket")), lambda p: p["v"])
-    )
     matched = (
-        with_carry(both, carry, keys)
-        .withColumn("_match", F.coalesce(F.max(right_t).over(upto), earlier))
+        both.withColumn("_match", F.coalesce(F.max(right_t).over(upto), "_earlier"))
         .where(F.col("_side") == side)
         .select(*keys, "_t", "_rows", "_match")
     )
     found = matched.join(right.withColumn("_match", F.col(right_time)), [*keys, "_match"], "left")
     found = found.drop("_match").withColumnRenamed("_t", left_time)
-    if small and (heaviest or 0) < HOT_ROWS:
-        return join_same(left, found.drop("_rows"), [*keys, left_time])
     return lookup_join(left, materialize(found, "asof-match"), [*keys, left_time], "_rows")
 
 

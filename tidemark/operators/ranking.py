@@ -1,13 +1,13 @@
 """Ranks with the tie rules of statistics packages, at any group size.
 
 ``tie_ranks`` uses a plain window and suits aggregated frames whose groups are small by
-nature. ``with_positions`` and what builds on it use a window only for a frame counted to be
-small, and otherwise never put a whole group in one task.
+nature. ``with_positions`` and what builds on it use a window only if no group is counted to
+be large, and otherwise never put a whole group in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from tidemark.session import materialize
 
 HOT_GROUPS = 64
 CUTS = 64
-# A frame of this many rows may be sorted by one task.
+# A group of this many rows may be sorted by one task.
 ONE_TASK_ROWS = 1_000_000
 
 
@@ -53,52 +53,81 @@ def _as_number(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
+def large_groups(df: DataFrame, keys: list[str], above: int) -> DataFrame | None:
+    """The (at most ``HOT_GROUPS``) largest groups with more than ``above`` rows; None if there are none."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > above)
+    found = sizes.orderBy(F.desc("_n"), *keys).limit(HOT_GROUPS).collect()
+    return df.sparkSession.createDataFrame(found, sizes.schema).drop("_n") if found else None
+
+
 def range_buckets(
     df: DataFrame, keys: list[str], value: str, descending: bool = False, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
-    """Adds ``_bucket``: consecutive value ranges of the groups with most rows, else 0.
-
-    The ``HOT_GROUPS`` largest groups get up to ``CUTS`` ranges each from an approximate
-    quantile sketch; every other group is below one part in ``HOT_GROUPS`` of the rows. The cut points
-    (at most ``HOT_GROUPS * CUTS`` numbers) come to the driver once, so all branches that
-    read the result agree on them. Equal values always share a bucket. A frame of up to
-    ``one_task_rows`` rows is left in one bucket. ``df`` is read several times: pass a
-    materialised one.
+) -> tuple[DataFrame, bool]:
+    """Adds ``_bucket``: consecutive value ranges of large groups, NULL in all others.
+
+    Also tells whether any group is split.
+
+    The ``HOT_GROUPS`` largest groups above ``one_task_rows`` rows get ``CUTS`` ranges each from
+    an approximate quantile sketch; every other group is small or below one part in
+    ``HOT_GROUPS`` of the rows. The cut points (at most ``HOT_GROUPS * CUTS`` numbers) come to the
+    driver once, so all branches that read the result agree on them. Equal values always share
+    a bucket. ``df`` is read several times: pass a materialised one.
     """
-    if df.count() <= one_task_rows:
-        return df.withColumn("_bucket", F.lit(0))
+    large = large_groups(df, keys, one_task_rows)
+    if large is None:
+        return df.withColumn("_bucket", F.lit(None).cast("int")), False
     number = _as_number(df, value)
     shares = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
-    sketch = df.groupBy(*keys).agg(
-        F.percentile_approx(number, shares, F.lit(1000)).alias("_cuts"), F.count(F.lit(1)).alias("_n")
-    )
-    largest = sketch.orderBy(F.desc("_n"), *keys).limit(HOT_GROUPS).drop("_n").collect()
-    lower = (lambda c: c > number) if descending else (lambda c: c < number)
+    cuts = F.percentile_approx(number, shares, F.lit(1000)).alias("_cuts")
+    sketch = (join_same(df, F.broadcast(large), keys, "inner") if keys else df).groupBy(*keys).agg(cuts)
+    points = df.sparkSession.createDataFrame(sketch.collect(), sketch.schema)
     if keys:
-        cuts = F.broadcast(df.sparkSession.createDataFrame(largest, sketch.drop("_n").schema))
-        points = F.coalesce(F.array_distinct("_cuts"), F.array().cast("array<double>"))
-        return join_same(df, cuts, keys).withColumn("_bucket", F.size(F.filter(points, lower))).drop("_cuts")
-    points = F.array_distinct(F.lit(largest[0]["_cuts"] or []).cast("array<double>"))
-    return df.withColumn("_bucket", F.size(F.filter(points, lower)))
-
-
-def bucket_carry(df: DataFrame, keys: list[str], bucket_value: Column) -> DataFrame:
-    """One row per hot group with ``_carry``: its (bucket, value) pairs, at most ``CUTS`` of them."""
-    per_bucket = df.groupBy(*keys, "_bucket").agg(bucket_value.alias("_v"))
-    pairs = per_bucket.groupBy(*keys).agg(
-        F.collect_list(F.struct(F.col("_bucket").alias("b"), F.col("_v").alias("v"))).alias("_carry")
-    )
-    return pairs.where(F.size("_carry") > 1)
+        placed = join_same(df, F.broadcast(points), keys)
+    else:
+        placed = df.withColumn("_cuts", F.array(*[F.lit(c) for c in points.first()["_cuts"]]))
+    if descending:
+        placed = placed.withColumn("_cuts", F.reverse("_cuts"))
+    # Binary search: each step moves past the cut points that lie before the value.
+    is_split = F.col("_cuts").isNotNull()
+    placed = placed.withColumns({"_number": number, "_split": is_split, "_bucket": F.when(is_split, 0)})
+    step = CUTS // 2
+    while step:
+        cut = F.get("_cuts", F.col("_bucket") + (step - 1))
+        passed = cut > F.col("_number") if descending else cut < F.col("_number")
+        placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(passed, step).otherwise(0))
+        step //= 2
+    return placed.drop("_cuts", "_number"), True
+
+
+def bucket_carry(
+    df: DataFrame, keys: list[str], in_bucket: Column, combine: Callable[[Column], Column]
+) -> DataFrame:
+    """Per split group an array: what the buckets before each bucket amount to.
 
+    ``in_bucket`` aggregates a bucket and ``combine`` an array of those results.
+    """
+    # The flag, not the bucket: a filter on the bucket would repeat its whole computation.
+    per_bucket = df.where("_split").groupBy(*keys, "_bucket").agg(in_bucket.alias("_v"))
+    pair = F.struct(F.col("_bucket").alias("b"), F.col("_v").alias("v"))
+    pairs = per_bucket.groupBy(*keys).agg(F.collect_list(pair).alias("_pairs"))
 
-def with_carry(df: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach ``_carry``; only groups split into several buckets have one.
+    def earlier(bucket: Column) -> Column:
+        before = F.filter("_pairs", lambda p: p["b"] < bucket)
+        return combine(F.transform(before, lambda p: p["v"]))
 
-    Those are at most ``HOT_GROUPS`` groups, which bounds the broadcast.
+    return pairs.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(CUTS - 1)), earlier).alias("_carry"))
+
+
+def with_carry(df: DataFrame, carry: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Adds what the buckets before a row's bucket amount to; NULL in groups that are not split.
+
+    At most ``HOT_GROUPS`` groups are split, which bounds the broadcast.
     """
-    if not keys:
-        return df.withColumn("_carry", carry.scalar())
-    return join_same(df, F.broadcast(carry), keys)
+    if keys:
+        joined = join_same(df, F.broadcast(carry), keys)
+    else:
+        joined = df.withColumn("_carry", carry.scalar())
+    return joined.withColumn(name, F.get("_carry", F.col("_bucket"))).drop("_carry")
 
 
 def value_positions(
@@ -115,18 +144,21 @@ def value_positions(
     """
     keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_ties"))
-    bucketed = range_buckets(materialize(counts, "value-counts"), keys, value, descending, one_task_rows)
-    carry = bucket_carry(bucketed, keys, F.sum("_ties"))
+    counts = materialize(counts, "value-counts")
+    bucketed, split = range_buckets(counts, keys, value, descending, one_task_rows)
+    if split:
+        carry = bucket_carry(bucketed, keys, F.sum("_ties"), _total)
+        bucketed = with_carry(bucketed, carry, keys, "_earlier")
+    else:
+        bucketed = bucketed.withColumn("_earlier", F.lit(0))
     order = F.desc(value) if descending else F.asc(value)
     ahead = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.aggregate(
-        F.filter(F.coalesce("_carry", F.array()), lambda p: p["b"] < F.col("_bucket")),
-        F.lit(0).cast("long"),
-        lambda total, p: total + p["v"],
-    )
-    local = F.coalesce(F.sum("_ties").over(ahead), F.lit(0))
-    placed = with_carry(bucketed, carry, keys).select(*keys, value, "_ties", (local + earlier).alias("_before"))
-    return materialize(placed, "positions")
+    before = F.coalesce(F.sum("_ties").over(ahead), F.lit(0)) + F.coalesce("_earlier", F.lit(0))
+    return materialize(bucketed.select(*keys, value, "_ties", before.alias("_before")), "positions")
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda total, v: total + v)
 
 
 def with_positions(
@@ -138,11 +170,12 @@ def with_positions(
 ) -> DataFrame:
     """Each row with ``_before`` (rows of its group ahead of it) and ``_ties`` (rows level with it).
 
-    Rows with a NULL value have NULLs. ``df`` is read several times: pass a table or a
-    materialised frame.
+    Groups of up to ``one_task_rows`` rows are sorted by a window, larger ones are counted in
+    value ranges. Rows with a NULL value have NULLs. ``df`` is read several times: pass a table
+    or a materialised frame.
     """
     keys = list(keys)
-    if df.count() > one_task_rows:
+    if large_groups(df, keys, one_task_rows) is not None:
         positions = value_positions(df, keys, value, descending, one_task_rows)
         return lookup_join(df, positions, [*keys, value], "_ties", keep_weight=True)
     v = F.col(value)
