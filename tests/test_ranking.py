@@ -49,6 +49,15 @@ def test_scaled_rank_uses_many_ranges(spark):
     assert ranking.range_buckets(df, [], "id", one_task_rows=0)[0].select("_bucket").distinct().count() > 20
 
 
+@pytest.mark.parametrize("kind", ["date", "timestamp", "timestamp_ntz", "decimal(9,2)"])
+def test_ranks_of_other_types(spark, rows, kind):
+    days = spark.range(90).select("id", F.expr("date_add(date'2020-01-01', cast(id % 40 as int))").alias("d"))
+    df = days.select("id", (F.col("id") % 40).cast(kind).alias("v") if kind.startswith("decimal") else F.col("d").cast(kind).alias("v"))
+    got = ranking.scaled_rank(df, [], "v", "rk", one_task_rows=0)
+    plain = df.withColumn("rk", F.rank().over(Window.orderBy("v")))
+    assert rows(got, "id", "rk") == rows(plain, "id", "rk")
+
+
 def test_lookup_join_with_hot_keys(spark, rows):
     df = sample(spark).drop("v")
     lookup = df.groupBy("g").agg(F.count("*").alias("w")).withColumn("label", F.concat(F.lit("L"), F.coalesce("g", F.lit("?"))))

@@ -74,6 +74,14 @@ def test_keyed_replace_leaves_other_partitions(spark, rows, database, tmp_path):
     assert rows(out) == [(1, "z", 2002), (2, "B", 2001), (3, "c", 2002)]
 
 
+def test_keyed_replace_keeps_rows_of_a_null_partition(spark, rows, database):
+    table = f"{database}.n"
+    schema = "k int, v string, y int"
+    loader.upload(spark.createDataFrame([(1, "a", None), (2, "b", 2001)], schema), table, "CREATE", add_timestamp=False, partition_by=["y"])
+    out = loader.upload(spark.createDataFrame([(9, "c", None), (2, "B", 2001)], schema), table, keys=["k", "y"], add_timestamp=False)
+    assert rows(out) == [(1, "a", None), (2, "B", 2001), (9, "c", None)]
+
+
 def test_csv_crlf_and_blanks(spark, rows, tmp_path):
     path = tmp_path / "x.csv"
     path.write_bytes(b"rk,name,extra\r\n1,Ann Lee,\r\n2,Bo,(x)")

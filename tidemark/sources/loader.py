@@ -5,9 +5,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.skew import join_same
 from tidemark.session import scratch_path
 
 MODES = ("CREATE", "REPLACE", "APPEND")
@@ -15,6 +16,7 @@ MODES = ("CREATE", "REPLACE", "APPEND")
 ROWS_PER_FILE = 2_000_000
 LOADED_AT = "uploadTimestampUTC"
 DRY_RUN_ROWS = 5
+MAX_LISTED_PARTITIONS = 1000
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
@@ -96,11 +98,24 @@ def _replace_keys(rows: DataFrame, table: str, keys: list[str]) -> None:
     touched = target
     partial = bool(partitions) and set(partitions) <= set(keys)
     if partial:
-        touched = target.join(rows.select(*partitions).distinct(), partitions, "left_semi")
+        wanted = rows.select(*partitions).distinct()
+        for column in partitions:
+            touched = touched.where(_among(column, wanted))
+        touched = join_same(touched, wanted, partitions, "left_semi")
     kept = touched.join(incoming, keys, "left_anti")
     _overwrite(kept.select(*target.columns).unionByName(rows), table, dynamic=partial)
 
 
+def _among(column: str, wanted: DataFrame) -> Column:
+    """A filter by listed values, which prunes partitions while planning; true if the list is long."""
+    found = wanted.select(column).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
+    values = [r[0] for r in found]
+    if len(values) > MAX_LISTED_PARTITIONS:
+        return F.lit(True)
+    listed = F.col(column).isin([v for v in values if v is not None])
+    return listed | F.col(column).isNull() if None in values else listed
+
+
 def _overwrite(rows: DataFrame, table: str, dynamic: bool = False) -> None:
     """Write to a staging folder, then swap in: a table cannot be read while it is overwritten."""
     spark = rows.sparkSession
