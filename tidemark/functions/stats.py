@@ -39,8 +39,9 @@ def safe_corr(x: Column | str, y: Column | str) -> Column:
     ``corr`` itself raises on a constant column. Each side is masked by the other so the
     deviations cover the same rows as the covariance.
     """
-    a = F.when(_col(y).isNotNull(), _col(x)).cast("double")
-    b = F.when(_col(x).isNotNull(), _col(y)).cast("double")
+    x, y = _col(x), _col(y)
+    a = F.when(y.isNotNull(), x).cast("double")
+    b = F.when(x.isNotNull(), y).cast("double")
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 

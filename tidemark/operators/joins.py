@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.ranking import ONE_TASK_ROWS, bucket_carry, range_buckets, with_carry
-from tidemark.operators.skew import lookup_join
+from tidemark.operators.skew import HOT_ROWS, join_same, lookup_join
 from tidemark.session import materialize
 
 
@@ -76,6 +76,9 @@ def latest_before(
     )
     found = matched.join(right.withColumn("_match", F.col(right_time)), [*keys, "_match"], "left")
     found = found.drop("_match").withColumnRenamed("_t", left_time)
+    heaviest = both.agg(F.max("_rows")).first()[0]
+    if (heaviest or 0) < HOT_ROWS:
+        return join_same(left, found.drop("_rows"), [*keys, left_time])
     return lookup_join(left, materialize(found, "asof-match"), [*keys, left_time], "_rows")
 
 

@@ -124,7 +124,7 @@ def cluster_profile(
 def fit_gaussian(df: DataFrame, label: str, predictors: Sequence[str]):
     """Least-squares linear model; rows with a missing value are left out."""
     columns = [F.col(c).cast("double").alias(c) for c in (label, *predictors)]
-    rows = df.select(*columns).dropna()
+    rows = materialize(df.select(*columns).dropna(), "linear-rows")
     assembled = VectorAssembler(inputCols=list(predictors), outputCol="features").transform(rows)
     return GeneralizedLinearRegression(family="gaussian", labelCol=label).fit(assembled)
 

@@ -119,8 +119,5 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     wide = df.agg(*[safe_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for x, y in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(x).alias("column_1"), F.lit(y).alias("column_2"), F.col(f"c{i}").alias("corr")))
-    return wide.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    cells = [f"'{x}', '{y}', c{i}" for i, (a, b) in enumerate(pairs) for x, y in {(a, b), (b, a)}]
+    return wide.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (column_1, column_2, corr)")

@@ -85,6 +85,7 @@ def glm_normal_equations(spark, sf):
     rows = standings._analysed(spark, sf).select(
         F.col("medal_share").cast("double"), *[F.col(c).cast("double").alias(c) for c in plan.PREDICTORS]
     ).dropna()
+    rows = materialize(rows, "complete-rows")
     model = learning.fit_gaussian(rows, "medal_share", plan.PREDICTORS)
     fitted = F.lit(float(model.intercept))
     for name, weight in zip(plan.PREDICTORS, model.coefficients):

@@ -184,7 +184,7 @@ def events_latest_error(spark, sf):
 
 
 def _analysed(spark, sf) -> DataFrame:
-    return materialize(plan.analysis_rows(panel_with_indicators(spark, sf), 1996, 2000), "analysed")
+    return plan.analysis_rows(panel_with_indicators(spark, sf), 1996, 2000)
 
 
 def numeric_corr_matrix(spark, sf):
