@@ -25,7 +25,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 #: Pairs whose sketches agree in fewer coordinates are not verified: 5 standard deviations under 0.75.
 LEAST_AGREEMENT = int(SIZE * 0.55)
 STAR_ROUNDS = 3
-BLOCK = 1024
+BLOCK = 512
 _SEEDS = tb.mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -130,21 +130,47 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _close_pairs(table: pa.Table) -> pa.Table:
-    """Pairs of one block or two blocks of a bucket, with other labels, whose sketches agree."""
-    side = np.array(table.column("side").to_pylist())
+def _link_block(table: pa.Table) -> pa.Table:
+    """Links between different components within one block of a bucket, or between two blocks.
+
+    A pair is looked at in the first band that both share only. Labels that a link joins are one from then on.
+    """
+    side = table.column("side").to_numpy()
     ids, labels = (table.column(c).to_numpy() for c in ("rep", "label"))
     marks = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint16).reshape(-1, SIZE)
-    same = table.column("i")[0].as_py() == table.column("j")[0].as_py()
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))
-    a, b = [], []
+    bands = marks.reshape(len(marks), BANDS, -1)
+    band, alone = table.column("band")[0].as_py(), table.column("i")[0] == table.column("j")[0]
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if alone else 1))
+    texts, sets, joined, a, b = table.column("text"), {}, {}, [], []
+
+    def found(k):
+        if k not in sets:
+            ((_, _, raw, offsets),) = tb.pieces(texts.slice(k, 1))
+            sets[k] = shingle_sets(raw, offsets)[0]
+        return sets[k]
+
+    def root(label):
+        while label in joined:
+            label = joined[label]
+        return label
+
     for k in left:
-        agree = (marks[right] == marks[k]).sum(axis=1) >= LEAST_AGREEMENT
-        hits = right[agree & (labels[right] != labels[k]) & (ids[right] != ids[k])]
-        a.append(np.minimum(ids[hits], ids[k]))
-        b.append(np.maximum(ids[hits], ids[k]))
-    joined = [np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)] if a else [np.zeros((2, 0), np.int64)]
-    return pa.table({"a": joined[0][0], "b": joined[0][1]})
+        agree = (marks[right] == marks[k]).sum(axis=1)
+        order = np.argsort(-agree, kind="stable")
+        hits = right[order[agree[order] >= LEAST_AGREEMENT]]
+        hits = hits[(labels[hits] != labels[k]) & (ids[hits] > ids[k] if alone else ids[hits] != ids[k])]
+        hits = hits[(bands[hits] == bands[k]).all(axis=2).argmax(axis=1) == band]
+        for other in hits:
+            x, y = root(labels[k]), root(labels[other])
+            if x == y:
+                continue
+            mine, theirs = found(k), found(other)
+            shared = len(np.intersect1d(mine, theirs, assume_unique=True))
+            if DENOMINATOR * shared >= NUMERATOR * (len(mine) + len(theirs) - shared):
+                joined[x] = y
+                a.append(ids[k])
+                b.append(ids[other])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 class _Groups:
@@ -164,9 +190,9 @@ class _Groups:
         """(key, rep) of the band buckets with two or more sets."""
         per = SIZE // BANDS * 2
         bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, F.substring("sketch", b * per + 1, F.lit(per))))
-        rows = self.reps.select("rep", F.explode(bands).alias("key")).repartition("key")
+        rows = self.reps.select("rep", F.posexplode(bands).alias("band", "key")).repartition("key")
         shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-        return materialize(rows.join(shared, "key", "left_semi").select("key", "rep"), "buckets")
+        return materialize(rows.join(shared, "key", "left_semi").select("key", "band", "rep"), "buckets")
 
     def verified(self, edges: DataFrame, label: str) -> DataFrame:
         """The pairs (a, b) that are links, by the full sets of both texts."""
@@ -194,7 +220,7 @@ class _Groups:
         """Members of the buckets that still hold several components, with their labels."""
         if labels is None:
             return members.withColumn("label", F.col("rep"))
-        known = members.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("key", "rep", F.coalesce("label", "rep").alias("label"))
+        known = members.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").select("key", "band", "rep", F.coalesce("label", "rep").alias("label"))
         split = known.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
         return known.join(split, "key", "left_semi")
 
@@ -206,16 +232,17 @@ class _Groups:
         return rows.select(F.col("c").alias("a"), F.col("rep").alias("b")).distinct()
 
     def rest(self, mixed: DataFrame) -> DataFrame:
-        """All pairs of different components of a bucket whose sketches agree, in blocks of bounded size."""
+        """Links between the components of a bucket: all pairs whose sketches agree, verified in blocks of bounded size."""
         sizes = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         rows = mixed.join(sizes, "key").join(self.reps, "rep").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
+        rows = rows.join(self.texts.withColumnRenamed("doc_id", "rep"), "rep")
         others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        rows = rows.select("key", "rep", "label", "sketch", "own", others.alias("other"))
+        rows = rows.select("key", "band", "rep", "label", "sketch", "text", "own", others.alias("other"))
         rows = rows.select(
-            "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "label", "sketch",
+            "key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+            F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "label", "sketch", "text",
         )
-        return rows.groupBy("key", "i", "j").applyInArrow(_close_pairs, "a long, b long").distinct()
+        return rows.groupBy("key", "i", "j").applyInArrow(_link_block, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -241,14 +268,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         mixed = materialize(work.mixed(members, labels), f"mixed{turn}")
         if not mixed.take(1):
             break
-        pairs = work.stars(mixed, turn) if turn < STAR_ROUNDS else work.rest(mixed)
-        pairs = pairs.select("a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["lo", "hi"], "left_anti")
-        pairs = materialize(pairs.dropDuplicates(["lo", "hi"]), f"pairs{turn}")
-        links = work.verified(pairs.select("a", "b"), f"links{turn}")
-        pairs = pairs.select("lo", "hi")
-        tested = pairs if tested is None else tested.union(pairs)
+        if turn == STAR_ROUNDS:
+            links = materialize(work.rest(mixed), "rest")
+        else:
+            pairs = work.stars(mixed, turn).select("a", "b", F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
+            if tested is not None:
+                pairs = pairs.join(tested, ["lo", "hi"], "left_anti")
+            pairs = materialize(pairs.dropDuplicates(["lo", "hi"]), f"pairs{turn}")
+            links = work.verified(pairs.select("a", "b"), f"links{turn}")
+            pairs = pairs.select("lo", "hi")
+            tested = pairs if tested is None else tested.union(pairs)
         found = links if found is None else found.union(links)
         labels = materialize(components(found), f"labels{turn}")
     copies = work.classes.select("d1", "d2", "rep")
