@@ -156,6 +156,17 @@ def fit_counts(toxic: np.ndarray, spelt: list[bytes], n: np.ndarray) -> Model:
     return Model(nodes[order], take(here), take(beyond))
 
 
+def _fit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    toxic, spelt, n = [np.zeros(0, np.int32)], [], [np.zeros(0, np.int64)]
+    for batch in batches:
+        toxic.append(batch.column(0).to_numpy())
+        spelt += batch.column(1).to_pylist()
+        n.append(batch.column(2).to_numpy())
+    model = fit_counts(np.concatenate(toxic), spelt, np.concatenate(n))
+    tables = [pa.array([x.tobytes()], pa.binary()) for x in (model.nodes, model.here, model.beyond)]
+    yield pa.RecordBatch.from_arrays(tables, names=["nodes", "here", "beyond"])
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
     """Newton steps for a logistic curve with a small quadratic penalty."""
     b, penalty = np.zeros(x.shape[1]), np.diag([1e-3] + [1e-2] * (x.shape[1] - 1))
@@ -205,9 +216,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     counted = marks.where(F.col("fold") != CALIBRATION_FOLD)
     chosen = sample(counted.where("toxic = 1"), TRAIN_PER_CLASS).unionByName(sample(counted.where("toxic = 0"), TRAIN_PER_CLASS))
     grams = texts.join(chosen.select("doc_id", "toxic"), "doc_id").select("text", "toxic").mapInArrow(_count_batches, "toxic int, h long, w binary").distinct()
-    # up to the two samples' words, whatever the tables hold
-    table = grams.groupBy("toxic", "w").agg(F.count("*").alias("n")).orderBy("toxic", "w").toArrow()
-    model = fit_counts(table.column("toxic").to_numpy(), table.column("w").to_pylist(), table.column("n").to_numpy())
+    # one task fits the tables: it gets the different words of the two samples at most, whatever the tables hold
+    fitted = grams.groupBy("toxic", "w").agg(F.count("*").alias("n")).repartition(1).sortWithinPartitions("toxic", "w")
+    tables = fitted.mapInArrow(_fit_batches, "nodes binary, here binary, beyond binary").first()
+    model = Model(*(np.frombuffer(x, t) for x, t in zip(tables, (np.uint64, np.float32, np.float32), strict=True)))
 
     rest = sample(marks.where(F.col("fold") == CALIBRATION_FOLD), CALIBRATION_ROWS)
     shared = spark.sparkContext.broadcast(model)
