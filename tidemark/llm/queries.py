@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, mixing, neardup, secretscan, toxicity
+from tidemark.llm import archives, decontam, langid, mainhtml, mixing, neardup, ngramlm, secretscan, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainhtml.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -19,6 +24,21 @@ def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_by_source(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages by all evidence, and documents by text and source: one of doc_id and page_id is set."""
+    docs = _table(spark, sf_dir, "documents")
+    pages = langid.identify_pages(_table(spark, sf_dir, "pages"), docs)
+    texts = langid.identify_documents(docs)
+    none = F.lit(None)
+    return pages.select(none.cast("long").alias("doc_id"), "page_id", "lang", "posterior", "text_lang", "declared").unionByName(
+        texts.select("doc_id", none.cast("long").alias("page_id"), "lang", "posterior", "text_lang", none.cast("string").alias("declared"))
+    )
+
+
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_scores(_table(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -27,12 +47,27 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op8_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = archives.archive_pages(_table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.secret_spans(_table(spark, sf_dir, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramlm.score_texts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op2_minhash_near_dedup, op3_source_mixing, op6_toxicity, op7_benchmark_decontamination, op9_secret_scan)
+    for f in (
+        op1_html_extraction, op2_minhash_near_dedup, op3_source_mixing, op4_language_id, op5_exact_top_k, op6_toxicity,
+        op7_benchmark_decontamination, op8_arc_to_warc, op9_secret_scan, op10_lm_scoring,
+    )
+}
+SQL: dict[str, str] = {
+    "op3_source_mixing": mixing.MIX_SQL.format(docs="documents", columns="d.doc_id AS doc_id"),
+    "op5_exact_top_k": topk.TOP_SQL,
 }
-SQL: dict[str, str] = {"op3_source_mixing": mixing.MIX_SQL.format(docs="documents", columns="d.doc_id AS doc_id")}
