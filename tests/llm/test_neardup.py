@@ -2,6 +2,8 @@ import itertools
 import random
 import re
 
+import pytest
+
 from tidemark.llm import neardup
 
 
@@ -46,8 +48,12 @@ def made(seed=1):
     return texts
 
 
-def test_equals_brute_force(spark):
-    texts = made()
+@pytest.mark.parametrize("rounds", [0, 1, 2])
+def test_equals_brute_force(spark, monkeypatch, rounds):
+    """With 0 star rounds all links come from the blocks, which are small here."""
+    monkeypatch.setattr(neardup, "STAR_ROUNDS", rounds)
+    monkeypatch.setattr(neardup, "BLOCK", 7)
+    texts = made(rounds)
     docs = spark.createDataFrame([(d, t, "z") for d, t in texts.items()], "doc_id long, text string, component_id string")
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs.repartition(5)).collect()}
     assert got == brute(texts)

@@ -24,7 +24,7 @@ WIDTH = 5
 NUMERATOR, DENOMINATOR = 75, 100
 #: Pairs whose sketches agree in fewer coordinates are not verified: 5 standard deviations under 0.75.
 LEAST_AGREEMENT = int(SIZE * 0.55)
-STAR_ROUNDS = 3
+STAR_ROUNDS = 1
 BLOCK = 512
 _SEEDS = tb.mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -254,7 +254,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     is the smallest doc_id reachable over links, kept marks the document that bears it. Shingles are 64-bit hashes.
 
     Equal sets are one class before anything else, so copies meet only in sums. Buckets of a band are first
-    compared with one centre each, a few rounds long; a bucket whose members are connected is done. Members
+    compared with one centre each, ``STAR_ROUNDS`` times; a bucket whose members are connected is done. Members
     of different components in one bucket are then compared by sketch in blocks and verified, so no link
     between sets that share a bucket is lost. Two sets at 0.75 miss all 32 bands with probability 5e-6.
 

@@ -68,6 +68,10 @@ class Model:
     beyond: np.ndarray
     curve: tuple[float, ...] = ()
 
+    def tables(self) -> tuple:
+        """What a broadcast carries: plain arrays, so tasks need no copy of this class."""
+        return self.nodes, self.here, self.beyond, self.curve
+
     def _look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.nodes):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
@@ -183,7 +187,7 @@ def _scorer(shared, with_score: bool):
     """The text column replaced by its score, or by its evidence."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
+        model = Model(*shared.value)
         for batch in batches:
             found = np.concatenate([np.zeros((0, 3)), *(model.evidence(raw, offsets) for _, _, raw, offsets in tb.pieces(batch.column(0)))])
             columns = [batch.column(i) for i in range(1, batch.num_columns)]
@@ -222,7 +226,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     model = Model(*(np.frombuffer(x, t) for x, t in zip(tables, (np.uint64, np.float32, np.float32), strict=True)))
 
     rest = sample(marks.where(F.col("fold") == CALIBRATION_FOLD), CALIBRATION_ROWS)
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(model.tables())
     seen = texts.join(rest.select("doc_id", "toxic"), "doc_id").select("text", "doc_id", "toxic")
     rows = seen.mapInArrow(_scorer(shared, False), "doc_id long, toxic int, n double, all double, leaning double").orderBy("doc_id").toArrow()
     x = _features(np.stack([rows.column(c).to_numpy() for c in ("n", "all", "leaning")], axis=1))
@@ -237,7 +241,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     evidence. predicted is 1 from 0.5. held_out marks rows whose crc32 of doc_id mod 5 is 0, which
     teach nothing (false without doc_id). Every row is scored, repeated rows alike; other columns are ignored.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels).tables())
     rows = docs.select(F.col("text").cast("string").alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
     scored = rows.mapInArrow(_scorer(shared, True), "doc_id long, __score double").withColumnRenamed("__score", "score")
     return scored.select("doc_id", F.coalesce(fold() == HELD_OUT, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -245,7 +249,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that score under 0.5, with all their columns."""
-    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels).tables())
     kept = f"__text_{len(docs.columns)}"
     rows = docs.select(F.col("text").cast("string").alias(kept), "*")
     scored = rows.mapInArrow(_scorer(shared, True), docs.withColumn("__score", F.lit(0.0)).schema)
