@@ -136,7 +136,33 @@ def test_catalog_end_to_end(spark):
 def test_group_request_takes_all_files(spark):
     df = spark.range(25).select(F.lit("g").alias("g"), "id", F.concat(F.lit("u"), "id").alias("uri"))
     asked = enrich.generate_per_group(df, ["g"], "uri", "id", F.lit("look"), enrich.OfflineText, "r", files_per_request=10)
-    assert sorted(r["r_result"].split(", ")[1] for r in asked.collect()) == ["10 files", "10 files", "5 files"]
+    (row,) = asked.collect()
+    parts = ["4 characters in 1 lines, 10 files"] * 2 + ["4 characters in 1 lines, 5 files"]
+    text = "look\n\n" + "\n\n".join(parts)
+    assert row["r_result"] == f"{len(text)} characters in 7 lines"
+
+
+def test_long_digests_give_one_summary(spark):
+    reviews = spark.range(50).select(
+        F.concat(F.lit("p"), (F.col("id") % 7 == 0).cast("int")).alias("key"), F.lit("a").alias("author"), F.lit("2020-01-01").cast("date").alias("date"),
+        F.lit(5).alias("stars"), F.lit("T").alias("title"), F.lit(1).cast("long").alias("helpful_yes"), F.lit(0).cast("long").alias("helpful_no"), F.lit("x").alias("text"),
+    )
+    digests = catalog.review_digests(reviews, per_part=3)
+    assert digests.groupBy("key").count().where("count > 2").count() == 2
+    got = {r["key"]: r for r in catalog.with_review_summaries(digests, enrich.OfflineText).collect()}
+    assert len(got) == 2 and got["p1"]["num_texts"] == 8 and got["p0"]["num_texts"] == 42
+
+
+def test_one_bad_prompt_fails_alone(spark):
+    class Picky(enrich.OfflineText):
+        def generate(self, prompts, files, options):
+            if "bad" in prompts:
+                raise ValueError("no")
+            return super().generate(prompts, files, options)
+
+    df = spark.createDataFrame([(i, "bad" if i == 3 else "good") for i in range(10)], "id int, p string").coalesce(1)
+    got = {r["id"]: r for r in enrich.generate(df, F.col("p"), Picky, "r").collect()}
+    assert [i for i, r in got.items() if r["r_status"]] == [3] and got[4]["r_result"]
 
 
 def test_forecast_text_and_long(spark):

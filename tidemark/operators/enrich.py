@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import json_scalar
-from tidemark.operators.grouping import nested_parts
+from tidemark.operators.grouping import nested_parts, text_digest
+from tidemark.session import materialize
 
 # Fixed value: where the answer text sits in a generation result.
 ANSWER_PATH = "$.candidates[0].content.parts[0].text"
 GENERATED = "status string, result string"
+# Rows of one provider request.
+ROWS_PER_REQUEST = 64
 EMBEDDED = "status string, embedding array<double>, token_count int, truncated boolean"
 
 
@@ -70,6 +73,24 @@ class OfflineEmbedding:
         return out
 
 
+def _in_requests(call: Callable, rows: list[int], size: int | None = None) -> Iterator[tuple]:
+    """(row, answer) from requests of ``size`` rows; the rows of a request that fails are sent one by one, and an
+    error is then that row's own answer."""
+    size = size or ROWS_PER_REQUEST
+    for at in range(0, len(rows), size):
+        some = rows[at : at + size]
+        try:
+            yield from zip(some, call(some), strict=True)
+            continue
+        except Exception:  # noqa: BLE001
+            pass
+        for i in some:
+            try:
+                yield i, call([i])[0]
+            except Exception as error:  # noqa: BLE001
+                yield i, error
+
+
 def generate(
     df: DataFrame,
     prompt: Column,
@@ -91,14 +112,13 @@ def generate(
         for prompts, uris in batches:
             sent = [i for i, p in enumerate(prompts) if p is not None]
             rows: list = [("no prompt", None)] * len(prompts)
-            try:
-                given = [[] if uris.iloc[i] is None else list(uris.iloc[i]) for i in sent]
-                answers = service.generate([prompts.iloc[i] for i in sent], given, options)
-                for i, answer in zip(sent, answers):
-                    rows[i] = answer
-            except Exception as error:  # noqa: BLE001
-                for i in sent:
-                    rows[i] = (f"error: {error}", None)
+
+            def call(some, prompts=prompts, uris=uris):
+                given = [[] if uris.iloc[i] is None else list(uris.iloc[i]) for i in some]
+                return service.generate([prompts.iloc[i] for i in some], given, options)
+
+            for i, answer in _in_requests(call, sent):
+                rows[i] = (f"error: {answer}", None) if isinstance(answer, Exception) else answer
             yield pd.DataFrame(rows, columns=["status", "result"])
 
     file_list = F.lit(None).cast("array<string>") if files is None else files
@@ -123,10 +143,19 @@ def generate_per_group(
     files_per_request: int = 300,
     options: GenerateOptions = GenerateOptions(),
 ) -> DataFrame:
-    """One request with all files of a group; a larger group takes several, numbered by part."""
-    lists = nested_parts(df, keys, order_by, files_per_request, [uri], "_files")
+    """One answer per group over all its files: a larger group's parts are asked first, then all their answers."""
+    lists = materialize(nested_parts(df, keys, order_by, files_per_request, [uri], "_files"), "file-lists")
     uris = F.transform("_files", lambda r: r[uri])
-    return generate(lists, prompt, provider, prefix, options, uris).drop("_files")
+    answers = materialize(generate(lists, prompt, provider, prefix, options, uris).drop("_files"), "part-answers")
+    while answers.where("part > 0").take(1):
+        # the answers of a group's parts become one text, and the prompt over it gives the group's answer
+        split = materialize(answers.where("part > 0").select(*keys).distinct(), "split-groups")
+        texts = answers.join(split, list(keys), "left_semi").withColumnRenamed("part", "_part")
+        merged = text_digest(texts, keys, F.coalesce(f"{prefix}_result", F.lit("")), "_part", max(2, files_per_request), "_answers", "\n\n")
+        final = generate(merged, F.concat(prompt, F.lit("\n\n"), "_answers"), provider, prefix, options)
+        whole = answers.join(split, list(keys), "left_anti")
+        answers = materialize(whole.unionByName(final.select(*whole.columns)), "group-answers")
+    return answers.drop("part")
 
 
 def embed(
@@ -147,12 +176,8 @@ def embed(
         for texts in batches:
             sent = [i for i, t in enumerate(texts) if t is not None]
             rows: list = [("no text", [], None, None)] * len(texts)
-            try:
-                for i, answer in zip(sent, service.embed([texts.iloc[i] for i in sent], task)):
-                    rows[i] = answer
-            except Exception as error:  # noqa: BLE001
-                for i in sent:
-                    rows[i] = (f"error: {error}", [], None, None)
+            for i, answer in _in_requests(lambda some, texts=texts: service.embed([texts.iloc[i] for i in some], task), sent):
+                rows[i] = (f"error: {answer}", [], None, None) if isinstance(answer, Exception) else answer
             names = ["status", "embedding", "token_count", "truncated"]
             frame = pd.DataFrame(rows, columns=names)
             yield frame.astype({"token_count": "Int32", "truncated": "boolean"})

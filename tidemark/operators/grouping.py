@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import ONE_TASK_ROWS, with_positions
+from tidemark.operators.ranking import ONE_TASK_ROWS, row_positions
 from tidemark.operators.skew import join_same
 from tidemark.session import materialize
 
@@ -84,25 +84,16 @@ def numbered_parts(
     order_by: str,
     size: int,
     descending: bool = False,
+    tie_break: Sequence[tuple[str, bool]] = (),
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Adds ``part`` and ``part_split`` so that a (group, part, split) holds about ``size`` rows.
+    """Adds ``part``, so that parts of ``size`` rows follow the order within the group, and ``part_place`` in it.
 
-    Parts follow ``order_by`` within the group. More than ``size`` rows with equal values are
-    split by a hash of the row. Rows whose ``order_by`` is NULL go last.
+    The order is ``order_by``, NULLs last, then ``tie_break`` as (column, descending); rows that are level stand in any order.
     """
-    keys = list(keys)
-    number = F.col(order_by).cast("double")
-    last = F.lit(float("-inf") if descending else float("inf"))
-    placed = df.withColumn("_order", F.coalesce(number, last))
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    splits = F.ceil(F.col("_ties") / size)
-    return (
-        with_positions(placed, keys, "_order", descending, one_task_rows)
-        .withColumn("part", F.floor(F.col("_before") / size))
-        .withColumn("part_split", F.when(splits > 1, F.pmod(row_hash, splits)).otherwise(0))
-        .drop("_order", "_ties", "_before")
-    )
+    order = [F.desc_nulls_last(c) if down else F.asc_nulls_last(c) for c, down in ((order_by, descending), *tie_break)]
+    placed = row_positions(df, keys, order, "_place", one_task_rows)
+    return placed.withColumns({"part": F.floor(F.col("_place") / size), "part_place": F.col("_place") % size}).drop("_place")
 
 
 def nested_parts(
@@ -116,19 +107,12 @@ def nested_parts(
     tie_break: Sequence[tuple[str, bool]] = (),
     one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
-    """Rows nested into ordered lists of about ``size``, as many lists per group as it takes.
-
-    ``tie_break`` is (column, descending) applied among rows with equal ``order_by`` in a list.
-    """
-    parts = numbered_parts(df, keys, order_by, size, descending, one_task_rows)
-    order = [_ordered_key(order_by, descending), *[_ordered_key(c, d) for c, d in tie_break]]
-    entry = F.struct(*[o.alias(f"_o{i}") for i, o in enumerate(order)], F.struct(*columns).alias("row"))
+    """Rows nested into ordered lists of ``size``, as many lists per group as it takes; see ``numbered_parts``."""
+    needed = dict.fromkeys([*keys, order_by, *[c for c, _ in tie_break], *columns])
+    parts = numbered_parts(df.select(*needed), keys, order_by, size, descending, tie_break, one_task_rows)
+    entry = F.struct("part_place", F.struct(*columns).alias("row"))
     ordered = F.transform(F.array_sort(F.collect_list(entry)), lambda e: e["row"])
-    return parts.groupBy(*keys, "part", "part_split").agg(ordered.alias(name))
-
-
-def _ordered_key(column: str, descending: bool) -> Column:
-    return -F.col(column).cast("double") if descending else F.col(column)
+    return parts.groupBy(*keys, "part").agg(ordered.alias(name))
 
 
 def text_digest(
@@ -153,7 +137,7 @@ def text_digest(
     kept = materialize(kept, "texts")
     nested = nested_parts(kept, keys, order_by, size, ["_text"], "_rows", descending, tie_break, one_task_rows)
     joined = F.array_join(F.transform("_rows", lambda r: r["_text"]), sep)
-    return nested.select(*keys, "part", "part_split", F.size("_rows").alias("num_texts"), joined.alias(name))
+    return nested.select(*keys, "part", F.size("_rows").alias("num_texts"), joined.alias(name))
 
 
 def joined_text(df: DataFrame, keys: Sequence[str], order_by: str, text: Column, name: str, sep: str = "\n") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Sequence
 
 import numpy as np
@@ -23,6 +24,8 @@ from tidemark.session import materialize, use_checkpoint_dir
 # Stands for a missing predictor: below every standardised value, so a tree can split it off.
 MISSING = -1e6
 TRAINING_ROWS_PER_TASK = 50_000
+# Different tokens of a column that k-means takes; more raise an error.
+MAX_TOKENS = 1_000_000
 
 
 # -- clusters ------------------------------------------------------------------
@@ -32,10 +35,15 @@ def fit_clusters(
     df: DataFrame, tokens: Sequence[str], numbers: Sequence[str], k: int = 10, seed: int = 1
 ) -> PipelineModel:
     """k-means on token presence and standardised numbers."""
-    words = [CountVectorizer(inputCol=c, outputCol=f"_{c}", binary=True) for c in tokens]
+    df = df.dropna(subset=list(numbers))
+    # every token is a feature: Spark would keep the commonest 2^18 and drop others in silence
+    sizes = {c: df.select(F.explode(c).alias("t")).where("t IS NOT NULL").distinct().count() for c in tokens}
+    if max(sizes.values(), default=0) > MAX_TOKENS:
+        raise ValueError(f"more than {MAX_TOKENS} different tokens: {sizes}")
+    words = [CountVectorizer(inputCol=c, outputCol=f"_{c}", binary=True, vocabSize=max(sizes[c], 1)) for c in tokens]
     stages = [
         *words,
-        VectorAssembler(inputCols=list(numbers), outputCol="_numbers", handleInvalid="skip"),
+        VectorAssembler(inputCols=list(numbers), outputCol="_numbers", handleInvalid="error"),
         StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=[*[f"_{c}" for c in tokens], "_scaled"], outputCol="features"),
         KMeans(k=k, seed=seed, initMode="k-means||", featuresCol="features"),
@@ -44,10 +52,11 @@ def fit_clusters(
 
 
 def assign_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Adds ``cluster``, numbered from 1."""
-    hidden = [c for c in model.transform(df.limit(0)).columns if c not in df.columns and c != "prediction"]
-    out = model.transform(df).withColumn("cluster", F.col("prediction") + 1)
-    return out.drop("prediction", *hidden)
+    """Adds ``cluster``, numbered from 1; NULL for rows with a NULL number."""
+    numbers = model.stages[-4].getInputCols()
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in numbers])
+    out = model.transform(df.where(whole)).withColumn("cluster", F.col("prediction") + 1).select(*df.columns, "cluster")
+    return out.unionByName(df.where(~whole).withColumn("cluster", F.lit(None).cast("int")))
 
 
 def centroids(spark: SparkSession, model: PipelineModel) -> DataFrame:
@@ -72,6 +81,7 @@ def centroids(spark: SparkSession, model: PipelineModel) -> DataFrame:
 def evaluate_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Mean squared distance, Davies-Bouldin index (1979) and silhouette."""
     centres = np.array(model.stages[-1].clusterCenters())
+    df = df.dropna(subset=list(model.stages[-4].getInputCols()))
     scored = materialize(model.transform(df).select("features", "prediction"), "clustered")
 
     @F.pandas_udf("double")

@@ -130,31 +130,48 @@ def with_carry(df: DataFrame, carry: DataFrame, keys: list[str], name: str) -> D
     return joined.withColumn(name, F.get("_carry", F.col("_bucket"))).drop("_carry")
 
 
-def value_positions(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    descending: bool = False,
-    one_task_rows: int = ONE_TASK_ROWS,
-) -> DataFrame:
+def has_large_group(df: DataFrame, keys: Sequence[str], above: int) -> bool:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return bool(sizes.where(F.col("_n") > above).take(1))
+
+
+def _running(df: DataFrame, keys: list[str], order: list[Column], weight: Column, name: str) -> DataFrame:
+    """Adds what the rows of its group before a row weigh; a group may cover any number of tasks.
+
+    Rows are dealt by ranges of group and order, so values of any type that sorts will do. Each range sums its own
+    piece of a group and adds what the group's pieces in earlier ranges hold.
+    """
+    spread = df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *order)
+    placed = materialize(spread.withColumn("_range", F.spark_partition_id()), "ranges")
+    pieces = placed.groupBy("_range", *keys).agg(F.sum(weight).alias("_own"))
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = pieces.select("_range", *keys, F.coalesce(F.sum("_own").over(earlier), F.lit(0)).alias("_carry"))
+    inside = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    summed = placed.withColumn(name, F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+    return join_same(summed, carry, ["_range", *keys]).withColumn(name, F.col(name) + F.col("_carry")).drop("_range", "_carry")
+
+
+def value_positions(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False) -> DataFrame:
     """Distinct values per group with ``_ties`` (rows holding it) and ``_before`` (rows ahead).
 
-    Rows are first counted per distinct value, with a map-side combine. The counts of a hot
-    group are then summed range by range, and each range adds what the earlier ones hold.
+    Rows are first counted per distinct value, with a map-side combine.
     """
     keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_ties"))
-    counts = materialize(counts, "value-counts")
-    bucketed, split = range_buckets(counts, keys, value, descending, one_task_rows)
-    if split:
-        carry = bucket_carry(bucketed, keys, F.sum("_ties"), _total)
-        bucketed = with_carry(bucketed, carry, keys, "_earlier")
-    else:
-        bucketed = bucketed.withColumn("_earlier", F.lit(0))
     order = F.desc(value) if descending else F.asc(value)
-    ahead = Window.partitionBy(*keys, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_ties").over(ahead), F.lit(0)) + F.coalesce("_earlier", F.lit(0))
-    return materialize(bucketed.select(*keys, value, "_ties", before.alias("_before")), "positions")
+    placed = _running(counts, keys, [order], F.col("_ties"), "_before")
+    return materialize(placed.select(*keys, value, "_ties", "_before"), "positions")
+
+
+def row_positions(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], name: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """Adds a number from 0 for every row of a group in ``order``; rows that are level are numbered in any order."""
+    keys = list(keys)
+    if not has_large_group(df, keys, one_task_rows):
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") - 1)
+    marked = df.withColumn("_row", F.monotonically_increasing_id())
+    return _running(marked, keys, [*order, F.col("_row").asc()], F.lit(1), name).drop("_row")
 
 
 def _total(values: Column) -> Column:
@@ -175,8 +192,8 @@ def with_positions(
     or a materialised frame.
     """
     keys = list(keys)
-    if large_groups(df, keys, one_task_rows) is not None:
-        positions = value_positions(df, keys, value, descending, one_task_rows)
+    if has_large_group(df, keys, one_task_rows):
+        positions = value_positions(df, keys, value, descending)
         return lookup_join(df, positions, [*keys, value], "_ties", keep_weight=True)
     v = F.col(value)
     ordered = Window.partitionBy(*keys).orderBy(v.desc_nulls_last() if descending else v.asc_nulls_last())
@@ -213,23 +230,21 @@ def scaled_rank(
 def group_slices(df: DataFrame, groups: int, order_by: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """Adds ``upload_group``: 1 to ``groups``, rows split evenly in ``order_by`` order.
 
-    ``order_by`` should be unique; rows with equal values share a slice.
+    Every row gets a slice: NULLs are last, and rows with equal values may fall into two slices.
     """
-    total = df.where(F.col(order_by).isNotNull()).agg(F.count(F.lit(1))).scalar()
-    placed = with_positions(df, [], order_by, one_task_rows=one_task_rows)
+    total = df.agg(F.count(F.lit(1))).scalar()
+    placed = row_positions(df, [], [F.col(order_by).asc_nulls_last()], "_before", one_task_rows)
     slice_no = F.ceil((F.col("_before") + 1) / total * groups).cast("int")
-    return placed.withColumn("upload_group", slice_no).drop("_before", "_ties")
+    return placed.withColumn("upload_group", slice_no).drop("_before")
 
 
-def five_numbers(
-    df: DataFrame, keys: Sequence[str], value: str, one_task_rows: int = ONE_TASK_ROWS
-) -> DataFrame:
+def five_numbers(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Minimum, quartiles and maximum per group, exact, with linear interpolation.
 
     Only the values at the wanted positions are kept, so a group is never gathered.
     """
     keys = list(keys)
-    positions = value_positions(df, keys, value, one_task_rows=one_task_rows)
+    positions = value_positions(df, keys, value)
     totals = positions.groupBy(*keys).agg(F.sum("_ties").alias("_total"))
     if keys:
         placed = join_same(positions, totals, keys, "inner")

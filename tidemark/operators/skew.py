@@ -8,9 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_KEYS = 64
+# Keys that are spread at most, which bounds the broadcast; rows a salt of a spread key stands for.
+HOT_KEYS = 10_000
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -27,14 +27,13 @@ def lookup_join(
     keys: list[str],
     weight: str,
     hot_rows: int | None = None,
-    salts: int = SALTS,
     keep_weight: bool = False,
 ) -> DataFrame:
     """Left join ``df`` to ``lookup`` on ``keys``; NULL keys match each other.
 
     ``weight`` is the lookup column counting the rows of ``df`` per key. Rows of the
-    heaviest keys are spread over ``salts`` partitions and the matching lookup rows are
-    repeated once per salt, so no key is one task. At most ``HOT_KEYS`` keys are heavy, which
+    heaviest keys are spread by row over one salt per ``hot_rows`` rows, and the matching lookup
+    rows are repeated once per salt, so no key is one task. At most ``HOT_KEYS`` keys are heavy, which
     bounds the broadcast; any other key has less than one part in ``HOT_KEYS`` of the rows.
     Without a heavy key it is a plain join. ``lookup`` is read several times: pass a
     materialised one.
@@ -49,15 +48,15 @@ def lookup_join(
         .distinct()
         .orderBy(F.desc(weight), *keys)
         .limit(HOT_KEYS)
-        .select(*keys, F.lit(True).alias("_hot"))
+        .select(*keys, (F.ceil(F.col(weight) / F.lit(max(hot_rows, 1))) + 1).cast("long").alias("_salts"))
     )
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salts)).cast("int")
-    left = _flag(df, hot, keys).withColumn("_salt", F.when(F.col("_hot"), spread).otherwise(0))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    right = _flag(lookup, hot, keys).withColumn("_salt", F.explode(copies)).drop("_hot")
+    # by row number, not content: rows that are alike spread too, and any salt joins to the same lookup row
+    left = _flag(df, hot, keys).withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.col("_salts")))
+    copies = F.sequence(F.lit(0).cast("long"), F.col("_salts") - 1)
+    right = _flag(lookup, hot, keys).withColumn("_salt", F.explode(copies)).drop("_salts")
     right = right if keep_weight else right.drop(weight)
-    return join_same(left, right, [*keys, "_salt"]).drop("_hot", "_salt")
+    return join_same(left, right, [*keys, "_salt"]).drop("_salts", "_salt")
 
 
 def _flag(df: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
-    return join_same(df, F.broadcast(hot), keys).withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    return join_same(df, F.broadcast(hot), keys).withColumn("_salts", F.coalesce("_salts", F.lit(1).cast("long")))

@@ -20,7 +20,8 @@ from tidemark.operators.grouping import text_digest
 from tidemark.operators.joins import left_lookup, outer_by_key
 from tidemark.session import materialize
 
-REVIEWS_PER_PART = 10_000
+# Reviews of one digest part, and summaries that are summed up at once.
+REVIEWS_PER_PART, SUMMARIES_PER_PART = 1_000, 100
 
 
 def with_links(
@@ -82,15 +83,29 @@ def review_digests(reviews: DataFrame, per_part: int = REVIEWS_PER_PART) -> Data
 
 
 def with_review_summaries(digests: DataFrame, provider: Callable[[], TextProvider]) -> DataFrame:
-    prompt = review_prompt("all_reviews_concat")
-    out = generate(digests, prompt, provider, "review_summary", GenerateOptions(max_output_tokens=150))
-    return materialize(out, "review-summaries")
+    """One row per product: parts of a long digest are summarised, then their summaries, until one is left.
+
+    Such a product's ``all_reviews_concat`` is the text its last summary was made of, and num_texts all its reviews.
+    """
+    prompt, options = review_prompt("all_reviews_concat"), GenerateOptions(max_output_tokens=150)
+    out = materialize(generate(digests, prompt, provider, "review_summary", options), "review-summaries")
+    while out.where("part > 0").take(1):
+        long = out.where("part > 0").select("key").distinct()
+        parts = out.join(long, "key", "left_semi").withColumn("_part", F.col("part")).drop("part")
+        counts = parts.groupBy("key").agg(F.sum("num_texts").alias("num_texts"))
+        text = F.coalesce("review_summary_result", F.lit(""))
+        merged = text_digest(parts, ["key"], text, "_part", SUMMARIES_PER_PART, "all_reviews_concat", "\n\n").drop("num_texts")
+        firsts = counts.withColumn("part", F.lit(0).cast("long"))
+        merged = merged.join(firsts, ["key", "part"], "left").withColumn("num_texts", F.coalesce("num_texts", F.lit(0)))
+        final = generate(merged, prompt, provider, "review_summary", options)
+        out = materialize(out.join(long, "key", "left_anti").unionByName(final.select(*out.columns)), "review-summaries")
+    return out.drop("part")
 
 
 def assemble(products: DataFrame, alt_texts: DataFrame, stats: DataFrame, summaries: DataFrame) -> DataFrame:
     """Products with picture texts and reviews, and all that was provided as one text.
 
-    A product whose reviews take several parts has one row per part.
+    One row per product.
     """
     images = alt_texts.select(F.col("uri").alias("image_uri"), "alt_text_status", "alt_text_result")
     reviews = stats.join(summaries.drop("review_summary_json"), "key", "left")

@@ -58,14 +58,14 @@ def thread_digest(spark, sf):
     """All turns of a conversation as one text, last turn first."""
     talks = read_table(spark, sf, "conversations")
     line = F.concat("role", F.lit(": "), "text")
-    return text_digest(talks, ["conv_id"], line, "turn", 1000, "thread", "\n\n", True).drop("part_split")
+    return text_digest(talks, ["conv_id"], line, "turn", 1000, "thread", "\n\n", True)
 
 
 def thread_digest_parts(spark, sf):
     """The same in order, three turns to a part."""
     talks = read_table(spark, sf, "conversations")
     line = F.concat("role", F.lit(": "), "text")
-    return text_digest(talks, ["conv_id"], line, "turn", 3, "thread", "\n\n").drop("part_split")
+    return text_digest(talks, ["conv_id"], line, "turn", 3, "thread", "\n\n")
 
 
 def review_stats(spark, sf):
@@ -73,7 +73,7 @@ def review_stats(spark, sf):
 
 
 def review_digests(spark, sf):
-    return plan.review_digests(reviews(spark, sf)).drop("part_split")
+    return plan.review_digests(reviews(spark, sf))
 
 
 def catalog_short_descriptions(spark, sf):
@@ -97,7 +97,7 @@ def _assembled(spark, sf) -> DataFrame:
 
 
 def catalog_assembled(spark, sf):
-    rows = _assembled(spark, sf).drop("part", "part_split", "num_texts", "description", "subhead", "ingredients")
+    rows = _assembled(spark, sf).drop("num_texts", "description", "subhead", "ingredients")
     return rounded(rows, {"avg_rating": 9})
 
 
@@ -132,10 +132,17 @@ def json_value_extract(spark, sf):
 
 
 def grouped_request(spark, sf):
-    """One request per page language with all its pages attached, up to 300 to a request."""
+    """One answer per page language over all its pages, 300 to a request."""
     pages = read_table(spark, sf, "pages").withColumn("lang", F.regexp_extract("html", '<html lang="([a-z]+)"', 1))
     asked = generate_per_group(pages, ["lang"], "url", "page_id", F.lit(REPORT_PROMPT), OfflineText, "report")
-    return asked.drop("report_json", "part_split")
+    return asked.drop("report_json")
+
+
+def grouped_request_parts(spark, sf):
+    """The same with 20 pages to a request: still one answer per language, over the answers of its parts."""
+    pages = read_table(spark, sf, "pages").withColumn("lang", F.regexp_extract("html", '<html lang="([a-z]+)"', 1))
+    asked = generate_per_group(pages, ["lang"], "url", "page_id", F.lit(REPORT_PROMPT), OfflineText, "report", files_per_request=20)
+    return asked.drop("report_json")
 
 
 def order_lines_nested(spark, sf):
@@ -181,7 +188,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         thread_digest, thread_digest_parts, review_stats, review_digests, catalog_short_descriptions,
-        catalog_alt_texts, catalog_assembled, embedding_outer_join, json_value_extract, grouped_request,
+        catalog_alt_texts, catalog_assembled, embedding_outer_join, json_value_extract, grouped_request, grouped_request_parts,
         order_lines_nested, vector_topk, vector_topk_blocks, similarity_scores, product_pairs,
     )
 }
@@ -284,6 +291,20 @@ SELECT q AS query_key, b AS base_key, d + 0.0 AS distance,
        CAST(row_number() OVER (PARTITION BY q ORDER BY d, b) AS INTEGER) AS neighbor_rk
 FROM pairs WHERE q <> b QUALIFY row_number() OVER (PARTITION BY q ORDER BY d, b) <= 10"""
 
+def _grouped(size: int) -> str:
+    """One answer per language; the answers of several parts are asked about again as one text."""
+    return f"""
+WITH p AS (
+  SELECT *, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang,
+         (rank() OVER (PARTITION BY regexp_extract(html, '<html lang="([a-z]+)"', 1) ORDER BY page_id) - 1) // {size} AS part FROM pages
+), a AS (
+  SELECT lang, part, {_answer(_lit(REPORT_PROMPT))} || ', ' || count(*) || ' files' AS answer FROM p GROUP BY lang, part
+), g AS (
+  SELECT lang, count(*) AS n, min(answer) AS one, {_lit(REPORT_PROMPT)} || chr(10) || chr(10) || string_agg(answer, chr(10) || chr(10) ORDER BY part) AS again
+  FROM a GROUP BY lang)
+SELECT lang, '' AS report_status, CASE WHEN n = 1 THEN one ELSE {_answer('again')} END AS report_result FROM g"""
+
+
 SQL = {
     "thread_digest": """
 SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS num_texts,
@@ -331,13 +352,8 @@ FROM a FULL JOIN b ON a.key = b.key""",
     "json_value_extract": """
 SELECT event_id, json_extract_string(props, '$.k') AS k, json_extract_string(props, '$.k') AS nested_k,
        CAST(NULL AS VARCHAR) AS object_is_null, event_type AS t FROM events""",
-    "grouped_request": f"""
-WITH p AS (
-  SELECT *, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang,
-         (rank() OVER (PARTITION BY regexp_extract(html, '<html lang="([a-z]+)"', 1) ORDER BY page_id) - 1) // 300 AS part FROM pages
-)
-SELECT lang, part, '' AS report_status, {_answer(_lit(REPORT_PROMPT))} || ', ' || count(*) || ' files' AS report_result
-FROM p GROUP BY lang, part""",
+    "grouped_request": _grouped(300),
+    "grouped_request_parts": _grouped(20),
     "order_lines_nested": """
 SELECT l_orderkey, CAST(0 AS BIGINT) AS part,
        string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_shipdate, l_partkey) AS parts FROM lineitem GROUP BY l_orderkey""",

@@ -25,7 +25,10 @@ _kept: dict = {}
 
 
 def _once(name, spark, sf, make):
-    key = (name, spark.sparkContext.applicationId, sf)
+    """A fitted model is shared by the queries over the same files: their newest time and size are part of the key."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{sf}/*.parquet")
+    state = tuple(files.agg(F.max("modificationTime").cast("string"), F.sum("length"), F.count(F.lit(1))).first())
+    key = (name, spark.sparkContext.applicationId, sf, state)
     if key not in _kept:
         _kept[key] = make()
     return _kept[key]

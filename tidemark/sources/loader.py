@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.skew import join_same
-from tidemark.session import scratch_path
+from tidemark.session import materialize, scratch_path
 
 MODES = ("CREATE", "REPLACE", "APPEND")
 # Rows per output file, and the name of the load-time column.
@@ -64,6 +64,8 @@ def upload(
     mode = mode.upper()
     if mode not in MODES:
         raise ValueError(f"mode is one of {MODES}, not {mode!r}")
+    # evaluated once: the keys that are dropped are those of the rows that are added, also of random columns
+    df = materialize(df, "incoming")
     if df.isEmpty():
         return None
     spark = df.sparkSession
@@ -71,7 +73,7 @@ def upload(
         stamp = loaded_at or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         df = df.withColumn(LOADED_AT, F.lit(stamp.isoformat(sep=" ")).cast("timestamp_ntz"))
     if dry_run:
-        df = df.limit(DRY_RUN_ROWS)
+        df = df.orderBy(*(keys or [c for c in df.columns if c != LOADED_AT])).limit(DRY_RUN_ROWS)
     if mode == "CREATE":
         return create_or_replace(df, table, partition_by)
     target = spark.table(table)
