@@ -85,12 +85,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _is_candidate(part: str) -> bool:
+    return bool(CANDIDATE.fullmatch(part) and re.search("[0-9]", part) and re.search("[A-Za-z]", part))
+
+
 def model_spans(text: str, base: list[tuple[int, int, int]], tables) -> list[tuple[int, int, int]]:
     """Random-looking candidates that no base span touches."""
     found = []
     for m in CANDIDATE.finditer(text):
         part = m[0]
-        if any(a < m.end() and m.start() < b for a, _, b in base) or not re.search("[0-9]", part) or not re.search("[A-Za-z]", part):
+        if not _is_candidate(part) or any(a < m.end() and m.start() < b for a, _, b in base):
             continue
         ratio = log_ratio(part, tables)
         if ratio >= LEAST_RATIO and ratio >= LEAST_PER_CHARACTER * len(part):
@@ -165,7 +169,7 @@ def _masked(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
 def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Transition tables: of random strings by alphabet, and of the ordinary identifiers of the documents.
 
-    Identifiers are the distinct runs of 4 to 64 key characters outside base spans in the ``TRAIN_DOCS`` documents with the
+    Identifiers are the distinct runs of 4 to 64 key characters, none of them candidates or in base spans, in the ``TRAIN_DOCS`` documents with the
     least hash of doc_id. Their texts are read in tasks; the driver gets counts of character pairs.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -178,6 +182,7 @@ def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 text = text or ""
                 base = base_spans(text)
                 strings = {m[0] for m in word.finditer(text) if not any(a < m.end() and m.start() < b for a, _, b in base)}
+                strings = {s for s in strings if not _is_candidate(s)}
                 counts = np.zeros((_N, _N), np.int64)
                 for s in strings:
                     symbols = np.concatenate(([0], _INDEX[np.frombuffer(s.encode(), np.uint8)]))

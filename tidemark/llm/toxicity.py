@@ -118,6 +118,8 @@ def _features(evidence: np.ndarray) -> np.ndarray:
 
 def fit_counts(toxic: np.ndarray, spelt: list[bytes], n: np.ndarray) -> Model:
     """Kneser-Ney tables over the beginnings of words, from continuation counts of both classes."""
+    if not spelt:
+        return Model(np.zeros(0, np.uint64), np.zeros(0, np.float32), np.zeros(0, np.float32))
     raw = np.frombuffer(b"".join(spelt), np.uint8)
     sizes = np.array([len(w) for w in spelt], np.int64)
     starts = np.cumsum(sizes) - sizes
@@ -223,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     # one task fits the tables: it gets the different words of the two samples at most, whatever the tables hold
     fitted = grams.groupBy("toxic", "w").agg(F.count("*").alias("n")).repartition(1).sortWithinPartitions("toxic", "w")
     tables = fitted.mapInArrow(_fit_batches, "nodes binary, here binary, beyond binary").first()
-    model = Model(*(np.frombuffer(x, t) for x, t in zip(tables, (np.uint64, np.float32, np.float32), strict=True)))
+    model = Model(*(np.frombuffer(x, t) for x, t in zip(tables or (b"",) * 3, (np.uint64, np.float32, np.float32), strict=True)))
 
     rest = sample(marks.where(F.col("fold") == CALIBRATION_FOLD), CALIBRATION_ROWS)
     shared = spark.sparkContext.broadcast(model.tables())
