@@ -81,11 +81,13 @@ def test_models_add_random_strings_only(spark):
     rng = random.Random(2)
     key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(40))
     plain = "the quick brown fox and getUserAccountNumber2 handleRequestFromServer1 internationalization_of_words_2 " * 3
-    docs = spark.createDataFrame([(1, f"{plain} {key} {plain}"), (2, plain), (3, "token=abcdef99 " + plain)], "doc_id long, text string")
+    parts = "get user account number handle request from server inter nation al ization of words Get User Account Number Handle Request".split()
+    more = " ".join("".join(rng.choices(parts, k=3)) for _ in range(3000))
+    docs = spark.createDataFrame([(1, f"{plain} {key} {plain}"), (2, plain), (3, "token=abcdef99 " + plain), (4, more)], "doc_id long, text string")
     got = {r.doc_id: r for r in secretscan.secret_spans(docs).collect()}
     assert got[1].spans == f"markov:{len(plain) + 1}:{len(plain) + 41}" and got[2].spans == "" and got[3].n_markov == 0
     clean = {r.doc_id: r.text for r in secretscan.redact(docs).collect()}
-    assert clean == {1: f"{plain} [SECRET] {plain}", 2: plain, 3: "[SECRET] " + plain}
+    assert clean == {1: f"{plain} [SECRET] {plain}", 2: plain, 3: "[SECRET] " + plain, 4: more}
 
 
 ITEM = "Anna Berg drove 120 km to visit Anna and then paid 35 dollars for the long way back home to her town"

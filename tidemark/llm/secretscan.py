@@ -30,7 +30,7 @@ RANDOM = "markov"
 
 #: Candidates of the models, and the ratio that marks a secret: natural logs, in all and per character.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
-LEAST_RATIO, LEAST_PER_CHARACTER = 12.0, 0.5
+LEAST_RATIO, LEAST_PER_CHARACTER = 40.0, 2.0
 #: Documents read for ordinary identifiers, at most; seeded random strings made for each alphabet.
 TRAIN_DOCS, TRAIN_STRINGS, SEED = 2_000, 2_000, 20_240_229
 ALPHABETS = (
