@@ -89,21 +89,23 @@ def _text_logs(shared, n_langs: int, markup: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
-        for batch in batches:
-            parts = [np.zeros((0, n_langs))]
-            texts = batch.column(0)
-            if markup:
-                texts = pa.array([_MARKUP.sub(" ", t) if t else "" for t in texts.to_pylist()], pa.string())
-            for _, _, raw, offsets in tb.pieces(texts):
-                rows, slots = _slots(raw, offsets)
-                n = len(offsets) - 1
-                grams = np.bincount(rows, minlength=n)
-                logs = np.stack([np.bincount(rows, one[slots], n) for one in table], axis=1)
-                parts.append(logs * (np.minimum(grams, INDEPENDENT) / np.maximum(grams, 1))[:, None])
-            logs = np.concatenate(parts)
-            logs = logs - logs.max(axis=1, keepdims=True, initial=-np.inf)
-            found = pa.ListArray.from_arrays(np.arange(len(logs) + 1, dtype=np.int32) * n_langs, pa.array(logs.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([found, *(batch.column(i) for i in range(1, batch.num_columns))], names=["logs", *batch.schema.names[1:]])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                parts = [np.zeros((0, n_langs))]
+                texts = batch.column(0)
+                if markup:
+                    texts = pa.array([_MARKUP.sub(" ", t) if t else "" for t in texts.to_pylist()], pa.string())
+                for _, _, raw, offsets in tb.pieces(texts):
+                    rows, slots = _slots(raw, offsets)
+                    n = len(offsets) - 1
+                    grams = np.bincount(rows, minlength=n)
+                    logs = np.stack([np.bincount(rows, one[slots], n) for one in table], axis=1)
+                    parts.append(logs * (np.minimum(grams, INDEPENDENT) / np.maximum(grams, 1))[:, None])
+                logs = np.concatenate(parts)
+                logs = logs - logs.max(axis=1, keepdims=True, initial=-np.inf)
+                found = pa.ListArray.from_arrays(np.arange(len(logs) + 1, dtype=np.int32) * n_langs, pa.array(logs.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([found, *(batch.column(i) for i in range(1, batch.num_columns))], names=["logs", *batch.schema.names[1:]])
 
     return run
 
