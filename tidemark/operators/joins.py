@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ranking import ONE_TASK_ROWS, bucket_carry, range_buckets, with_carry
+from tidemark.operators.ranking import ONE_TASK_ROWS, range_buckets
 from tidemark.operators.skew import HOT_ROWS, join_same, lookup_join
 from tidemark.session import materialize
 
@@ -41,9 +41,9 @@ def latest_before(
     Every left row is kept. Right rows that tie at the chosen time are all returned. A NULL
     key matches nothing. With ``strict=False`` an equal time counts as before.
 
-    The match depends on key and time only, so it is found once per distinct pair. The pairs
-    of a hot key are split into time ranges, and the last right time of earlier ranges is
-    carried over; the way back to the left rows is a salted join.
+    The match depends on key and time only, so it is found once per distinct pair. If any key has more
+    than ``one_task_rows`` pairs, they are dealt by ranges of key and time, and the last right time of earlier
+    ranges is carried over, whatever the number of such keys; the way back to the left rows is a salted join.
     """
     keys = list(keys)
     if left_time in right.columns:
@@ -60,15 +60,16 @@ def latest_before(
         given.withColumn("_side", F.lit(1)), allowMissingColumns=True
     )
     both = materialize(both, "asof-times")
-    both, split = range_buckets(both, keys, "_t", one_task_rows=one_task_rows)
     right_t = F.when(F.col("_side") == 1, F.col("_t"))
+    both, split = range_buckets(both, keys, "_t", one_task_rows)
     if split:
-        both = with_carry(both, bucket_carry(both, keys, F.max(right_t), F.array_max), keys, "_earlier")
+        # a range adds what the key's earlier ranges last held
+        pieces = both.groupBy("_bucket", *keys).agg(F.max(right_t).alias("_last"))
+        before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+        both = join_same(both, pieces.select("_bucket", *keys, F.max("_last").over(before).alias("_earlier")), ["_bucket", *keys])
     else:
         both = both.withColumn("_earlier", F.lit(None))
-    upto = Window.partitionBy(*keys, "_bucket").orderBy("_t", "_side").rowsBetween(
-        Window.unboundedPreceding, 0
-    )
+    upto = Window.partitionBy("_bucket", *keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
     matched = (
         both.withColumn("_match", F.coalesce(F.max(right_t).over(upto), "_earlier"))
         .where(F.col("_side") == side)

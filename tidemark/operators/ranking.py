@@ -7,19 +7,19 @@ be large, and otherwise never put a whole group in one task.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import math
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.skew import join_same, lookup_join
 from tidemark.session import materialize
 
-HOT_GROUPS = 64
-CUTS = 64
 # A group of this many rows may be sorted by one task.
 ONE_TASK_ROWS = 1_000_000
+# Ranges of fewer rows are not worth a task.
+LEAST_RANGE = 32
 
 
 def tie_ranks(value: str, partition: Sequence[str], prefix: str, method: str = "min") -> dict[str, Column]:
@@ -44,95 +44,24 @@ def unique_rank(value: str, tie_break: Sequence[str], partition: Sequence[str])
     return F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("long")
 
 
-def _as_number(df: DataFrame, column: str) -> Column:
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
-    return F.col(column).cast("double")
-
-
-def large_groups(df: DataFrame, keys: list[str], above: int) -> DataFrame | None:
-    """The (at most ``HOT_GROUPS``) largest groups with more than ``above`` rows; None if there are none."""
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > above)
-    found = sizes.orderBy(F.desc("_n"), *keys).limit(HOT_GROUPS).collect()
-    return df.sparkSession.createDataFrame(found, sizes.schema).drop("_n") if found else None
+def has_large_group(df: DataFrame, keys: Sequence[str], above: int) -> bool:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return bool(sizes.where(F.col("_n") > above).take(1))
 
 
 def range_buckets(
-    df: DataFrame, keys: list[str], value: str, descending: bool = False, one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, keys: Sequence[str], value: str, one_task_rows: int = ONE_TASK_ROWS
 ) -> tuple[DataFrame, bool]:
-    """Adds ``_bucket``: consecutive value ranges of large groups, NULL in all others.
-
-    Also tells whether any group is split.
+    """Adds ``_bucket``: consecutive ranges of group and value that hold about ``one_task_rows`` rows each.
 
-    The ``HOT_GROUPS`` largest groups above ``one_task_rows`` rows get ``CUTS`` ranges each from
-    an approximate quantile sketch; every other group is small or below one part in
-    ``HOT_GROUPS`` of the rows. The cut points (at most ``HOT_GROUPS * CUTS`` numbers) come to the
-    driver once, so all branches that read the result agree on them. Equal values always share
-    a bucket. ``df`` is read several times: pass a materialised one.
+    Also tells whether rows were dealt out; if no group is large all share one bucket. The number of ranges follows the
+    counted rows, and equal values of a group share a bucket. The result is written once, so all readers agree on it.
     """
-    large = large_groups(df, keys, one_task_rows)
-    if large is None:
-        return df.withColumn("_bucket", F.lit(None).cast("int")), False
-    number = _as_number(df, value)
-    shares = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
-    cuts = F.percentile_approx(number, shares, F.lit(1000)).alias("_cuts")
-    sketch = (join_same(df, F.broadcast(large), keys, "inner") if keys else df).groupBy(*keys).agg(cuts)
-    points = df.sparkSession.createDataFrame(sketch.collect(), sketch.schema)
-    if keys:
-        placed = join_same(df, F.broadcast(points), keys)
-    else:
-        placed = df.withColumn("_cuts", F.array(*[F.lit(c) for c in points.first()["_cuts"]]))
-    if descending:
-        placed = placed.withColumn("_cuts", F.reverse("_cuts"))
-    # Binary search: each step moves past the cut points that lie before the value.
-    is_split = F.col("_cuts").isNotNull()
-    placed = placed.withColumns({"_number": number, "_split": is_split, "_bucket": F.when(is_split, 0)})
-    step = CUTS // 2
-    while step:
-        cut = F.get("_cuts", F.col("_bucket") + (step - 1))
-        passed = cut > F.col("_number") if descending else cut < F.col("_number")
-        placed = placed.withColumn("_bucket", F.col("_bucket") + F.when(passed, step).otherwise(0))
-        step //= 2
-    return placed.drop("_cuts", "_number"), True
-
-
-def bucket_carry(
-    df: DataFrame, keys: list[str], in_bucket: Column, combine: Callable[[Column], Column]
-) -> DataFrame:
-    """Per split group an array: what the buckets before each bucket amount to.
-
-    ``in_bucket`` aggregates a bucket and ``combine`` an array of those results.
-    """
-    # The flag, not the bucket: a filter on the bucket would repeat its whole computation.
-    per_bucket = df.where("_split").groupBy(*keys, "_bucket").agg(in_bucket.alias("_v"))
-    pair = F.struct(F.col("_bucket").alias("b"), F.col("_v").alias("v"))
-    pairs = per_bucket.groupBy(*keys).agg(F.collect_list(pair).alias("_pairs"))
-
-    def earlier(bucket: Column) -> Column:
-        before = F.filter("_pairs", lambda p: p["b"] < bucket)
-        return combine(F.transform(before, lambda p: p["v"]))
-
-    return pairs.select(*keys, F.transform(F.sequence(F.lit(0), F.lit(CUTS - 1)), earlier).alias("_carry"))
-
-
-def with_carry(df: DataFrame, carry: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Adds what the buckets before a row's bucket amount to; NULL in groups that are not split.
-
-    At most ``HOT_GROUPS`` groups are split, which bounds the broadcast.
-    """
-    if keys:
-        joined = join_same(df, F.broadcast(carry), keys)
-    else:
-        joined = df.withColumn("_carry", carry.scalar())
-    return joined.withColumn(name, F.get("_carry", F.col("_bucket"))).drop("_carry")
-
-
-def has_large_group(df: DataFrame, keys: Sequence[str], above: int) -> bool:
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return bool(sizes.where(F.col("_n") > above).take(1))
+    if not has_large_group(df, keys, one_task_rows):
+        return df.withColumn("_bucket", F.lit(0)), False
+    ranges = max(1, math.ceil(df.count() / max(one_task_rows, LEAST_RANGE)))
+    spread = df.repartitionByRange(ranges, *[F.col(k).asc_nulls_first() for k in keys], F.col(value).asc_nulls_first())
+    return materialize(spread.withColumn("_bucket", F.spark_partition_id()), "ranges"), True
 
 
 def _running(df: DataFrame, keys: list[str], order: list[Column], weight: Column, name: str) -> DataFrame:

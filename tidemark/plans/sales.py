@@ -30,19 +30,16 @@ def sales_facts(
     as_of: dt.date,
     start: dt.date | None = None,
 ) -> DataFrame:
-    """Sales of complete months with the month's first day and the item's columns.
+    """Sales of complete months by the month's first day and item, with the item's columns.
 
-    The planner sends the item table out whole if its size allows. Beyond that it shuffles both
-    sides, and the partition of a best-selling item is split while the query runs.
+    Sales are summed per month and item before the join, so no single sale meets the item table, and a best-selling
+    item has one row a month. The planner sends the item table out whole if its size allows.
     """
     kept = sales.where(before_month_of(day, as_of))
     if start is not None:
         kept = kept.where(F.col(day) >= F.lit(start))
-    facts = kept.select(
-        F.trunc(F.to_date(day), "MM").alias("month_start"),
-        F.col(item).alias("item_id"),
-        F.col(volume).alias("volume"),
-        F.col(dollars).alias("dollars"),
+    facts = kept.groupBy(F.trunc(F.to_date(day), "MM").alias("month_start"), F.col(item).alias("item_id")).agg(
+        F.sum(volume).alias("volume"), F.sum(dollars).alias("dollars")
     )
     return facts.join(items, "item_id", "left")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import in_local_days, local_day
 from tidemark.functions.stats import sum_if
-from tidemark.operators.ranking import scaled_rank
+from tidemark.operators.ranking import ONE_TASK_ROWS, scaled_rank
 from tidemark.operators.reshape import with_years
 from tidemark.session import materialize
 
@@ -34,12 +34,13 @@ def views_of_titles(daily: DataFrame, titles: DataFrame, first: int, last: int)
     return wanted.join(daily.withColumn("year", F.year("date")), ["page_title", "year"], "inner")
 
 
-def daily_ranks(daily: DataFrame, name: str = "page_title") -> DataFrame:
+def daily_ranks(daily: DataFrame, name: str = "page_title", one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """Rank by views within each day, best first; tied titles share the mean of their ranks."""
     daily = materialize(daily, "daily-views")
-    return scaled_rank(daily, ["date"], "views", "date_view_rank", descending=True, method="average").select(
-        "date", name, "views", "date_view_rank"
+    ranked = scaled_rank(
+        daily, ["date"], "views", "date_view_rank", descending=True, method="average", one_task_rows=one_task_rows
     )
+    return ranked.select("date", name, "views", "date_view_rank")
 
 
 def days_at_top(ranked: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -12,6 +12,7 @@ from tidemark.functions.prompts import ALT_TEXT_PROMPT, DESCRIPTION_PROMPT, REVI
 from tidemark.functions.scalars import json_scalar
 from tidemark.operators.enrich import OfflineEmbedding, OfflineText, generate_per_group
 from tidemark.operators.grouping import nested_parts, text_digest
+from tidemark.operators.ranking import ONE_TASK_ROWS
 from tidemark.operators.similarity import nearest, pair_table, score_pairs
 from tidemark.plans import catalog as plan
 from tidemark.registry.common import rounded
@@ -54,11 +55,16 @@ def pictures(spark, sf) -> DataFrame:
     return pages.select(F.concat(F.lit(f"{STORE}/{FOLDER}/"), "page_id", F.lit(".png")).alias("uri"))
 
 
-def thread_digest(spark, sf):
+def thread_digest(spark, sf, one_task_rows=ONE_TASK_ROWS):
     """All turns of a conversation as one text, last turn first."""
     talks = read_table(spark, sf, "conversations")
     line = F.concat("role", F.lit(": "), "text")
-    return text_digest(talks, ["conv_id"], line, "turn", 1000, "thread", "\n\n", True)
+    return text_digest(talks, ["conv_id"], line, "turn", 1000, "thread", "\n\n", True, one_task_rows=one_task_rows)
+
+
+def thread_digest_split(spark, sf):
+    """The same with every conversation of several turns counted as a large group."""
+    return thread_digest(spark, sf, 1)
 
 
 def thread_digest_parts(spark, sf):
@@ -187,7 +193,7 @@ def product_pairs(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        thread_digest, thread_digest_parts, review_stats, review_digests, catalog_short_descriptions,
+        thread_digest, thread_digest_split, thread_digest_parts, review_stats, review_digests, catalog_short_descriptions,
         catalog_alt_texts, catalog_assembled, embedding_outer_join, json_value_extract, grouped_request, grouped_request_parts,
         order_lines_nested, vector_topk, vector_topk_blocks, similarity_scores, product_pairs,
     )
@@ -305,10 +311,13 @@ WITH p AS (
 SELECT lang, '' AS report_status, CASE WHEN n = 1 THEN one ELSE {_answer('again')} END AS report_result FROM g"""
 
 
-SQL = {
-    "thread_digest": """
+_THREADS = """
 SELECT conv_id, CAST(0 AS BIGINT) AS part, CAST(count(*) AS INTEGER) AS num_texts,
-       string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn DESC) AS thread FROM conversations GROUP BY conv_id""",
+       string_agg(role || ': ' || text, chr(10) || chr(10) ORDER BY turn DESC) AS thread FROM conversations GROUP BY conv_id"""
+
+SQL = {
+    "thread_digest": _THREADS,
+    "thread_digest_split": _THREADS,
     "thread_digest_parts": """
 WITH t AS (SELECT *, (rank() OVER (PARTITION BY conv_id ORDER BY turn) - 1) // 3 AS part FROM conversations)
 SELECT conv_id, part, CAST(count(*) AS INTEGER) AS num_texts,

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tidemark.operators.grouping import profile_by
-from tidemark.operators.ranking import group_slices
+from tidemark.operators.ranking import ONE_TASK_ROWS, group_slices
+from tidemark.operators.reshape import union_by_name
 from tidemark.session import scratch_path
 from tidemark.sources import loader
 from tidemark.sources.readers import (
@@ -15,6 +16,9 @@ from tidemark.sources.readers import (
 )
 
 LOADED = dt.datetime(2024, 5, 1, 12, 0, 0)
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
 
 
 def _database(spark) -> str:
@@ -65,6 +69,16 @@ def file_listing(spark, sf):
     return list_files(spark, sf, "*.parquet")
 
 
+def file_row_counts(spark, sf):
+    """Every listed file with the number of rows that reading its table finds in it."""
+    counts = [
+        read_table(spark, sf, name).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
+        for name in TABLES
+    ]
+    listed = list_files(spark, sf, "*.parquet").select(F.substring_index("uri", "/", -1).alias("file"))
+    return listed.join(union_by_name(*counts), "file", "left").select("file", F.coalesce("n", F.lit(0)).alias("num_rows"))
+
+
 def sql_with_parameters(spark, sf):
     text = """
         SELECT date_format(o_orderdate, 'yyyy-MM') AS month, count(*) AS num_orders
@@ -96,9 +110,14 @@ def random_order(spark, sf):
     return random_rows(read_table(spark, sf, "orders"), 1, seed=7)
 
 
-def upload_slices(spark, sf):
+def upload_slices_split(spark, sf):
+    """The same with the table counted as too large for one task."""
+    return upload_slices(spark, sf, 100)
+
+
+def upload_slices(spark, sf, one_task_rows=ONE_TASK_ROWS):
     """Rows per slice when a load is split evenly in key order."""
-    sliced = group_slices(read_table(spark, sf, "orders"), 8, "o_orderkey")
+    sliced = group_slices(read_table(spark, sf, "orders"), 8, "o_orderkey", one_task_rows)
     return sliced.groupBy("upload_group").agg(
         F.count(F.lit(1)).alias("num_rows"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")
     )
@@ -158,8 +177,8 @@ def table_from_query(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        table_preview, pruned_scan, csv_round_trip, year_shard_union, year_partition_scan, file_listing,
-        sql_with_parameters, segment_profile, nation_profile, random_order, upload_slices, upload_append,
+        table_preview, pruned_scan, csv_round_trip, year_shard_union, year_partition_scan, file_listing, file_row_counts,
+        sql_with_parameters, segment_profile, nation_profile, random_order, upload_slices, upload_slices_split, upload_append,
         upload_keyed_replace, upload_keyed_partitions, upload_replace, table_from_query,
     )
 }
@@ -167,6 +186,9 @@ QUERIES = {
 _SHARDS = """
 SELECT CAST(year(o_orderdate) AS INTEGER) AS source_year, o_orderstatus, count(*) AS num_orders
 FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 1999 GROUP BY ALL"""
+_SLICES = """
+SELECT CAST(ceil(rn / n * 8) AS INTEGER) AS upload_group, count(*) AS num_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders) GROUP BY ALL"""
 _REPLACED = """
 SELECT o_orderkey, o_orderstatus, o_orderdate,
        round(CASE WHEN year(o_orderdate) >= 1999 THEN o_totalprice + 1 ELSE o_totalprice END, 2) AS o_totalprice FROM orders"""
@@ -189,9 +211,9 @@ SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS num_orders FROM orde
 WHERE o_orderdate >= DATE '1998-01-01' AND o_totalprice > 100000 GROUP BY ALL""",
     "segment_profile": _profile("c_mktsegment"),
     "nation_profile": _profile("c_nationkey", ", count(DISTINCT c_mktsegment) AS num_segments"),
-    "upload_slices": """
-SELECT CAST(ceil(rn / n * 8) AS INTEGER) AS upload_group, count(*) AS num_rows, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
-FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn, count(*) OVER () AS n FROM orders) GROUP BY ALL""",
+    "upload_slices": _SLICES,
+    "upload_slices_split": _SLICES,
+    "file_row_counts": " UNION ALL ".join(f"SELECT '{name}.parquet' AS file, count(*) AS num_rows FROM {name}" for name in TABLES),
     "upload_append": """
 SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment < 'G' THEN c_acctbal END AS c_acctbal,
        TIMESTAMP '2024-05-01 12:00:00' AS "uploadTimestampUTC" FROM customer""",

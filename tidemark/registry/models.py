@@ -99,11 +99,12 @@ def glm_normal_equations(spark, sf):
 
 
 def glm_single_predictor(spark, sf):
-    """With one predictor the coefficients are those of the least-squares line."""
+    """With one predictor the table is that of the least-squares line, errors and fit figures included."""
     rows = standings._analysed(spark, sf)
     model = learning.fit_gaussian(rows, "medal_share", ["population_scaled"])
     terms = learning.gaussian_coefficients(spark, model, ["population_scaled"])
-    return rounded(terms.select("term", "estimate"), {"estimate": 8})
+    terms = terms.select("term", "estimate", "std_error", "t_value", "aic", "deviance")
+    return rounded(terms, {"estimate": 8, "std_error": 8, "t_value": 6, "aic": 6, "deviance": 8})
 
 
 def _boosted(spark, sf):
@@ -216,7 +217,17 @@ FROM top GROUP BY cluster""",
     + "]) AS term, CAST(0 AS DOUBLE) AS moment",
     "gbt_attribution_adds_up": f"""WITH {standings._ASOF}
 SELECT year, country, CAST(5 AS BIGINT) AS num_predictors, CAST(0 AS DOUBLE) AS gap FROM joined WHERE year BETWEEN 1996 AND 2001""",
-    "glm_single_predictor": f"""WITH {standings._ASOF}
-SELECT 'population_scaled' AS term, round(regr_slope(medal_share, population_scaled), 8) + 0.0 AS estimate FROM analysed
-UNION ALL SELECT '(Intercept)', round(regr_intercept(medal_share, population_scaled), 8) + 0.0 FROM analysed""",
+    "glm_single_predictor": f"""WITH {standings._ASOF},
+line AS (
+  SELECT regr_slope(medal_share, population_scaled) AS slope, regr_intercept(medal_share, population_scaled) AS start,
+         regr_count(medal_share, population_scaled) AS n, regr_avgx(medal_share, population_scaled) AS mean,
+         regr_sxx(medal_share, population_scaled) AS sxx, regr_syy(medal_share, population_scaled) AS syy FROM analysed
+),
+fit AS (SELECT *, syy - slope * slope * sxx AS rest FROM line),
+terms AS (
+  SELECT 'population_scaled' AS term, slope AS e, sqrt(rest / (n - 2) / sxx) AS se, n, rest FROM fit
+  UNION ALL SELECT '(Intercept)', start, sqrt(rest / (n - 2) * (1 / n + mean * mean / sxx)), n, rest FROM fit
+)
+SELECT term, round(e, 8) + 0.0 AS estimate, round(se, 8) + 0.0 AS std_error, round(e / se, 6) + 0.0 AS t_value,
+       round(n * (ln(2 * pi() * rest / n) + 1) + 2 + 2 * 2, 6) + 0.0 AS aic, round(rest, 8) + 0.0 AS deviance FROM terms""",
 }

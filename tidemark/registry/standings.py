@@ -13,7 +13,7 @@ from tidemark.functions.stats import line_intercept, line_slope
 from tidemark.operators.grouping import joined_text, with_group_totals
 from tidemark.operators.joins import latest_before
 from tidemark.operators.learning import regression_metrics, scale_to_total
-from tidemark.operators.ranking import five_numbers, scaled_rank, tie_ranks
+from tidemark.operators.ranking import ONE_TASK_ROWS, five_numbers, scaled_rank, tie_ranks
 from tidemark.operators.reshape import corr_matrix, densify, to_long, to_wide
 from tidemark.plans import standings as plan
 from tidemark.registry.common import rounded
@@ -22,7 +22,8 @@ from tidemark.sources.readers import read_table
 
 OPEN_YEAR = 2001
 TOTAL = 10_000.0
-CORRELATED = ["gold", "medals", "medal_share", "medal_share_prev", "gdp_scaled", "population_scaled"]
+#: Rows one task may sort in the queries that force the split plans of large groups.
+SPLIT_ROWS = 50
 
 
 def _medal_counts() -> list:
@@ -151,16 +152,22 @@ def customer_year_grid(spark, sf):
     return densify(years, "year", "customer", {m: 0 for m in plan.MEDALS})
 
 
-def customer_year_rank(spark, sf):
-    """Customers ranked within each year by orders; the groups grow with the data."""
-    years = materialize(
-        _customer_years(spark, sf).withColumn("orders", F.col("gold") + F.col("silver") + F.col("bronze")), "customer-years"
-    )
+def customer_year_rank(spark, sf, one_task_rows=ONE_TASK_ROWS):
+    """Customers ranked within each year by all their orders; the groups grow with the data."""
+    counted = _orders(spark, sf).groupBy("c_custkey", "year").agg(F.count(F.lit(1)).alias("orders"))
+    years = materialize(counted, "customer-years")
     shared = with_group_totals(years, ["year"], F.sum("orders").alias("year_orders"))
-    ranked = scaled_rank(shared, ["year"], "orders", "order_rk", descending=True, num_at_rank="num_at_rk")
+    ranked = scaled_rank(
+        shared, ["year"], "orders", "order_rk", descending=True, num_at_rank="num_at_rk", one_task_rows=one_task_rows
+    )
     return ranked.select("c_custkey", "year", "orders", "order_rk", "num_at_rk", "year_orders")
 
 
+def customer_year_rank_split(spark, sf):
+    """The same with every year counted as a large group."""
+    return customer_year_rank(spark, sf, SPLIT_ROWS)
+
+
 def indicators_scaled(spark, sf):
     out = plan.scaled_indicators(indicators(spark, sf)).drop("gdp", "gdp_per_capita")
     return rounded(out, {"gdp_scaled": 6, "population_scaled": 6, "gdp_per_capita_scaled": 6})
@@ -173,14 +180,19 @@ def indicators_asof(spark, sf):
     return rounded(out, {"gdp_scaled": 6, "population_scaled": 6})
 
 
-def events_latest_error(spark, sf):
+def events_latest_error_split(spark, sf):
+    """The same with most users counted as large groups."""
+    return events_latest_error(spark, sf, 2)
+
+
+def events_latest_error(spark, sf, one_task_rows=ONE_TASK_ROWS):
     """Each purchase with the user's latest error strictly before it."""
     events = read_table(spark, sf, "events")
     purchases = events.where(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("bought_at"), "event_id")
     errors = events.where(F.col("event_type") == "error").select(
         "user_id", F.col("ts").alias("failed_at"), F.col("value").alias("error_value")
     )
-    return latest_before(purchases, errors, ["user_id"], "bought_at", "failed_at")
+    return latest_before(purchases, errors, ["user_id"], "bought_at", "failed_at", one_task_rows=one_task_rows)
 
 
 def _analysed(spark, sf) -> DataFrame:
@@ -189,8 +201,7 @@ def _analysed(spark, sf) -> DataFrame:
 
 def numeric_corr_matrix(spark, sf):
     rows = _analysed(spark, sf)
-    columns = [c for c in plan.correlated_columns(rows) if c in CORRELATED]
-    return rounded(corr_matrix(rows, columns), {"corr": 6})
+    return rounded(corr_matrix(rows, plan.correlated_columns(rows)), {"corr": 6})
 
 
 def share_change_quartiles(spark, sf):
@@ -226,8 +237,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         medals_by_year, medals_year_hosts, medals_group_span, medals_rank_share_lag, medals_entrants_zero_filled,
-        medals_long_ranked, medals_wide_with_text, persistence_forecast, persistence_metrics, customer_year_grid, customer_year_rank, indicators_scaled, indicators_asof,
-        events_latest_error, numeric_corr_matrix, share_change_quartiles, order_price_quartiles, share_trend_line,
+        medals_long_ranked, medals_wide_with_text, persistence_forecast, persistence_metrics, customer_year_grid, customer_year_rank, customer_year_rank_split,
+        indicators_scaled, indicators_asof, events_latest_error, events_latest_error_split, numeric_corr_matrix, share_change_quartiles, order_price_quartiles, share_trend_line,
         model_split_counts,
     )
 }
@@ -305,7 +316,8 @@ _ASOF = (
     + _INDICATORS
     + """,
 joined AS (
-  SELECT p.*, s.indicator_year, s.gdp, s.population, s.gdp_scaled, s.population_scaled
+  SELECT p.*, s.indicator_year, s.gdp, s.population, s.gdp_per_capita, s.gdp_scaled, s.population_scaled,
+         s.gdp_per_capita_scaled
   FROM panel p ASOF LEFT JOIN scaled s ON p.country = s.country_code AND p.year > s.indicator_year
 ),
 analysed AS (
@@ -327,6 +339,21 @@ _LONG_FIELDS = {
     "gold": "gold", "silver": "silver", "bronze": "bronze", "total": "medals", "predicted": "pred", "total_vs_predicted": "medals - pred",
 }
 
+_YEAR_RANK = """
+WITH s AS (
+  SELECT o_custkey AS c_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders FROM orders GROUP BY ALL
+)
+SELECT c_custkey, year, orders, rank() OVER (PARTITION BY year ORDER BY orders DESC) AS order_rk,
+       count(*) OVER (PARTITION BY year, orders) AS num_at_rk,
+       CAST(sum(orders) OVER (PARTITION BY year) AS BIGINT) AS year_orders FROM s"""
+_LATEST_ERROR = """
+SELECT p.user_id, p.ts AS bought_at, p.event_id, e.ts AS failed_at, e.value AS error_value
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p
+ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') e ON p.user_id = e.user_id AND p.ts > e.ts"""
+_NUMBERS = """gold silver bronze medals medals_rk medals_num_at_rk yr_tot_medals medal_share medal_share_prev
+    medal_share_2_ago gdp population gdp_per_capita gdp_scaled population_scaled gdp_per_capita_scaled""".split()
+_PAIRS = [(a, b) for a in _NUMBERS for b in _NUMBERS]
+
 SQL = {
     "medals_by_year": f"""WITH {_PANEL}
 SELECT year, country, country_group, is_host, gold, silver, bronze, medals FROM panel""",
@@ -383,10 +410,8 @@ SELECT round(sqrt(avg((t - e) * (t - e))), 9) AS rmse, round(avg(abs(t - e)), 9)
 SELECT y.year, c.o_custkey AS customer, coalesce(gold, 0) AS gold, coalesce(silver, 0) AS silver, coalesce(bronze, 0) AS bronze
 FROM (SELECT DISTINCT year FROM cy) y CROSS JOIN (SELECT DISTINCT o_custkey FROM cy) c
 LEFT JOIN cy ON cy.year = y.year AND cy.o_custkey = c.o_custkey""",
-    "customer_year_rank": f"""WITH {_RESULTS}, s AS (SELECT *, gold + silver + bronze AS orders FROM cy)
-SELECT o_custkey AS c_custkey, year, orders, rank() OVER (PARTITION BY year ORDER BY orders DESC) AS order_rk,
-       count(*) OVER (PARTITION BY year, orders) AS num_at_rk,
-       CAST(sum(orders) OVER (PARTITION BY year) AS BIGINT) AS year_orders FROM s""",
+    "customer_year_rank": _YEAR_RANK,
+    "customer_year_rank_split": _YEAR_RANK,
     "indicators_scaled": f"""WITH {_INDICATORS}
 SELECT country_code, indicator_year, population, round(gdp_scaled, 6) + 0.0 AS gdp_scaled,
        round(population_scaled, 6) + 0.0 AS population_scaled,
@@ -394,16 +419,15 @@ SELECT country_code, indicator_year, population, round(gdp_scaled, 6) + 0.0 AS g
     "indicators_asof": f"""WITH {_ASOF}
 SELECT year, country, country_group, indicator_year, population, round(gdp_scaled, 6) + 0.0 AS gdp_scaled,
        round(population_scaled, 6) + 0.0 AS population_scaled FROM joined""",
-    "events_latest_error": """
-SELECT p.user_id, p.ts AS bought_at, p.event_id, e.ts AS failed_at, e.value AS error_value
-FROM (SELECT * FROM events WHERE event_type = 'purchase') p
-ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'error') e ON p.user_id = e.user_id AND p.ts > e.ts""",
-    "numeric_corr_matrix": f"WITH {_ASOF} "
-    + " UNION ALL ".join(
-        f"SELECT '{a}' AS column_1, '{b}' AS column_2, round(corr({a}, {b}), 6) + 0.0 AS corr FROM analysed"
-        for a in CORRELATED
-        for b in CORRELATED
-    ),
+    "events_latest_error": _LATEST_ERROR,
+    "events_latest_error_split": _LATEST_ERROR,
+    "numeric_corr_matrix": f"""WITH {_ASOF},
+lists AS (
+  SELECT [{", ".join(f"'{a}'" for a, _ in _PAIRS)}] AS a, [{", ".join(f"'{b}'" for _, b in _PAIRS)}] AS b,
+         [{", ".join(f"corr({a}, {b})" for a, b in _PAIRS)}] AS c FROM analysed
+),
+cells AS (SELECT unnest(a) AS column_1, unnest(b) AS column_2, unnest(c) AS c FROM lists)
+SELECT column_1, column_2, CASE WHEN NOT isnan(c) THEN round(c, 6) + 0.0 END AS corr FROM cells""",
     "share_change_quartiles": f"""WITH {_ASOF}, c AS (SELECT *, medal_share - medal_share_prev AS share_change FROM analysed)
 {_box("is_host", "share_change", "c", 9)}""",
     "order_price_quartiles": _box("o_orderpriority", "o_totalprice", "orders", 4),

@@ -30,6 +30,11 @@ def views_daily_rank(spark, sf):
     return plan.daily_ranks(_user_days(spark, sf))
 
 
+def views_daily_rank_split(spark, sf):
+    """The same with every day counted as a large group."""
+    return plan.daily_ranks(_user_days(spark, sf), one_task_rows=2)
+
+
 def views_days_at_no1(spark, sf):
     days = plan.days_at_top(plan.daily_ranks(_user_days(spark, sf)), ["page_title"])
     return days.withColumn("num_days_no1", F.col("num_days_no1").cast("long"))
@@ -38,7 +43,8 @@ def views_days_at_no1(spark, sf):
 def views_by_title_and_year(spark, sf):
     """Titles from the customers' segments, views from their orders, one join for all years."""
     customers = read_table(spark, sf, "customer")
-    orders = read_table(spark, sf, "orders").groupBy(
+    wanted = (F.col("o_orderdate") >= F.lit(dt.date(1996, 1, 1))) & (F.col("o_orderdate") < F.lit(dt.date(2000, 1, 1)))
+    orders = read_table(spark, sf, "orders").where(wanted).groupBy(
         F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date")
     ).agg(F.count(F.lit(1)).alias("n"))
     daily = orders.join(customers, "c_custkey").groupBy("date", F.lower("c_mktsegment").alias("page_title")).agg(
@@ -70,6 +76,7 @@ QUERIES = {
     for f in (
         views_daily_local,
         views_daily_rank,
+        views_daily_rank_split,
         views_days_at_no1,
         views_by_title_and_year,
         yearly_event_counts,
@@ -97,6 +104,7 @@ SELECT {_LOCAL} AS date, lower(event_type) AS page_title, round(sum(value), 4) A
 FROM events WHERE lower(event_type) IN ('view', 'click', 'purchase')
   AND {_LOCAL} BETWEEN DATE '2024-01-02' AND DATE '2024-01-28' GROUP BY ALL""",
     "views_daily_rank": f"WITH {_DAYS} SELECT * FROM ranked",
+    "views_daily_rank_split": f"WITH {_DAYS} SELECT * FROM ranked",
     "views_days_at_no1": f"""WITH {_DAYS}
 SELECT page_title, CAST(sum(CASE WHEN date_view_rank = 1 THEN 1 ELSE 0 END) AS BIGINT) AS num_days_no1
 FROM ranked GROUP BY page_title""",

@@ -109,11 +109,12 @@ def _replace_keys(rows: DataFrame, table: str, keys: list[str]) -> None:
 
 
 def _among(column: str, wanted: DataFrame) -> Column:
-    """A filter by listed values, which prunes partitions while planning; true if the list is long."""
+    """A filter by listed values, or by their bounds if the list is long; both prune partitions while planning."""
     found = wanted.select(column).distinct().limit(MAX_LISTED_PARTITIONS + 1).collect()
     values = [r[0] for r in found]
     if len(values) > MAX_LISTED_PARTITIONS:
-        return F.lit(True)
+        low, high = wanted.agg(F.min(column), F.max(column)).first()
+        return F.col(column).between(F.lit(low), F.lit(high)) | F.col(column).isNull()
     listed = F.col(column).isin([v for v in values if v is not None])
     return listed | F.col(column).isNull() if None in values else listed
 
