@@ -168,6 +168,21 @@ def upload_replace(spark, sf):
     return spark.table(table)
 
 
+def upload_dry_run(spark, sf):
+    """A trial load: the first rows by key, in a table of their own."""
+    table = _database(spark) + ".trial"
+    return loader.upload(read_table(spark, sf, "customer"), table, "CREATE", keys=["c_custkey"], add_timestamp=False, dry_run=True)
+
+
+def upload_empty(spark, sf):
+    """Loading no rows leaves the table as it is."""
+    table = _database(spark) + ".suppliers"
+    rows = read_table(spark, sf, "supplier")
+    loader.upload(rows, table, "CREATE", add_timestamp=False)
+    loader.upload(rows.where(F.col("s_suppkey").isNull()), table, "REPLACE", add_timestamp=False)
+    return spark.table(table)
+
+
 def table_from_query(spark, sf):
     table = _database(spark) + ".order_totals"
     totals = read_table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("num_orders"))
@@ -179,7 +194,7 @@ QUERIES = {
     for f in (
         table_preview, pruned_scan, csv_round_trip, year_shard_union, year_partition_scan, file_listing, file_row_counts,
         sql_with_parameters, segment_profile, nation_profile, random_order, upload_slices, upload_slices_split, upload_append,
-        upload_keyed_replace, upload_keyed_partitions, upload_replace, table_from_query,
+        upload_keyed_replace, upload_keyed_partitions, upload_replace, upload_dry_run, upload_empty, table_from_query,
     )
 }
 
@@ -220,5 +235,7 @@ SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment < 'G' THEN c_acctbal END
     "upload_keyed_replace": _REPLACED,
     "upload_keyed_partitions": _REPLACED,
     "upload_replace": "SELECT * FROM supplier WHERE s_acctbal > 1000",
+    "upload_dry_run": f"SELECT * FROM customer ORDER BY c_custkey LIMIT {loader.DRY_RUN_ROWS}",
+    "upload_empty": "SELECT * FROM supplier",
     "table_from_query": "SELECT o_orderstatus, count(*) AS num_orders FROM orders GROUP BY o_orderstatus",
 }

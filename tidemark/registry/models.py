@@ -115,6 +115,26 @@ def _boosted(spark, sf):
     return _once("trees", spark, sf, make)
 
 
+def _stump(spark, sf):
+    """One tree of one split on whether the country is host, and its training rows."""
+    train = _rows(spark, sf).where(F.col("split") == "Train")
+    return train, learning.fit_boosted_trees(train, "medal_share", ["is_host"], trees=1, depth=1, rate=1.0)
+
+
+def gbt_single_split(spark, sf):
+    """A tree with one split on a flag predicts the mean of each side."""
+    train, model = _stump(spark, sf)
+    scored = learning.predict(model, train, ["is_host"], "pred_medal_share")
+    return rounded(scored.select("year", "country", "pred_medal_share"), {"pred_medal_share": 9})
+
+
+def gbt_single_split_attribution(spark, sf):
+    """With one predictor its value is the prediction less the mean of all training rows."""
+    train, model = _stump(spark, sf)
+    long = attribute(train, model, ["is_host"], ["year", "country"])
+    return rounded(long.select("year", "country", "value", "base_value"), {"value": 9, "base_value": 9})
+
+
 def _forecast(spark, sf) -> DataFrame:
     return plan.forecast(_rows(spark, sf), _boosted(spark, sf))
 
@@ -188,7 +208,7 @@ def forecast_standings_long(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        cluster_profile, brand_profile, cluster_eval, cluster_centroids, glm_coefficients, glm_single_predictor, glm_normal_equations, gbt_predictions,
+        cluster_profile, brand_profile, cluster_eval, cluster_centroids, glm_coefficients, glm_single_predictor, glm_normal_equations, gbt_single_split, gbt_single_split_attribution, gbt_predictions,
         gbt_metrics, gbt_importance, gbt_attribution, gbt_attribution_adds_up, gbt_attribution_wide, forecast_explanations, forecast_standings_long,
     )
 }
@@ -215,6 +235,12 @@ FROM top GROUP BY cluster""",
     "glm_normal_equations": "SELECT unnest(["
     + ", ".join(f"'{c}'" for c in [*plan.PREDICTORS, "one"])
     + "]) AS term, CAST(0 AS DOUBLE) AS moment",
+    "gbt_single_split": f"""WITH {standings._ASOF}
+SELECT year, country, round(avg(medal_share) OVER (PARTITION BY is_host), 9) + 0.0 AS pred_medal_share
+FROM joined WHERE year BETWEEN 1996 AND 1998""",
+    "gbt_single_split_attribution": f"""WITH {standings._ASOF}
+SELECT year, country, round(avg(medal_share) OVER (PARTITION BY is_host) - avg(medal_share) OVER (), 9) + 0.0 AS value,
+       round(avg(medal_share) OVER (), 9) + 0.0 AS base_value FROM joined WHERE year BETWEEN 1996 AND 1998""",
     "gbt_attribution_adds_up": f"""WITH {standings._ASOF}
 SELECT year, country, CAST(5 AS BIGINT) AS num_predictors, CAST(0 AS DOUBLE) AS gap FROM joined WHERE year BETWEEN 1996 AND 2001""",
     "glm_single_predictor": f"""WITH {standings._ASOF},

@@ -87,6 +87,12 @@ def medals_by_year(spark, sf):
     return _panel(spark, sf).select("year", "country", "country_group", "is_host", *plan.MEDALS, "medals")
 
 
+def medals_of_one_country(spark, sf):
+    """One row looked up by country and year."""
+    found = _panel(spark, sf).where((F.col("country") == "NATION_3") & (F.col("year") == 1998))
+    return found.select("country", "year", "medals", "medals_rk")
+
+
 def medals_year_hosts(spark, sf):
     return plan.year_hosts(results(spark, sf), 2002, "NATION_7").orderBy(F.desc("year"))
 
@@ -236,7 +242,7 @@ def model_split_counts(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        medals_by_year, medals_year_hosts, medals_group_span, medals_rank_share_lag, medals_entrants_zero_filled,
+        medals_by_year, medals_of_one_country, medals_year_hosts, medals_group_span, medals_rank_share_lag, medals_entrants_zero_filled,
         medals_long_ranked, medals_wide_with_text, persistence_forecast, persistence_metrics, customer_year_grid, customer_year_rank, customer_year_rank_split,
         indicators_scaled, indicators_asof, events_latest_error, events_latest_error_split, numeric_corr_matrix, share_change_quartiles, order_price_quartiles, share_trend_line,
         model_split_counts,
@@ -357,6 +363,8 @@ _PAIRS = [(a, b) for a in _NUMBERS for b in _NUMBERS]
 SQL = {
     "medals_by_year": f"""WITH {_PANEL}
 SELECT year, country, country_group, is_host, gold, silver, bronze, medals FROM panel""",
+    "medals_of_one_country": f"""WITH {_PANEL}
+SELECT country, year, medals, medals_rk FROM panel WHERE country = 'NATION_3' AND year = 1998""",
     "medals_year_hosts": f"""WITH {_RESULTS}
 SELECT DISTINCT year, host_country FROM results UNION SELECT 2002, 'NATION_7'""",
     "medals_group_span": f"WITH {_RESULTS} SELECT * FROM spans",
