@@ -120,3 +120,24 @@ def test_slots_must_map_one_to_one(spark):
     docs = spark.createDataFrame([(1, "x " + odd), (2, "x " + text.replace("Anna", "Olaf"))], "doc_id long, text string")
     bench = spark.createDataFrame([(7, "x " + text)], "item_id long, text string")
     assert [(r.doc_id, r.changed) for r in decontam.contaminated(docs, bench).collect()] == [(2, True)]
+
+
+def test_verbatim_items_of_numbers_and_names_are_found(spark):
+    dense = "Ann 3 Bob 4 Cid 5 Dan 6 Eve 7 Fay 8 Gus 9 Hal 10"
+    asked = "Which of the two long rivers of the north is longer than this one here and why"
+    items = [(1, "What is 17 + 25?"), (2, dense), (3, asked), (4, "What is 12 times 13?")]
+    texts = {
+        1: "look: what is 17 + 25? so it goes", 2: f"then {dense} came", 3: f'words before\n"{asked[:-8]} and why', 4: "so\nWhat is 12 times 14?",
+        5: f"words before\n{asked.replace(' here', '')}", 6: "so\nWhat is 12 times 13? Yes",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3), (5, 3), (6, 4)} and not any(r.changed for r in got.values())
+
+
+def test_first_word_of_an_item_may_be_a_name_in_the_document(spark):
+    item = "Where was the 120 km long road of the town"
+    docs = spark.createDataFrame([(1, 'some words\n"' + item.replace("120", "77") + '"')], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [(r.doc_id, r.covered, r.changed) for r in decontam.contaminated(docs, bench).collect()] == [(1, 10, True)]

@@ -1,7 +1,8 @@
 """Benchmark passages in documents, found through templates: numbers, names and units become typed placeholders.
 
 Windows of template tokens are hash-joined with those of the benchmark. A question whose numbers or names were
-changed has the same template; its slots must then map one to one onto those of the item.
+changed has the same template; its slots must then map one to one onto those of the item. A second join, on the words
+themselves, finds what is copied verbatim, whatever the words are.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import textbytes as tb
 from tidemark.session import materialize
 
-#: Tokens of a window, plain words it must hold, and tokens of an item that must be covered (all, if it has fewer).
+#: Tokens of a window, plain words a template window must hold, and tokens of an item that must be covered (all, if it has fewer).
 WINDOW, LEAST_PLAIN, LEAST_COVERED = 8, 4, 13
 #: Bits of the filter that documents' windows pass before the join; its size does not depend on any table.
 FILTER_BITS = 24
@@ -37,6 +38,7 @@ _STOP = np.zeros(256, bool)
 _STOP[[ord(c) for c in ".!?:"]] = True
 _PLACES = np.array([0x1B873593, 0xCC9E2D51, 0x85EBCA6B], np.uint64)
 NUMBER, NAME, UNIT = range(3)
+_RUN_STEP, _LITERAL = 0xD6E8FEB86659FD93, 1 << 32
 
 
 def _hash_words(words: list[str]) -> np.ndarray:
@@ -48,8 +50,8 @@ def _hash_words(words: list[str]) -> np.ndarray:
 _UNIT_HASHES = _hash_words(UNITS)
 
 
-def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, template hash and slot value (0: a plain word) of every token.
+def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, template hash, slot value (0: a plain word) and hash of the lower-cased word of every token.
 
     A token is a word without its ASCII punctuation, if anything is left. One that begins with a digit is a number; a
     unit is one only after a number; a name is capitalised, with small letters after, and neither the first word of a
@@ -68,7 +70,7 @@ def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     a, b = places[starts], places[ends]
     values = tb.word_hashes(tb.LOWER[bare], a, b)
     if not len(a):
-        return rows, values, values
+        return rows, values, values, values
     digit = _DIGIT[bare[a]]
     capitals = np.concatenate(([0], np.cumsum(_UPPER[bare])))
     name = _UPPER[bare[a]] & (capitals[b] - capitals[a] == 1) & (b - a > 1) & ~sentence
@@ -78,24 +80,42 @@ def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     unit = after & (_UNIT_HASHES[at] == values)
     kinds = np.select([digit, unit, name], [NUMBER, UNIT, NAME], -1)
     slot = kinds >= 0
-    return rows, np.where(slot, _PLACES[kinds], values), np.where(slot, values | np.uint64(1), np.uint64(0))
+    return rows, np.where(slot, _PLACES[kinds], values), np.where(slot, values | np.uint64(1), np.uint64(0)), values
+
+
+def _run_hashes(tokens: np.ndarray, width: int, seed: int) -> np.ndarray:
+    n = len(tokens) - width + 1
+    value = np.full(n, seed, np.uint64)
+    for i in range(width):
+        value = value * np.uint64(_RUN_STEP) + tokens[i : i + n]
+    return value
 
 
 def windows(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place, hash and slots (windows x width) of every run of ``width`` tokens with enough plain words."""
-    rows, tokens, slots = template(raw, offsets)
+    """Row, place, hash and slots (windows x width) of every run of ``width`` tokens, by its words and by its template.
+
+    By words every run counts, and has no slots. By template a run needs enough plain words. One that begins with a name is
+    given once more with that name as a plain word, as the same word is plain where it begins a text.
+    """
+    rows, tokens, slots, words = template(raw, offsets)
     n = len(rows) - width + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64), np.zeros((0, width), np.uint64)
     firsts = np.searchsorted(rows, np.arange(len(offsets) - 1))
-    value = np.full(n, width, np.uint64)
-    for i in range(width):
-        value = value * np.uint64(0xD6E8FEB86659FD93) + tokens[i : i + n]
+    whole = rows[:n] == rows[width - 1 :]
     plain = np.concatenate(([0], np.cumsum(slots == 0)))
-    good = (rows[:n] == rows[width - 1 :]) & (plain[width:] - plain[:n] >= min(LEAST_PLAIN, width))
-    at = np.flatnonzero(good)
-    return rows[at], at - firsts[rows[at]], tb.mix(value[at]), np.lib.stride_tricks.sliding_window_view(slots, width)[at]
+    plain, least = plain[width:] - plain[:n], min(LEAST_PLAIN, width)
+    value = _run_hashes(tokens, width, width)
+    named = value + (words[:n] - tokens[:n]) * np.uint64(pow(_RUN_STEP, width - 1, 1 << 64))
+    literal, typed = np.flatnonzero(whole), np.flatnonzero(whole & (plain >= least))
+    opened = np.flatnonzero(whole & (tokens[:n] == _PLACES[NAME]) & (slots[:n] > 0) & (plain + 1 >= least))
+    at = np.concatenate([literal, typed, opened])
+    values = np.concatenate([_run_hashes(words, width, width | _LITERAL)[literal], value[typed], named[opened]])
+    own = np.lib.stride_tricks.sliding_window_view(slots, width)[at]
+    own[: len(literal)] = 0
+    own[len(literal) + len(typed) :, 0] = 0
+    return rows[at], at - firsts[rows[at]], tb.mix(values), own
 
 
 def _probe(value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -126,7 +146,7 @@ def _window_batches(widths: list[int], shared=None):
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, raw, offsets in tb.pieces(batch.column(1)):
-            rows, _, _ = template(raw, offsets)
+            rows, _, _, _ = template(raw, offsets)
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(tb.lengths_by_row(rows, last - first))], names=["id", "n"])
 
 
@@ -156,8 +176,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     covered is the number of the item's tokens in matching windows whose slots map one to one onto the document's along
     one alignment; a pair counts from ``LEAST_COVERED`` of them, or all of a shorter item. changed says that some
-    slot's value differs. Items of fewer than ``WINDOW`` tokens are matched whole if all their tokens are plain or
-    at least ``LEAST_PLAIN`` are. Rows without text or id match nothing; a repeated item_id is one item with the
+    slot's value differs. Items of fewer than ``WINDOW`` tokens are matched whole: verbatim, or by template if all
+    their tokens are plain or at least ``LEAST_PLAIN`` are. Rows without text or id match nothing; a repeated item_id is one item with the
     longest of its texts, rows that repeat a doc_id are one document. An empty table gives no pairs.
     """
     spark = docs.sparkSession
