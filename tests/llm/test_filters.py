@@ -141,3 +141,17 @@ def test_first_word_of_an_item_may_be_a_name_in_the_document(spark):
     docs = spark.createDataFrame([(1, 'some words\n"' + item.replace("120", "77") + '"')], "doc_id long, text string")
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert [(r.doc_id, r.covered, r.changed) for r in decontam.contaminated(docs, bench).collect()] == [(1, 10, True)]
+
+
+def test_one_edited_slot_leaves_the_rest_of_a_copy(spark):
+    head = "in the year 1990 they began to build a very long bridge over the wide river and through the old town of the north "
+    item = head + "which was opened for good in 1990 with a great feast for all who had ever worked on it"
+    names = "then Anna took 3 red apples and Bert took 5 green pears to the market"
+    texts = {
+        1: "x " + item.replace("in 1990 with", "in 1991 with"), 2: "so " + names.replace("3", "4").replace("5", "4"),
+        3: "so " + names.replace("Bert", "Olaf").replace("Anna", "Olaf"),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "x " + item), (2, "so " + names)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, bench).collect()}
+    assert set(got) == {(1, 1), (2, 2)} and got[1, 1].covered >= 30 and got[2, 2].covered == got[2, 2].item_tokens == 16

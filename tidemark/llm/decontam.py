@@ -7,6 +7,7 @@ themselves, finds what is copied verbatim, whatever the words are.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +52,7 @@ _UNIT_HASHES = _hash_words(UNITS)
 
 
 def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, template hash, slot value (0: a plain word) and hash of the lower-cased word of every token.
+    """Row, template hash, slot value (0: a plain word; else its last bits tell the kind) and lower-cased word's hash of every token.
 
     A token is a word without its ASCII punctuation, if anything is left. One that begins with a digit is a number; a
     unit is one only after a number; a name is capitalised, with small letters after, and neither the first word of a
@@ -80,7 +81,7 @@ def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     unit = after & (_UNIT_HASHES[at] == values)
     kinds = np.select([digit, unit, name], [NUMBER, UNIT, NAME], -1)
     slot = kinds >= 0
-    return rows, np.where(slot, _PLACES[kinds], values), np.where(slot, values | np.uint64(1), np.uint64(0)), values
+    return rows, np.where(slot, _PLACES[kinds], values), np.where(slot, values & ~np.uint64(3) | (kinds + 1).astype(np.uint64), np.uint64(0)), values
 
 
 def _run_hashes(tokens: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -159,6 +160,45 @@ def _bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(bits.view(np.int64))], names=["cell", "bits"])
 
 
+def _largest_part(found: list[dict]) -> dict[int, bool]:
+    """Tokens of the runs of ``LEAST_COVERED`` or more whose windows follow one mapping of slots, and if one changed.
+
+    Pairs of an item's and the document's value enter the mapping one by one unless they contradict it: those with equal values
+    first, or those at most tokens first, whichever leaves more.
+    """
+    pairs = {(w["place"] + i, a, b) for w in found for i, (a, b) in enumerate(zip(w["slots"], w["own"], strict=True)) if a}
+    support = Counter((a, b) for _, a, b in pairs)
+    best: dict[int, bool] = {}
+    for order in (lambda x: (x[0] != x[1], -support[x], x), lambda x: (-support[x], x[0] != x[1], x)):
+        image: dict[int, int] = {}
+        used = set()
+        for a, b in sorted(support, key=order):
+            if a not in image and (b & 3 == NUMBER + 1 or b not in used):
+                image[a] = b
+                used.add(b)
+        tokens: dict[int, bool] = {}
+        for w in found:
+            slots = [(a, b) for a, b in zip(w["slots"], w["own"], strict=True) if a]
+            if all(image.get(a) == b for a, b in slots):
+                differs = any(a != b for a, b in slots)
+                for token in range(w["place"], w["place"] + len(w["slots"])):
+                    tokens[token] = tokens.get(token, True) and differs
+        places = np.array(sorted(tokens), np.int64)
+        runs = np.split(places, np.flatnonzero(np.diff(places) > 1) + 1)
+        kept = {int(t): tokens[int(t)] for run in runs if len(run) >= LEAST_COVERED for t in run}
+        if len(kept) > len(best):
+            best = kept
+    return best
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in range(batch.num_rows):
+            part = _largest_part(batch.column(2)[row].as_py())
+            ids = [pa.array([batch.column(i)[row].as_py()] * len(part), pa.int64()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*ids, pa.array(list(part), pa.int64()), pa.array(list(part.values()), pa.bool_())], names=["doc_id", "item_id", "token", "changed"])
+
+
 def _filter(found: DataFrame) -> bytes:
     """Bits of the benchmark's windows: 2 MB at any size of either table."""
     rows = found.select("w").mapInArrow(_bits, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
@@ -175,7 +215,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, item_tokens, covered, changed): pairs of a document and a benchmark item it holds.
 
     covered is the number of the item's tokens in matching windows whose slots map one to one onto the document's along
-    one alignment; a pair counts from ``LEAST_COVERED`` of them, or all of a shorter item. changed says that some
+    one alignment; different numbers may become the same number. Of an alignment whose slots do not, the part that follows one mapping
+    counts, where it has ``LEAST_COVERED`` tokens in a row. A pair counts from ``LEAST_COVERED`` of them, or all of a shorter item. changed says that some
     slot's value differs. Items of fewer than ``WINDOW`` tokens are matched whole: verbatim, or by template if all
     their tokens are plain or at least ``LEAST_PLAIN`` are. Rows without text or id match nothing; a repeated item_id is one item with the
     longest of its texts, rows that repeat a doc_id are one document. An empty table gives no pairs.
@@ -201,11 +242,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     line = ["doc_id", "item_id", "shift"]
     values = pairs.select(*line, F.explode(F.arrays_zip("slots", "own")).alias("v")).where("v.slots <> 0").select(*line, "v.slots", "v.own").distinct()
     forth = values.groupBy(*line, "slots").agg(F.count("*").alias("n")).groupBy(*line).agg(F.max("n").alias("forth"))
-    back = values.groupBy(*line, "own").agg(F.count("*").alias("n")).groupBy(*line).agg(F.max("n").alias("back"))
+    back = values.where(F.col("own").bitwiseAND(3) != NUMBER + 1).groupBy(*line, "own").agg(F.count("*").alias("n"))
+    back = back.groupBy(*line).agg(F.max("n").alias("back"))
     changed = values.groupBy(*line).agg(F.max(F.col("slots") != F.col("own")).alias("changed"))
-    odd = forth.join(back, line).where("forth > 1 OR back > 1").select(*line)
+    odd = forth.join(back, line, "left").where("forth > 1 OR back > 1").select(*line)
     tokens = pairs.join(odd, line, "left_anti").select(*line, F.explode(F.sequence(F.col("place"), F.col("place") + F.size("slots") - 1)).alias("token"))
-    covered = tokens.join(changed, line, "left").groupBy("doc_id", "item_id", "token").agg(F.min(F.coalesce("changed", F.lit(False))).alias("changed"))
+    tokens = tokens.join(changed, line, "left").select("doc_id", "item_id", "token", F.coalesce("changed", F.lit(False)).alias("changed"))
+    # a line has at most a window of each kind at each place of the item, so its list is bounded by the item
+    mixed = pairs.join(odd, line, "left_semi").groupBy(*line).agg(F.collect_list(F.struct("place", "slots", "own")).alias("found"))
+    parts = mixed.select("doc_id", "item_id", "found").mapInArrow(_parts, "doc_id long, item_id long, token long, changed boolean")
+    covered = tokens.unionByName(parts).groupBy("doc_id", "item_id", "token").agg(F.min("changed").alias("changed"))
     covered = covered.groupBy("doc_id", "item_id").agg(F.count("*").alias("covered"), F.max("changed").alias("changed"))
     sized = covered.join(sizes.select(F.col("id").alias("item_id"), F.col("n").alias("item_tokens")), "item_id")
     return sized.where(F.col("covered") >= F.least(F.lit(LEAST_COVERED), F.col("item_tokens"))).select("doc_id", "item_id", "item_tokens", "covered", "changed")
