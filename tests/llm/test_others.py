@@ -138,6 +138,18 @@ def test_evidence_decides_where_text_is_silent(spark):
     assert {r.lang for r in langid.identify_pages(pages, docs.limit(0)).collect()} == {None}
 
 
+def test_declaration_is_read_wherever_it_stands(spark):
+    page = "<html class='a' lang='xx'><p>1</p>"
+    before = {
+        1: "<!-- " + "licence - " * 1000 + "<html lang=yy> -->", 2: " " * 9000, 3: "<SCRIPT>" + "if (a < b) c = '<html lang=yy>'; " * 9000 + "</Script >",
+        4: "<!--[if gt IE 8]><!-->", 5: "<!--><!---><style>a > b {}</style>",
+    }
+    pages = [(i, "http://a.q/", x + page) for i, x in before.items()] + [(6, "http://a.q/", "<!-- " + page), (7, "http://a.q/", "<script>" + page), (8, "http://a.q/", None)]
+    docs = spark.createDataFrame([(i, "aaa bbb " * 5, "xx") for i in range(9)], "doc_id long, text string, lang string")
+    got = langid.identify_pages(spark.createDataFrame(pages, "page_id long, url string, html string"), docs).collect()
+    assert {r.page_id: r.declared for r in got} == {**dict.fromkeys(before, "xx"), 6: None, 7: None, 8: None}
+
+
 def test_pipeline_stages(spark, sf):
     import corpus_pipeline
 

@@ -29,6 +29,8 @@ FOLDS, HELD_OUT = 5, 0
 
 _MARKUP = re.compile(r"<(script|style)\b.*?(?:</\1[^>]*>|\Z)|<!--.*?(?:-->|\Z)|<[a-zA-Z/!?][^>]*(?:>|\Z)|&#?\w+;", re.S | re.I)
 _DECLARED = r"(?i)<html\b[^>]*?\blang\s*=\s*[\"']?([a-zA-Z]{2,3})"
+#: What is left out before the declaration is looked for; possessive, so that long ones need no stack.
+_UNSEEN = r"(?is)<(script|style)\b(?:[^<]++|<(?!/\1))*+(?:</\1[^>]*+>?|\z)|<!--(?:-?>|(?:[^-]++|-(?!-!?>))*+(?:--!?>|\z))"
 
 
 def _slots(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +190,7 @@ def identify_pages(pages: DataFrame, docs: DataFrame) -> DataFrame:
     """
     host, domain, suffix = _address(F.col("url").cast("string"))
     page = F.col("html").cast("string")
-    declared = F.lower(F.regexp_extract(F.substring(page, 1, 4096), _DECLARED, 1))
+    declared = F.lower(F.regexp_extract(F.regexp_replace(page, _UNSEEN, " "), _DECLARED, 1))
     rows = pages.select(
         page.alias("text"), F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
         F.when(F.length(declared) > 0, declared).alias("declared"), host.alias("host"), domain.alias("domain"), suffix.alias("suffix"),
