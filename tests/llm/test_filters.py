@@ -155,3 +155,25 @@ def test_one_edited_slot_leaves_the_rest_of_a_copy(spark):
     bench = spark.createDataFrame([(1, "x " + item), (2, "so " + names)], "item_id long, text string")
     got = {(r.doc_id, r.item_id): r for r in decontam.contaminated(docs, bench).collect()}
     assert set(got) == {(1, 1), (2, 2)} and got[1, 1].covered >= 30 and got[2, 2].covered == got[2, 2].item_tokens == 16
+
+
+def test_toxic_wording_late_in_a_text_without_blanks(spark):
+    rng = random.Random(8)
+    docs, labels = [], []
+    for i in range(500):
+        text = [chr(rng.randrange(0x4E00, 0x4E80)) for _ in range(60)]
+        at = rng.randrange(20, 50)
+        text[at : at + 3] = "毒坏骂" if i % 2 else "花鸟鱼"
+        docs.append((i, "".join(text)))
+        labels.append((i, i % 2))
+    got = toxicity.toxicity_scores(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert np.mean([r.predicted == r.doc_id % 2 for r in got if r.held_out]) > 0.95
+
+
+def test_long_runs_are_spelt_from_every_character():
+    text = "Ab,一二。三 internationalized"
+    raw = np.frombuffer(text.encode(), np.uint8)
+    low, starts, ends, rows = toxicity._words(raw, np.array([0, len(raw)]))
+    found = [bytes(low[a:b]).decode() for a, b in zip(starts, ends)]
+    tail = "internationalized"
+    assert found == ["ab", "一二", "三", *(tail[i:] for i in range(len(tail)))] and set(rows) == {0}

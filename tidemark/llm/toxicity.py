@@ -1,6 +1,7 @@
 """Toxicity by class-conditional Kneser-Ney models of words, over backoff counts that the classes share.
 
-A word is spelt byte by byte, each byte given all before it in the word. The counts are Kneser-Ney
+A word is spelt byte by byte, each byte given all before it in the word. A run longer than ``DEPTH`` bytes, as in scripts
+without blanks, is spelt from each of its characters on, so the context slides over all of it. The counts are Kneser-Ney
 continuation counts: how many different words a word follows. A class discounts its counts and backs off to
 those of both classes together, so a rare spelling that neither class has singles out no class, and
 new words that begin like known ones carry their evidence. A text's evidence is the difference of its two log-likelihoods
@@ -10,6 +11,7 @@ the counts have not seen, turns it into a score.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,7 +25,7 @@ from tidemark.llm import textbytes as tb
 #: Labelled rows of each class whose n-grams are counted, and rows the curve is fitted on, at most.
 TRAIN_PER_CLASS, CALIBRATION_ROWS = 2_000, 2_000
 FOLDS, HELD_OUT, CALIBRATION_FOLD = 5, 0, 4
-#: Bytes of a word that are told apart, the discount, and the difference from which a word leans to label 1.
+#: Bytes of a spelling that are told apart, the discount, and the difference from which a word leans to label 1.
 DEPTH, DISCOUNT, LEANING = 16, 0.75, 2.0
 _START, _END = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
@@ -34,14 +36,43 @@ _LETTERS[97:123] = np.arange(97, 123)
 _LETTERS[65:91] = np.arange(97, 123)
 
 
+#: Characters of two and three bytes that end a word.
+_MARKS = np.array([unicodedata.category(chr(c))[0] in "PZ" for c in range(1 << 16)])
+
+
+def _without_marks(raw: np.ndarray) -> np.ndarray:
+    """Letters and digits lower-cased, all else and non-ASCII punctuation as blanks."""
+    out = _LETTERS[raw]
+    for size, least, most, first in ((2, 0xC2, 0xDF, 0x1F), (3, 0xE0, 0xEF, 0x0F)):
+        at = np.flatnonzero((raw >= least) & (raw <= most))
+        at = at[at + size <= len(raw)]
+        code = raw[at].astype(np.int64) & first
+        for i in range(1, size):
+            code = code << 6 | (raw[at + i] & 0x3F)
+        at = at[_MARKS[code]]
+        for i in range(size):
+            out[at + i] = 32
+    return out
+
+
 def _words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes, starts, ends and rows of every run of letters and digits, lower-cased."""
-    raw = _LETTERS[raw]
-    return raw, *tb.words(raw, offsets)
+    """Bytes, starts, ends and rows of every run of letters and digits, lower-cased; of a long run, from each character on."""
+    raw = _without_marks(raw)
+    starts, ends, rows = tb.words(raw, offsets)
+    long = ends - starts > DEPTH
+    if not long.any():
+        return raw, starts, ends, rows
+    edges = np.zeros(len(raw) + 1, np.int8)
+    edges[starts[long]] += 1
+    edges[ends[long]] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8) > 0
+    own = np.sort(np.concatenate([starts[~long], np.flatnonzero(inside & (raw & 0xC0 != 0x80))]))
+    word = np.searchsorted(starts, own, "right") - 1
+    return raw, own, np.minimum(ends[word], own + DEPTH + 1), rows[word]
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(toxic, hash of the word before, word), once for each piece of text; a long word is cut to its first bytes."""
+    """(toxic, hash of the word before, word), once for each piece of text."""
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False)
         for first, _, raw, offsets in tb.pieces(batch.column(0)):
@@ -53,7 +84,7 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             label = toxic[first + rows].astype(np.uint64)
             _, once = np.unique(np.stack([label, before, here]), axis=1, return_index=True) if len(rows) else (None, rows)
             data = raw.tobytes()
-            spelt = [data[a : min(b, a + DEPTH + 1)] for a, b in zip(starts[once], ends[once], strict=True)]
+            spelt = [data[a:b] for a, b in zip(starts[once], ends[once], strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(label[once].astype(np.int32)), pa.array(before[once].view(np.int64)), pa.array(spelt, pa.binary())], names=["toxic", "h", "w"]
             )
