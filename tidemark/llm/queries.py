@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, decontam, langid, mainhtml, mixing, neardup, ngramlm, secretscan, topk, toxicity
+from tidemark.llm import archives, decontam, langid, mainhtml, mixing, neardup, ngramlm, packing, secretscan, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,11 +60,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramlm.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.ids_crc32(packing.pack_documents(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_minhash_near_dedup, op3_source_mixing, op4_language_id, op5_exact_top_k, op6_toxicity,
-        op7_benchmark_decontamination, op8_arc_to_warc, op9_secret_scan, op10_lm_scoring,
+        op7_benchmark_decontamination, op8_arc_to_warc, op9_secret_scan, op10_lm_scoring, op13_best_fit_packing,
     )
 }
 SQL: dict[str, str] = {
