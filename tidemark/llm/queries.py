@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import archives, decontam, langid, mainhtml, mixing, neardup, ngramlm, packing, secretscan, tokenalign, topk, toxicity
+from tidemark.llm import archives, collocations, decontam, langid, mainhtml, mixing, neardup, ngramlm, packing, secretscan, tokenalign, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,10 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngramlm.score_texts(_table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenalign.align_documents(_table(spark, sf_dir, "documents"))
 
@@ -72,10 +76,12 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_html_extraction, op2_minhash_near_dedup, op3_source_mixing, op4_language_id, op5_exact_top_k, op6_toxicity,
-        op7_benchmark_decontamination, op8_arc_to_warc, op9_secret_scan, op10_lm_scoring, op12_cross_tokenizer_alignment, op13_best_fit_packing,
+        op7_benchmark_decontamination, op8_arc_to_warc, op9_secret_scan, op10_lm_scoring, op11_phrase_collocations, op12_cross_tokenizer_alignment,
+        op13_best_fit_packing,
     )
 }
 SQL: dict[str, str] = {
     "op3_source_mixing": mixing.MIX_SQL.format(docs="documents", columns="d.doc_id AS doc_id"),
     "op5_exact_top_k": topk.TOP_SQL,
+    "op11_phrase_collocations": collocations.COLLOCATIONS_SQL,
 }
