@@ -82,6 +82,18 @@ def test_keyed_replace_keeps_rows_of_a_null_partition(spark, rows, database):
     assert rows(out) == [(1, "a", None), (2, "B", 2001), (9, "c", None)]
 
 
+def test_a_broken_replace_leaves_the_table(spark, rows, database):
+    table = f"{database}.b"
+    loader.upload(frame(spark, [(1, "a")]), table, "CREATE", add_timestamp=False)
+    failing = F.udf(lambda k: 1 // 0, "int")
+    with pytest.raises(Exception):
+        loader._overwrite(frame(spark, [(2, "b")]).withColumn("k", failing("k")), table)
+    assert rows(spark.table(table)) == [(1, "a")]
+    loader.upload(frame(spark, [(3, "c")]), table, "REPLACE", add_timestamp=False)
+    loader.upload(frame(spark, [(4, "d")]), table, "APPEND", add_timestamp=False)
+    assert rows(spark.table(table)) == [(3, "c"), (4, "d")]
+
+
 def test_csv_crlf_and_blanks(spark, rows, tmp_path):
     path = tmp_path / "x.csv"
     path.write_bytes(b"rk,name,extra\r\n1,Ann Lee,\r\n2,Bo,(x)")

@@ -14,8 +14,11 @@ from tidemark.operators.enrich import OfflineEmbedding, OfflineText, generate_pe
 from tidemark.operators.grouping import nested_parts, text_digest
 from tidemark.operators.ranking import ONE_TASK_ROWS
 from tidemark.operators.similarity import nearest, pair_table, score_pairs
+from tidemark.operators.reshape import union_by_name
+from tidemark.operators.vector_index import build_index, open_index, probes_for, recall, search_index
 from tidemark.plans import catalog as plan
 from tidemark.registry.common import rounded
+from tidemark.session import materialize, scratch_path
 from tidemark.sources.readers import read_table
 
 BRANDS = {f"src{i}": f"Source {i}" for i in range(15)}
@@ -190,12 +193,35 @@ def product_pairs(spark, sf):
     return rounded(pairs, {"full_score": 6, "half_score": 6})
 
 
+def vector_index_topk(spark, sf):
+    """The search through the stored index with every cell probed: what an exact search finds."""
+    base = _vectors(spark, sf)
+    path = scratch_path(spark, "index")
+    build_index(base, "vec_id", "embedding", path)
+    index = open_index(spark, path)
+    return search_index(index, base, "vec_id", "embedding", 10, probes=len(index.centres))
+
+
+def vector_index_recall(spark, sf):
+    """Recall of the stored index at two measured numbers of probed cells, against the exact search of every row."""
+    base = _vectors(spark, sf)
+    index = build_index(base, "vec_id", "embedding", scratch_path(spark, "index"))
+    exact = materialize(nearest(base, base, "vec_id", "embedding", 10), "exact")
+    rows = []
+    for target in (0.91, 0.97):
+        probes = probes_for(index, base, "vec_id", "embedding", 10, target)
+        found = recall(search_index(index, base, "vec_id", "embedding", 10, probes), exact)
+        rows.append(found.select(F.lit(target).alias("target"), "queries", "wanted", (F.col("recall") >= 0.9).alias("reached")))
+    return union_by_name(*rows)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         thread_digest, thread_digest_split, thread_digest_parts, review_stats, review_digests, catalog_short_descriptions,
         catalog_alt_texts, catalog_assembled, embedding_outer_join, json_value_extract, grouped_request, grouped_request_parts,
         order_lines_nested, vector_topk, vector_topk_blocks, similarity_scores, product_pairs,
+        vector_index_topk, vector_index_recall,
     )
 }
 
@@ -368,6 +394,10 @@ SELECT l_orderkey, CAST(0 AS BIGINT) AS part,
        string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_shipdate, l_partkey) AS parts FROM lineitem GROUP BY l_orderkey""",
     "vector_topk": _TOPK,
     "vector_topk_blocks": _TOPK,
+    "vector_index_topk": _TOPK,
+    "vector_index_recall": """
+SELECT target, count(*) AS queries, sum(least(10, n - 1))::BIGINT AS wanted, TRUE AS reached
+FROM embeddings, (SELECT count(*) AS n FROM embeddings), (SELECT unnest([0.91::DOUBLE, 0.97::DOUBLE]) AS target) GROUP BY target""",
     "similarity_scores": f"WITH {_pairs()}, {_scored('description', 'pairs', 20)} SELECT * FROM description_s",
     "product_pairs": f"""WITH {_pairs()}, {_pairs(1, 32).replace("pairs AS", "half_pairs AS")},
 {_scored("full", "pairs", 5)}, {_scored("half", "half_pairs", 5)}

@@ -11,6 +11,7 @@ from tidemark.operators.ranking import ONE_TASK_ROWS, group_slices
 from tidemark.operators.reshape import union_by_name
 from tidemark.session import scratch_path
 from tidemark.sources import loader
+from tidemark.sources.filetable import FileTable
 from tidemark.sources.readers import (
     list_files, preview, random_rows, read_csv, read_table, read_year_shards, run_query, write_year_shards,
 )
@@ -183,6 +184,36 @@ def upload_empty(spark, sf):
     return spark.table(table)
 
 
+def _order_files(spark, sf) -> FileTable:
+    """Orders in files of at most 1,000 rows, dealt in key order."""
+    table = FileTable(spark, scratch_path(spark, "orders"), "o_orderkey", rows_per_file=1000)
+    return table.create(_order_rows(spark, sf).repartitionByRange(4, "o_orderkey").sortWithinPartitions("o_orderkey"))
+
+
+def file_table_keyed_replace(spark, sf):
+    """Orders from 1999 on again with new prices, into a table kept as a list of files."""
+    newer = _order_rows(spark, sf).where(F.col("o_orderdate") >= F.lit(dt.date(1999, 1, 1)))
+    table = _order_files(spark, sf).replace_keys(newer.withColumn("o_totalprice", F.col("o_totalprice") + 1), ["o_orderkey"])
+    return table.read().withColumn("o_totalprice", F.round("o_totalprice", 2))
+
+
+def file_table_files(spark, sf):
+    """Ten keys replaced: the table's files are within their limits, and only those that held one of the keys are new."""
+    table = _order_files(spark, sf)
+    new = _order_rows(spark, sf).orderBy("o_orderkey").limit(10).withColumn("o_totalprice", F.lit(0.0))
+    held, before = table.holding(new, ["o_orderkey"]), table.manifest()
+    after = table.replace_keys(new, ["o_orderkey"]).manifest()
+    kept = after.join(before.select("file"), "file", "left_semi").agg(F.count(F.lit(1)).alias("kept"))
+    gone = before.agg(F.count(F.lit(1)).alias("had")).crossJoin(held.agg(F.count(F.lit(1)).alias("held")))  # one row each
+    sizes = after.agg(
+        F.sum("rows").alias("num_rows"), (F.max("rows") <= table.rows_per_file).alias("rows_within"), (F.max("bytes") <= table.bytes_per_file).alias("bytes_within"),
+        (F.count(F.lit(1)) >= F.ceil(F.sum("rows") / table.rows_per_file)).alias("enough_files"),
+    )
+    zero = table.read().where("o_totalprice = 0").agg(F.count(F.lit(1)).alias("replaced"))
+    row = sizes.crossJoin(zero).crossJoin(kept).crossJoin(gone)
+    return row.select("num_rows", "rows_within", "bytes_within", "enough_files", "replaced", (F.col("kept") == F.col("had") - F.col("held")).alias("others_kept"))
+
+
 def table_from_query(spark, sf):
     table = _database(spark) + ".order_totals"
     totals = read_table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("num_orders"))
@@ -195,6 +226,7 @@ QUERIES = {
         table_preview, pruned_scan, csv_round_trip, year_shard_union, year_partition_scan, file_listing, file_row_counts,
         sql_with_parameters, segment_profile, nation_profile, random_order, upload_slices, upload_slices_split, upload_append,
         upload_keyed_replace, upload_keyed_partitions, upload_replace, upload_dry_run, upload_empty, table_from_query,
+        file_table_keyed_replace, file_table_files,
     )
 }
 
@@ -234,6 +266,9 @@ SELECT c_custkey, c_mktsegment, CASE WHEN c_mktsegment < 'G' THEN c_acctbal END
        TIMESTAMP '2024-05-01 12:00:00' AS "uploadTimestampUTC" FROM customer""",
     "upload_keyed_replace": _REPLACED,
     "upload_keyed_partitions": _REPLACED,
+    "file_table_keyed_replace": _REPLACED,
+    "file_table_files": """
+SELECT count(*) AS num_rows, TRUE AS rows_within, TRUE AS bytes_within, TRUE AS enough_files, 10::BIGINT AS replaced, TRUE AS others_kept FROM orders""",
     "upload_replace": "SELECT * FROM supplier WHERE s_acctbal > 1000",
     "upload_dry_run": f"SELECT * FROM customer ORDER BY c_custkey LIMIT {loader.DRY_RUN_ROWS}",
     "upload_empty": "SELECT * FROM supplier",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,8 +121,21 @@ def _among(column: str, wanted: DataFrame) -> Column:
 
 
 def _overwrite(rows: DataFrame, table: str, dynamic: bool = False) -> None:
-    """Write to a staging folder, then swap in: a table cannot be read while it is overwritten."""
+    """All rows of the table, or with ``dynamic`` those of the partitions that ``rows`` fall in.
+
+    A table without partitions gets a new folder beside the old one and is then pointed to it, so a write that breaks leaves it
+    as it was. Partitions are written to a staging folder and then replaced one by one, since each has an entry of its own.
+    """
     spark = rows.sparkSession
+    partitions = _partition_columns(spark, table)
+    if not partitions:
+        found = spark.catalog.getTable(table)
+        root = spark.catalog.getDatabase(found.namespace[-1]).locationUri.rstrip("/")
+        folder = f"{root}/{found.name}-{uuid.uuid4().hex}"
+        rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(folder)
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+        spark.catalog.refreshTable(table)
+        return
     staging = scratch_path(spark, "staging")
     rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(staging)
     staged = spark.read.schema(rows.schema).parquet(staging)
