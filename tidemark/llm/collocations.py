@@ -71,7 +71,7 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             raw = tb.LOWER[raw]
             starts, ends, rows, opening = piece_words(raw, offsets)
             code = codes[first:last][rows]
-            keys = tb.word_hashes(raw, starts, ends) ^ tb.mix(code + np.uint64(1))
+            keys = tb.span_hashes(raw, starts, ends) ^ tb.mix(code + np.uint64(1))
             _, firsts, places, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
             data = raw.tobytes()
             words = [data[a:b] for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist(), strict=True)]

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,8 +31,8 @@ from tidemark.session import materialize
 
 A_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 B_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
-#: Bytes of text of a unit, entries a product expands at a time, and chunks a Python worker remembers (beyond, it starts anew).
-UNIT, EXPANDED, REMEMBERED = 8 << 20, 4 << 20, 300_000
+#: Bytes of text of a unit, entries a product expands at a time, and chunks a Python worker remembers.
+UNIT, EXPANDED, REMEMBERED = 2 << 20, 1 << 20, 80_000
 _SHIFT = 20  # bits of a B id within a pair
 
 
@@ -136,6 +137,15 @@ class Tokenizers:
         self.a_bytes = [bytes(byte_of.get(c, 63) for c in self.a.id_to_token(i) or "") for i in range(size)]
         self.b_bytes = [self._piece(i) for i in range(self.b.vocab_size())]
         self.a_length, self.b_length = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
+        self.names = [f"{i}{after}" for after in ",|;" for i in range(max(size, len(self.b_bytes)))]
+
+    def said(self, a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group: np.ndarray) -> list[str]:
+        """The tokens of all groups as ``a1,a2|b1;``, a string for each token in order."""
+        order = np.argsort(np.concatenate((2 * a_group, 2 * b_group + 1)), kind="stable")
+        a_last, b_last = (np.diff(x, append=-1) != 0 for x in (a_group, b_group))
+        after = np.concatenate((a_last.astype(np.int64), 2 * b_last.astype(np.int64)))
+        names = self.names
+        return [names[k] for k in (np.concatenate((a_ids, b_ids)) + after * (len(names) // 3))[order].tolist()]
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -144,12 +154,16 @@ class Tokenizers:
     def encode(self, texts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of texts that begin with a space; both empty where the bytes of either differ from the text."""
         plain = [x.decode("utf-8", "replace") for x in texts]
-        a = [e.ids for e in self.a.encode_batch(plain, add_special_tokens=False)]
+        a = [e.ids for e in self.a.encode_batch_fast(plain, add_special_tokens=False)]
         b = self.b.encode([x[1:] for x in plain], num_threads=1)
-        a_bytes, b_bytes = self.a_bytes, self.b_bytes
-        for i, text in enumerate(texts):
-            if b"".join([a_bytes[k] for k in a[i]]) != text or b"".join([b_bytes[k] for k in b[i]]) != text:
-                a[i], b[i] = [], []
+        whole = b"".join(texts)
+        for ids, table, length in ((a, self.a_bytes, self.a_length), (b, self.b_bytes, self.b_length)):
+            flat, _, owner = _flat(ids)
+            same = np.bincount(owner, length[flat], len(ids)) == [len(x) for x in texts]
+            if not same.all() or b"".join([table[k] for k in flat.tolist()]) != whole:
+                for i, text in enumerate(texts):
+                    if b"".join([table[k] for k in ids[i]]) != text:
+                        a[i], b[i] = [], []
         return a, b
 
 
@@ -158,35 +172,36 @@ def _tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
-#: Of a chunk: ids of A and B, number of groups, groups as text, id pairs and the links of each pair.
-Chunk = tuple[int, int, int, str, np.ndarray, np.ndarray]
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All ids in a row, how many each list has, and the list of each id."""
+    counts = np.fromiter(map(len, ids), np.int64, len(ids))
+    flat = np.fromiter(itertools.chain.from_iterable(ids), np.int64, int(counts.sum()))
+    return flat, counts, np.repeat(np.arange(len(ids)), counts)
+
+
+#: Of a chunk: number of ids of A and B and of groups, groups as text, id pairs and the links of each pair as 64-bit numbers.
+Chunk = tuple[int, int, int, str, bytes, bytes]
 
 
 def aligned_chunks(texts: list[bytes], tokenizers: Tokenizers) -> list[Chunk]:
     """Groups and links of each text; a text that does not come back from its tokens has none, and an empty group text."""
     a, b = tokenizers.encode(texts)
-    a_ids, b_ids = (np.fromiter((k for ids in x for k in ids), np.int64) for x in (a, b))
-    a_count, b_count = (np.array([len(ids) for ids in x], np.int64) for x in (a, b))
+    (a_ids, a_count, a_chunk), (b_ids, b_count, b_chunk) = _flat(a), _flat(b)
     a_group, b_group = groups_of(overlaps(tokenizers.a_length[a_ids], tokenizers.b_length[b_ids]))
-    a_chunk, b_chunk = (np.repeat(np.arange(len(texts)), n) for n in (a_count, b_count))
     groups = int(a_group[-1]) + 1 if len(a_group) else 0
     a_keys, a_row = np.unique(a_chunk << _SHIFT | a_ids, return_inverse=True)
     b_keys, b_row = np.unique(b_chunk << _SHIFT | b_ids, return_inverse=True)
     links = product(Csr.counted(a_row, a_group, len(a_keys), groups), Csr.counted(b_row, b_group, len(b_keys), groups).transposed())
     low = (1 << _SHIFT) - 1
     pairs = np.repeat(a_keys & low, np.diff(links.indptr)) << _SHIFT | b_keys[links.indices] & low
-    edges = links.indptr[np.searchsorted(a_keys >> _SHIFT, np.arange(len(texts) + 1))].tolist()
-    a_names, b_names = (list(map(str, x.tolist())) for x in (a_ids, b_ids))
-    a_ends, b_ends = (np.searchsorted(x, np.arange(groups), "right").tolist() for x in (a_group, b_group))
-    said, x, y = [], 0, 0
-    for s, t in zip(a_ends, b_ends, strict=True):
-        said.append(f"{','.join(a_names[x:s])}|{','.join(b_names[y:t])}")
-        x, y = s, t
+    edges = (8 * links.indptr[np.searchsorted(a_keys >> _SHIFT, np.arange(len(texts) + 1))]).tolist()
+    pairs, amounts = pairs.tobytes(), links.data.astype(np.int64).tobytes()
     firsts = np.searchsorted(a_group, np.arange(groups))
     owner = np.searchsorted(a_chunk[firsts] if groups else firsts, np.arange(len(texts) + 1)).tolist()
+    said, ends = tokenizers.said(a_ids, a_group, b_ids, b_group), np.concatenate(([0], np.cumsum(a_count + b_count))).tolist()
     return [
-        (int(a_count[i]), int(b_count[i]), owner[i + 1] - owner[i], ";".join(said[owner[i] : owner[i + 1]]), pairs[edges[i] : edges[i + 1]], links.data[edges[i] : edges[i + 1]])
-        for i in range(len(texts))
+        (x, y, owner[i + 1] - owner[i], "".join(said[ends[i] : ends[i + 1]])[:-1], pairs[edges[i] : edges[i + 1]], amounts[edges[i] : edges[i + 1]])
+        for i, (x, y) in enumerate(zip(a_count.tolist(), b_count.tolist(), strict=True))
     ]
 
 
@@ -194,20 +209,16 @@ class _Memory:
     """Chunks aligned so far in this Python worker."""
 
     def __init__(self, tokenizers: Tokenizers):
-        self.tokenizers, self.known = tokenizers, {}
+        self.tokenizers, self.known = tokenizers, tb.Memory(REMEMBERED)
 
     def of(self, texts: list[bytes]) -> list[Chunk]:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        here = {x: self.known[x] for x in texts if x in self.known}
-        new = [x for x in texts if x not in here]
-        for first in range(0, len(new), 20_000):
-            part = new[first : first + 20_000]
+        new = self.known.missing(texts)
+        here, long = self.known.lately, {}
+        for first in range(0, len(new), 10_000):
+            part = new[first : first + 10_000]
             for text, chunk in zip(part, aligned_chunks(part, self.tokenizers), strict=True):
-                here[text] = chunk
-                if len(text) <= 64:
-                    self.known[text] = chunk
-        return [here[x] for x in texts]
+                (here if len(text) <= 64 else long)[text] = chunk
+        return [here[x] if x in here else long[x] for x in texts]
 
 
 @functools.lru_cache(maxsize=2)
@@ -262,7 +273,7 @@ class Unit:
 def align_texts(raw: np.ndarray, offsets: np.ndarray, memory: _Memory) -> Unit:
     n = len(offsets) - 1
     spaced, starts, ends, rows = chunked(raw, offsets)
-    _, firsts, places = np.unique(tb.word_hashes(spaced, starts, ends), return_index=True, return_inverse=True)
+    _, firsts, places = np.unique(tb.span_hashes(spaced, starts, ends), return_index=True, return_inverse=True)
     data = spaced.tobytes()
     chunks = memory.of([data[x:y] for x, y in zip(starts[firsts].tolist(), ends[firsts].tolist(), strict=True)])
     broken = np.array([not c[0] for c in chunks], bool)
@@ -277,10 +288,9 @@ def align_texts(raw: np.ndarray, offsets: np.ndarray, memory: _Memory) -> Unit:
         hashlib.sha256(";".join([said[k] for k in order[a:b]]).encode()).hexdigest() if a < b else ""
         for a, b in zip(edges[:-1], edges[1:], strict=True)
     ]
-    none = [np.zeros(0, np.int64)]
-    pairs, columns = np.unique(np.concatenate([c[4] for c in chunks] or none), return_inverse=True)
-    width = np.concatenate(([0], np.cumsum([len(c[4]) for c in chunks]))).astype(np.int64)
-    by_chunk = Csr(width, columns, np.concatenate([c[5] for c in chunks] or none), len(pairs))
+    pairs, columns = np.unique(np.frombuffer(b"".join([c[4] for c in chunks]), np.int64), return_inverse=True)
+    width = np.concatenate(([0], np.cumsum([len(c[4]) // 8 for c in chunks]))).astype(np.int64)
+    by_chunk = Csr(width, columns, np.frombuffer(b"".join([c[5] for c in chunks]), np.int64), len(pairs))
     links = product(Csr.counted(rows, places, n, len(chunks)), by_chunk)
     return Unit(*counts, digests, pairs, links)
 
@@ -319,7 +329,7 @@ _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best
 
 def _sum_unit(units: pa.Table, answers: pa.Table) -> pa.Table:
     """Links of each document of a unit, those of its best pairs, and the sum of the pairs' counts."""
-    row = {name: units.column(name).combine_chunks().values for name in units.column_names if name != "unit"}
+    row = {name: units.column(name).combine_chunks().flatten() for name in units.column_names if name != "unit"}
     place, edge, link = (row[x].to_numpy() for x in ("place", "edge", "link"))
     count, best = np.zeros(len(answers), np.int64), np.zeros(len(answers), np.int64)
     at = answers.column("at").to_numpy()
