@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +99,25 @@ def test_split_and_ordinal(spark, rows):
     assert rows(levels) == [("b", 2), ("x", None)]
 
 
+def test_corr_matrix_skips_rows_pair_by_pair(spark):
+    rng = np.random.default_rng(5)
+    data = rng.normal(size=(500, 4)) * [1, 1e3, 1e-3, 1] + [1e6, 0, 5, 0]
+    data[:, 3] += data[:, 1] / 1e3
+    held = rng.random((500, 4)) < 0.8
+    rows = [(*[float(v) if k else None for v, k in zip(r, h, strict=True)], 0.1, None) for r, h in zip(data, held, strict=True)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, same double, none double").repartition(5)
+    got = {(r["column_1"], r["column_2"]): r["corr"] for r in reshape.corr_matrix(df, df.columns).collect()}
+    assert len(got) == 36
+    for i, x in enumerate("abcd"):
+        for j, y in enumerate("abcd"):
+            both = held[:, i] & held[:, j]
+            assert got[x, y] == pytest.approx(np.corrcoef(data[both, i], data[both, j])[0, 1], abs=1e-9)
+        assert got[x, "same"] is None and got["none", x] is None
+    assert got["same", "same"] is None
+    empty = reshape.corr_matrix(df.where("a > 1e9"), ["a", "b"]).collect()
+    assert len(empty) == 4 and all(r["corr"] is None for r in empty)
+
+
 def test_corr_matrix_is_symmetric(spark):
     df = spark.createDataFrame([(1.0, 2.0, 5.0), (2.0, 1.0, 5.0), (3.0, 7.0, 5.0), (4.0, None, 5.0)], "a double, b double, c double")
     cells = {(r["column_1"], r["column_2"]): r["corr"] for r in reshape.corr_matrix(df, ["a", "b", "c"]).collect()}

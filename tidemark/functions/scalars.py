@@ -146,9 +146,9 @@ def parse_number(text: Column | str, to: str, missing: str = "..") -> Column:
 def json_scalar(json: Column | str, path: str) -> Column:
     """Scalar at ``path``; an object or array there gives NULL."""
     value = F.get_json_object(_col(json), path)
-    # a string may begin like an object: the JSON type there tells
+    # a string may begin like an object: only there the JSON is parsed again, for its type
     kind = F.schema_of_variant(F.try_variant_get(F.try_parse_json(_col(json)), path, "variant"))
-    return F.when(~value.rlike(r"^[\[{]") | (kind == "STRING"), value)
+    return F.when(~F.substring(value, 1, 1).isin("[", "{"), value).otherwise(F.when(kind == "STRING", value))
 
 
 # -- display -------------------------------------------------------------------

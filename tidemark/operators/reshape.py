@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.stats import safe_corr
 from tidemark.operators.skew import join_same
 
 
@@ -112,12 +113,51 @@ def ordinal_of(column: str, levels: Sequence[str]) -> Column:
     return F.when(found > 0, found.cast("int"))
 
 
+def co_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(i, j, n, si, sj, sii, sjj, sij) for every two columns i <= j, over the rows that have both.
+
+    Sums are of the values less the column's minimum. A batch adds to all pairs by products of its matrix with its mask of known values;
+    a task returns one row a pair, and the parts add up.
+    """
+    least = df.agg(*[F.min(F.col(c).cast("double")) for c in columns]).first()
+    shift = np.array([x if x is not None and np.isfinite(x) else 0.0 for x in least])
+    width = len(columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((6, width, width))
+        for batch in batches:
+            x = np.stack([column.to_numpy(zero_copy_only=False) for column in batch.columns], axis=1)
+            known = np.stack([column.is_valid().to_numpy(zero_copy_only=False) for column in batch.columns], axis=1).astype(float)
+            x = np.where(known > 0, x - shift, 0.0)
+            first, second = x.T @ known, (x * x).T @ known
+            sums += np.stack((known.T @ known, first, first.T, second, second.T, x.T @ x))
+        i, j = np.triu_indices(width)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *(pa.array(s[i, j]) for s in sums)], names=["i", "j", *names])
+
+    names = ["n", "si", "sj", "sii", "sjj", "sij"]
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns)])
+    parts = rows.mapInArrow(run, "i long, j long, " + ", ".join(f"{c} double" for c in names))
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names])
+
+
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete correlations in long form, from one aggregation.
+    """Pairwise-complete correlations in long form, from one pass; NULL where a side is constant or nothing is known.
 
-    Each pair is computed once; the mirror and the diagonal come from it.
+    Each pair is computed once; the mirror and the diagonal come from it. NaN counts as a value and makes its pairs NaN.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = df.agg(*[safe_corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [f"'{x}', '{y}', c{i}" for i, (a, b) in enumerate(pairs) for x, y in {(a, b), (b, a)}]
-    return wide.selectExpr(f"stack({len(cells)}, {', '.join(cells)}) AS (column_1, column_2, corr)")
+
+    def spread(square: str, total: str) -> Column:
+        rest = F.col(square) - F.col(total) * F.col(total) / F.col("n")
+        # what rounding leaves of a constant is none
+        return F.when(F.isnan(rest) | (rest > 1e-13 * F.col(square)), rest)
+
+    together = F.col("sij") - F.col("si") * F.col("sj") / F.col("n")
+    known = co_moments(df, columns).where("n > 0")
+    corr = F.try_divide(together, F.sqrt(spread("sii", "si")) * F.sqrt(spread("sjj", "sj")))
+    names = F.array(*[F.lit(c) for c in columns])
+    pairs = df.sparkSession.range(len(columns)).select(F.col("id").alias("i"), F.explode(F.sequence(F.col("id"), F.lit(len(columns) - 1))).alias("j"))
+    cells = pairs.join(known.select("i", "j", F.when(F.col("i") == F.col("j"), corr * 0 + 1).otherwise(corr).alias("corr")), ["i", "j"], "left")
+    at = lambda c: F.element_at(names, F.col(c).cast("int") + 1)
+    both = F.when(F.col("i") == F.col("j"), F.array(F.struct(at("i"), at("j")))).otherwise(F.array(F.struct(at("i"), at("j")), F.struct(at("j"), at("i"))))
+    cells = cells.select(F.explode(both).alias("x"), "corr")
+    return cells.select(F.col("x.col1").alias("column_1"), F.col("x.col2").alias("column_2"), "corr")
