@@ -1,10 +1,13 @@
 import math
+from itertools import combinations
+from math import factorial
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.prompts import NO_DESCRIPTION
-from tidemark.operators import enrich, learning
+from tidemark.operators import attribution, enrich, learning
 from tidemark.operators.attribution import attribute, attribution_text, attribution_wide
 from tidemark.plans import catalog, standings
 
@@ -177,3 +180,56 @@ def test_forecast_text_and_long(spark):
     assert long["A", "total_vs_predicted"]["medals_value_rk_text"] == "-1.0\n1st (tied)"
     assert long["B", "gold"]["medals_value_rk_text"] == "1\n1st (tied)" and long["B", "gold"]["medals_value_unique_rk"] == 2
     assert long["C", "total"]["medals_value_rk_text"] is None
+
+
+def _random_leaves(rng, predictors, depth, trees):
+    """Leaves of random trees as (value, predictor -> (low, high, share))."""
+    leaves = []
+
+    def grow(held, left):
+        if not left or rng.random() < 0.15:
+            leaves.append((float(rng.normal()), held))
+            return
+        j, cut, part = int(rng.integers(predictors)), float(rng.normal()), float(rng.uniform(0.1, 0.9))
+        low, high, share = held.get(j, (-np.inf, np.inf, 1.0))
+        grow(held | {j: (low, min(high, cut), share * part)}, left - 1)
+        grow(held | {j: (max(low, cut), high, share * (1 - part))}, left - 1)
+
+    for _ in range(trees):
+        grow({}, depth)
+    return leaves
+
+
+def _by_subsets(row, leaves, width):
+    def expected(known):
+        return sum(
+            v * np.prod([(float(lo < row[j] <= hi) if j in known else share) for j, (lo, hi, share) in held.items()]) for v, held in leaves
+        )
+
+    out = [0.0] * width
+    for j in range(width):
+        rest = [i for i in range(width) if i != j]
+        for size in range(width):
+            weight = factorial(size) * factorial(width - size - 1) / factorial(width)
+            out[j] += sum(weight * (expected({*s, j}) - expected(set(s))) for s in combinations(rest, size))
+    return [*out, expected(set())]
+
+
+@pytest.mark.parametrize("predictors,depth", [(5, 4), (2, 2), (7, 3)])
+def test_shapley_values_equal_subset_enumeration(predictors, depth, monkeypatch):
+    rng = np.random.default_rng(predictors)
+    leaves = _random_leaves(rng, predictors, depth, 3)
+    x = rng.normal(size=(12, predictors))
+    monkeypatch.setattr(attribution, "CELLS_AT_ONCE", 60)
+    got = attribution.shapley_of(x, attribution.slotted(leaves))
+    assert got == pytest.approx(np.array([_by_subsets(r, leaves, predictors) for r in x]), abs=1e-12)
+
+
+def test_shapley_values_of_many_predictors():
+    rng = np.random.default_rng(9)
+    leaves = _random_leaves(rng, 60, 6, 20)
+    x = rng.normal(size=(5, 60))
+    got = attribution.shapley_of(x, attribution.slotted(leaves))
+    predicted = [sum(v for v, held in leaves if all(lo < r[j] <= hi for j, (lo, hi, _) in held.items())) for r in x]
+    assert got.sum(axis=1) == pytest.approx(predicted)
+    assert attribution.shapley_of(x, attribution.slotted([(2.0, {})])).tolist() == [[0.0] * 60 + [2.0]] * 5
