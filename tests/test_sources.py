@@ -1,10 +1,11 @@
 import datetime as dt
+import os
 import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize, shared_dir
+from tidemark.session import discard, materialize, shared_dir
 from tidemark.sources import loader, readers
 
 AT = dt.datetime(2024, 1, 1)
@@ -27,6 +28,15 @@ def test_shared_dir_comes_from_session(spark):
     assert materialize(spark.range(3), "x").count() == 3
 
 
+def test_discard_removes_scratch_only(spark, tmp_path):
+    kept = materialize(spark.range(5), "y")
+    folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    own = spark.read.parquet(str(tmp_path / "own"))
+    discard(kept, own, materialize(spark.range(0), "none"))
+    assert not os.path.exists(folder) and own.count() == 3
+
+
 def test_create_append_replace(spark, rows, database):
     table = f"{database}.t"
     loader.upload(frame(spark, [(1, "a")]), table, "create", loaded_at=AT)

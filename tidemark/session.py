@@ -69,3 +69,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete the folders of frames that ``materialize`` returned, once nothing reads them any more.
+
+    Only for frames whose every dependant has been written: a lost task could not be repeated without them.
+    """
+    for df in frames:
+        files = df.inputFiles()
+        if files:
+            sc = df.sparkSession.sparkContext
+            folder = sc._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            if f"tidemark-{sc.applicationId}" in folder.toString():
+                folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
