@@ -1,5 +1,7 @@
 import re
 
+import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tidemark.llm import mainhtml
@@ -59,3 +61,42 @@ def test_nulls_empty_and_clashing_columns(spark):
     got = [(r.page_id, r.url, r.n_chars) for r in mainhtml.extract(pages).collect()]
     assert sorted(got, key=str) == sorted([(1, "u", 0), (None, None, 0), (3, "u", 249_999), (3, "u", 1)], key=str)
     assert mainhtml.extract(pages.limit(0)).collect() == []
+
+
+GIVEN = "/root/testdata/sf0.01/pages.parquet"
+
+
+@pytest.fixture(scope="module")
+def given_pages():
+    pages = pq.read_table(GIVEN)["html"].to_pylist()
+    rows = mainhtml._labelled()
+    for page in pages[:60]:
+        found = mainhtml.blocks(page)
+        rows.append((mainhtml.features(found), np.array([b.kind == mainhtml.MAIN for b in found], np.int64), 1.0))
+    return pages, mainhtml.fit(rows)
+
+
+@pytest.mark.parametrize("names", ["post comments-open", "site-main has-sidebar", "entry share-enabled", "post tag-share category-newsletter"])
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_names_of_looks_and_states_do_not_lose_an_article(given_pages, names, tag):
+    pages, chain = given_pages
+    for page in pages:
+        changed = re.sub(r"<article\b[^>]*>", f'<{tag} class="{names}">', page).replace("</article>", f"</{tag}>")
+        assert changed != page
+        assert mainhtml.main_text(changed, chain) == mainhtml.main_text(page, chain) != ""
+
+
+@pytest.mark.parametrize("element", ["<video src=x>", "<button>", "<svg>", "<select>"])
+def test_unclosed_elements_end_with_their_block(given_pages, element):
+    pages, chain = given_pages
+    for page in pages[:50]:
+        changed = re.sub(r"(<article\b[^>]*>)", rf"\1<div>{element}lost</div>", page)
+        assert mainhtml.main_text(changed, chain) == mainhtml.main_text(page, chain)
+
+
+def test_comments_are_left_out_though_they_are_articles():
+    chain = mainhtml.fit(mainhtml._labelled())
+    body = "".join(f"<p>This is the long paragraph number {i} of the article, with a full sentence.</p>" for i in range(5))
+    page = f"<main><article class='post comments-open'>{body}</article><section id='comments'><article class='comment'><p>Nice words, reader says.</p></article></section></main>"
+    assert "reader says" not in mainhtml.main_text(page, chain) and "paragraph number 4" in mainhtml.main_text(page, chain)
+    assert "lost" not in mainhtml.main_text(f"<article>{body}<script>lost", chain)

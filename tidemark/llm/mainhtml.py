@@ -38,13 +38,22 @@ OTHER_NAMES = set(
     "notices notification pager pagination popup promo promotion recommended related replies reply respond search share "
     "sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget".split()
 )
+COMMENT_NAMES = set("comment comments reply replies".split())
 MAIN_NAMES = set("article content entry main post story".split())
+#: A class or id with one of these words says how its element looks or what it allows, not what it holds.
+STATE_NAMES = set(
+    "allow allowed category closed disabled enabled format has is layout no off on open opened show status tag theme type with without".split()
+)
+#: Silent elements whose text runs to the end of the page if they are not closed.
+RAW_TAGS = set("script style textarea title iframe".split())
+NESTING_TAGS = set("svg template object noscript".split())
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.S,
 )
+_BLOCK_EDGE = re.compile(rf"</?(?:{'|'.join(sorted(BLOCK_TAGS))})(?=[\s/>])", re.I)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _BLANKS = re.compile(r"\s+")
 NONE, MAIN, OTHER = 0, 1, 2
@@ -83,7 +92,10 @@ def _kind(tag: str, attributes: str, in_main: bool) -> int:
                     return OTHER
                 found = MAIN if value in ("main", "article") else found
             elif name in ("class", "id") and tag not in ("body", "html"):
-                names = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value)))
+                said = [set(re.split(r"[^a-z]+", x)) for x in value.split()]
+                names = set().union(*(x for x in said if not x & STATE_NAMES))
+                if tag in MAIN_TAGS:  # layouts name what stands beside an article on the article; only readers' comments are articles too
+                    names &= COMMENT_NAMES
                 if names & OTHER_NAMES or (not in_main and "header" in names):
                     return OTHER
                 if names & MAIN_NAMES and tag not in ("span", "a", "p", *HEADINGS):
@@ -91,6 +103,23 @@ def _kind(tag: str, attributes: str, in_main: bool) -> int:
     return found
 
 
+def _silent_end(page: str, at: int, name: str) -> int:
+    """Where a silent element that opened before ``at`` is over: after its end tag, or, if it has none before the next of its kind, at the next block."""
+    over = re.compile(rf"<(/?){re.escape(name)}(?=[\s/>])[^>]*(?:>|\Z)", re.I)
+    if name in RAW_TAGS:
+        ends = (m.end() for m in over.finditer(page, at) if m[1])
+        return next(ends, len(page))
+    depth = 1
+    for m in over.finditer(page, at):
+        depth += -1 if m[1] else 0 if m[0].endswith("/>") else 1
+        if not depth:
+            return m.end()
+        if depth > 1 and name not in NESTING_TAGS:
+            break
+    m = _BLOCK_EDGE.search(page, at)
+    return m.start() if m else len(page)
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of text in page order; white space is one blank, character references are decoded."""
     found: list[Block] = []
@@ -137,8 +166,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if name in SILENT_TAGS:
             if not attributes.endswith("/"):
-                over = re.compile(rf"</{re.escape(name)}[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = over.end() if over else len(page)
+                at = _silent_end(page, at, name)
             continue
         if name in VOID_TAGS or attributes.endswith("/"):
             continue
