@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 
@@ -177,3 +178,31 @@ def test_long_runs_are_spelt_from_every_character():
     found = [bytes(low[a:b]).decode() for a, b in zip(starts, ends)]
     tail = "internationalized"
     assert found == ["ab", "一二", "三", *(tail[i:] for i in range(len(tail)))] and set(rows) == {0}
+
+
+def test_many_spans_of_one_text_take_linear_time():
+    tables = (np.stack([secretscan.transitions(x[:50]) for x in secretscan.random_strings().values()]), secretscan.transitions(["identifier", "plain_word"]))
+    text = " ".join(f"key=value{i:09d} {i:032x}" for i in range(25_000))
+    base = secretscan.base_spans(text)
+    assert len(base) >= 25_000
+    started = time.perf_counter()
+    spans = secretscan.model_spans(text, base, tables)
+    assert time.perf_counter() - started < 3
+    touching = {(a, b) for a, _, b in spans} & {(a, b) for a, _, b in base}
+    assert not touching
+
+
+def test_identifier_pairs_equal_the_plain_way():
+    texts = ["", "plain_words token=abcdef12 and more-words", "é plain_words plain_words", "a" * 70 + " abc", "f" * 30 + "é AKIA" + "Z9" * 12, "x1" * 12 + "\nlast-word"]
+    wanted = np.zeros((secretscan._N, secretscan._N), int)
+    for text in texts:
+        base = secretscan.base_spans(text)
+        runs = {m[0] for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text) if 4 <= len(m[0]) <= 64 and not any(a < m.end() and m.start() < b for a, _, b in base)}
+        for run in runs:
+            if not secretscan._is_candidate(run):
+                symbols = [0, *secretscan._INDEX[np.frombuffer(run.encode(), np.uint8)]]
+                for a, b in zip(symbols, symbols[1:]):
+                    wanted[a, b] += 1
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(d) for d in data]))).astype(np.int64)
+    assert (secretscan.identifier_pairs(np.frombuffer(b"".join(data), np.uint8), offsets) == wanted).all()

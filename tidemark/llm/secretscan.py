@@ -6,6 +6,8 @@ is a run of key characters with letters and digits; it is a secret if the log-li
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -31,8 +33,8 @@ RANDOM = "markov"
 #: Candidates of the models, and the ratio that marks a secret: natural logs, in all and per character.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 LEAST_RATIO, LEAST_PER_CHARACTER = 40.0, 2.0
-#: Documents read for ordinary identifiers, at most; seeded random strings made for each alphabet.
-TRAIN_DOCS, TRAIN_STRINGS, SEED = 2_000, 2_000, 20_240_229
+#: Lengths of ordinary identifiers; seeded random strings made for each alphabet.
+IDENTIFIER, TRAIN_STRINGS, SEED = (4, 64), 2_000, 20_240_229
 ALPHABETS = (
     "0123456789abcdef",
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
@@ -47,6 +49,8 @@ _INDEX[[ord(c) for c in _SYMBOLS]] = np.arange(1, _N)
 
 _KEY = np.zeros(256, bool)
 _KEY[[ord(c) for c in _SYMBOLS]] = True
+_DIGIT, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_DIGIT[48:58] = _LETTER[65:91] = _LETTER[97:123] = True
 _ASSIGN = np.zeros(256, bool)
 _ASSIGN[[ord(":"), ord("=")]] = True
 
@@ -90,11 +94,14 @@ def _is_candidate(part: str) -> bool:
 
 
 def model_spans(text: str, base: list[tuple[int, int, int]], tables) -> list[tuple[int, int, int]]:
-    """Random-looking candidates that no base span touches."""
+    """Random-looking candidates that no base span touches; ``base`` is in order."""
     found = []
+    starts = [a for a, _, _ in base]
+    reach = list(itertools.accumulate((b for _, _, b in base), max))  # the furthest end so far
     for m in CANDIDATE.finditer(text):
         part = m[0]
-        if not _is_candidate(part) or any(a < m.end() and m.start() < b for a, _, b in base):
+        before = bisect.bisect_left(starts, m.end())
+        if not _is_candidate(part) or before and reach[before - 1] > m.start():
             continue
         ratio = log_ratio(part, tables)
         if ratio >= LEAST_RATIO and ratio >= LEAST_PER_CHARACTER * len(part):
@@ -166,33 +173,55 @@ def _masked(text: str, spans: list[tuple[int, int, int]], mask: str) -> str:
     return "".join(parts) + text[at:]
 
 
+def identifier_pairs(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How often a key character follows another (0: start) in the ordinary identifiers of the texts.
+
+    These are the runs of key characters with a length in ``IDENTIFIER``, each once a text, without candidates and without runs that a base span touches.
+    """
+    solid = np.concatenate((_KEY[raw], [False]))
+    edge = np.zeros(len(raw) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(solid[:-1] & (np.concatenate(([True], ~solid[:-2])) | edge[:-1])) if len(raw) else np.zeros(0, np.int64)
+    if not len(starts):
+        return np.zeros((_N, _N), np.int64)
+    ends = np.flatnonzero(solid[:-1] & (~solid[1:] | edge[1:])) + 1
+    covered = np.zeros(len(raw) + 1, bool)
+    for row in _suspects(raw, offsets):
+        part = raw[offsets[row] : offsets[row + 1]]
+        where = np.append(np.flatnonzero((part & 0xC0) != 0x80), len(part)) + offsets[row]  # bytes of the code points
+        for a, _, b in base_spans(part.tobytes().decode("utf-8", "replace")):
+            covered[where[a] : where[b]] = True
+    sizes = ends - starts
+    hit, digits, letters = (np.diff(np.concatenate(([0], np.cumsum(x)))[np.stack((starts, ends))], axis=0)[0] for x in (covered[:-1], _DIGIT[raw], _LETTER[raw]))
+    kept = (sizes >= IDENTIFIER[0]) & (sizes <= IDENTIFIER[1]) & (hit == 0) & ~((sizes >= 20) & (digits > 0) & (letters > 0))
+    starts, ends = starts[kept], ends[kept]
+    rows = np.searchsorted(offsets, starts, "right") - 1
+    _, once = np.unique(tb.word_hashes(raw, starts, ends) ^ tb.mix(rows.astype(np.uint64) + np.uint64(1)), return_index=True)
+    starts, sizes = starts[once], (ends - starts)[once]
+    first = np.cumsum(sizes) - sizes
+    symbols = _INDEX[raw[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]]
+    before = np.append(0, symbols[:-1])
+    before[first] = 0
+    return np.bincount(before * _N + symbols, minlength=_N * _N).reshape(_N, _N)
+
+
 def train(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Transition tables: of random strings by alphabet, and of the ordinary identifiers of the documents.
+    """Transition tables: of random strings by alphabet, and of the ordinary identifiers of all documents.
 
-    Identifiers are the distinct runs of 4 to 64 key characters, none of them candidates or in base spans, in the ``TRAIN_DOCS`` documents with the
-    least hash of doc_id. Their texts are read in tasks; the driver gets counts of character pairs.
+    Texts are read in tasks; the driver gets counts of character pairs, at most 68 x 68.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    chosen = rows.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TRAIN_DOCS)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word = re.compile(r"[A-Za-z0-9+/_=-]{4,64}")
+        counts = np.zeros((_N, _N), np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                text = text or ""
-                base = base_spans(text)
-                strings = {m[0] for m in word.finditer(text) if not any(a < m.end() and m.start() < b for a, _, b in base)}
-                strings = {s for s in strings if not _is_candidate(s)}
-                counts = np.zeros((_N, _N), np.int64)
-                for s in strings:
-                    symbols = np.concatenate(([0], _INDEX[np.frombuffer(s.encode(), np.uint8)]))
-                    np.add.at(counts, (symbols[:-1], symbols[1:]), 1)
-                a, b = np.nonzero(counts)
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(counts[a, b])], names=["a", "b", "n"])
-
-    seen = rows.join(chosen, "doc_id", "left_semi").select("text").mapInArrow(pairs, "a long, b long, n long")
+            for _, _, raw, offsets in tb.pieces(batch.column(0)):
+                counts += identifier_pairs(raw, offsets)
+        a, b = np.nonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(counts[a, b])], names=["a", "b", "n"])
+
+    seen = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(pairs, "a long, b long, n long")
     counts = np.zeros((_N, _N))
-    for a, b, n in seen.groupBy("a", "b").agg(F.sum("n")).collect():  # at most 68 x 68 rows
+    for a, b, n in seen.groupBy("a", "b").agg(F.sum("n")).collect():
         counts[a, b] = n
     shares = (counts.sum(axis=0) + 0.5) / (counts.sum() + 0.5 * _N)
     ordinary = np.log((counts + 10 * shares) / (counts.sum(axis=1, keepdims=True) + 10))
