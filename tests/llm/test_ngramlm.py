@@ -4,6 +4,9 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pytest
+
 from tidemark.llm import ngramlm
 
 
@@ -15,7 +18,7 @@ def brute(rows):
         if not held:
             c.update(t)
     n, v = sum(c.values()), len(c)
-    least = max(ngramlm.LEAST_FREQUENT, -(-n // ngramlm.STATES))
+    least = ngramlm.LEAST_FREQUENT
     cls = lambda w: w if w is None or c[w] >= least else "rare"
     for t, held in zip(tokens, out):
         if not held:
@@ -36,10 +39,11 @@ def brute(rows):
     return result
 
 
-def test_equals_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("least", [5, 30])
+def test_equals_brute_force(spark, monkeypatch, least):
     monkeypatch.setattr(ngramlm, "UNIT", 3000)
     monkeypatch.setattr(ngramlm, "RANGE", 5000)
-    monkeypatch.setattr(ngramlm, "STATES", 800)
+    monkeypatch.setattr(ngramlm, "LEAST_FREQUENT", least)
     rng = random.Random(3)
     vocabulary = ["The", "of", "é", "ß,", "x" * 300] + [f"w{i}" for i in range(400)]
     rows = [(i, " ".join(rng.choices(vocabulary, [200] * 4 + [1] * 401, k=rng.randint(0, 90)))) for i in range(300)]
@@ -54,3 +58,10 @@ def test_equals_brute_force(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert ngramlm.score_texts(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_equal_counts_make_equal_states_in_any_corpus():
+    keys = np.arange(4, dtype=np.uint64)
+    counts = np.array([0, ngramlm.LEAST_FREQUENT - 1, ngramlm.LEAST_FREQUENT, 10**9])
+    assert ngramlm._are_frequent(keys, counts).tolist() == [False, False, True, True]
+    assert ngramlm._are_frequent(keys[:3], counts[:3]).tolist() == [False, False, True]

@@ -6,10 +6,10 @@ the weight that smoothing leaves to unseen classes; the empty history has an arc
 right: take the arc, or the failure arc and then the empty history's arc, add the log, go to the word's state.
 
 The automaton is too large for any one place, so it is met by request. Texts are dealt into units of bounded
-size. A unit asks for each different word, and for each different pair of classes, once; requests go by ranges
+size. A unit asks for each different word, and then, when it knows which are frequent, for each different pair of classes, once; requests go by ranges
 of the hash to tasks that add the training counts up and answer with the sums. A frequent word is one
-request per unit, so no task gets more for it than there are units. Only the frequent words go to every task: words with at least one
-in ``STATES`` of the training tokens, so there are at most so many.
+request per unit, so no task gets more for it than there are units. Nothing goes to every task but four sums. A word is frequent from
+``LEAST_FREQUENT`` training tokens on, whatever the size of the corpus, so equal counts make equal states.
 """
 
 from __future__ import annotations
@@ -27,15 +27,15 @@ from tidemark.session import scratch_path
 
 FOLDS, HELD_OUT = 5, 1
 ADDED = 0.5
-#: A word is frequent from one in STATES of the training tokens, and from so many; strength of the backoff distribution.
-STATES, LEAST_FREQUENT, STRENGTH = 500_000, 5, 100.0
+#: Training tokens from which a word has a state of its own; strength of the backoff distribution.
+LEAST_FREQUENT, STRENGTH = 5, 100.0
 #: Bytes of text of a unit; bytes of text for each range of word hashes, and ranges of pairs for one of words.
 UNIT, RANGE, PAIR_RANGES = 4 << 20, 8 << 20, 4
 #: Bits that tell the pairs of one range apart.
 PAIR_BITS = 40
 _START, _END, _RARE = (np.uint64(x) for x in (0x2545F4914F6CDD1D, 0x9FB21C651E98DF25, 0xD1B54A32D192ED03))
 
-BODY, WORDS, WORD_COUNTS, FREQUENT, TOTALS, PAIRS, PAIR_COUNTS = range(7)
+BODY, WORDS, WORD_COUNTS, TOTALS, PAIRS, PAIR_COUNTS = range(6)
 _ROW = "unit long, kind int, part int, a binary, b binary, c binary, d binary, e binary"
 _SCHEMA = pa.schema([("unit", pa.int64()), ("kind", pa.int32()), ("part", pa.int32()), *((c, pa.binary()) for c in "abcde")])
 
@@ -73,15 +73,18 @@ def _requests(unit: int, kind: int, part: np.ndarray, keys: np.ndarray, counts:
 
 
 def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Units of whole texts: their tokens as places in the unit's sorted words, and the words."""
+    """Units of whole texts: their tokens as places among the unit's words, commonest first, and the words."""
     number = TaskContext.get().partitionId() << 32
     held: list[tuple] = []
     size = 0
 
     def flush():
         hashes, lengths, ids, flags = (np.concatenate(x) for x in zip(*held, strict=True))
-        keys, places = np.unique(hashes, return_inverse=True)
-        row = (number, BODY, -1, ids.tobytes(), _pack(lengths, 6), _pack(places, 3), flags.tobytes(), _pack(keys, 8))
+        keys, places, counts = np.unique(hashes, return_inverse=True, return_counts=True)
+        order = np.argsort(-counts, kind="stable")  # small numbers for common words pack well
+        rank = np.empty(len(keys), np.int64)
+        rank[order] = np.arange(len(keys))
+        row = (number, BODY, -1, ids.tobytes(), _pack(lengths, 6), _pack(rank[places], 4), flags.tobytes(), _pack(keys[order], 8))
         return _rows([row]).to_batches()
 
     for batch in batches:
@@ -109,17 +112,21 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 class _Unit:
-    """One unit's texts and words; ``frequent`` marks the words that are states."""
+    """One unit's texts and words, these in the order of their hashes."""
 
     def __init__(self, ids: bytes, lengths: bytes, tokens: bytes, flags: bytes, keys: bytes):
         self.ids, self.flags = np.frombuffer(ids, np.int64), np.frombuffer(flags, np.uint8)
         self.lengths = _unpack(lengths, 6).astype(np.int64)
-        self.tokens, self.keys = _unpack(tokens, 3).astype(np.int64), _unpack(keys, 8)
+        found = _unpack(keys, 8)
+        order = np.argsort(found, kind="stable")
+        place = np.empty(len(found), np.int64)
+        place[order] = np.arange(len(found))
+        self.tokens, self.keys = place[_unpack(tokens, 4).astype(np.int64)], found[order]
         self.firsts = np.cumsum(self.lengths) - self.lengths
         self.train = np.repeat(self.flags & 1, self.lengths)
 
     def pairs(self, frequent: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted different pairs (range, then its bits), and each token's place among them."""
+        """Sorted different pairs (range, then its bits), and each token's place among them; ``frequent`` marks the words that are states."""
         here = np.where(frequent, self.keys, _RARE)[self.tokens]
         before = np.append(_START, here[:-1])
         before[self.firsts] = _START
@@ -143,17 +150,31 @@ def _ask_words(parts: int):
     return run
 
 
-def _ask_pairs(parts: int, shared):
-    """``shared``: the sorted hashes of the frequent words, at most ``STATES`` of them."""
+def _unit_of(table: pa.Table) -> tuple[int, _Unit, np.ndarray]:
+    """A unit's number, the unit, and the training counts of its words, from its body and the answers to it."""
+    kind = table.column("kind").to_numpy()
+    body = int(np.flatnonzero(kind == BODY)[0])
+    unit = _Unit(*(table.column(c)[body].as_py() for c in "abcde"))
+    return table.column("unit")[body].as_py(), unit, _answered(table, WORD_COUNTS)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        states = shared.value
-        for batch in batches:
-            for number, unit in _units_of(batch):
-                codes, places = unit.pairs(np.isin(unit.keys, states), parts)
-                counts = np.bincount(places, unit.train, len(codes))
-                bits = np.uint64(PAIR_BITS)
-                yield from _rows(_requests(number, PAIRS, codes >> bits, codes & ((np.uint64(1) << bits) - np.uint64(1)), counts, PAIR_BITS // 8)).to_batches()
+
+def _answered(table: pa.Table, which: int) -> np.ndarray:
+    rows, part = np.flatnonzero(table.column("kind").to_numpy() == which), table.column("part").to_numpy()
+    found = [_unpack(table.column("a")[int(r)].as_py(), 6) for r in rows[np.argsort(part[rows])]]
+    return np.concatenate(found).astype(np.int64)
+
+
+def _are_frequent(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return (counts >= LEAST_FREQUENT) | (keys == _END)
+
+
+def _ask_pairs(parts: int):
+    def run(table: pa.Table) -> pa.Table:
+        number, unit, counts = _unit_of(table)
+        codes, places = unit.pairs(_are_frequent(unit.keys, counts), parts)
+        seen = np.bincount(places, unit.train, len(codes))
+        bits = np.uint64(PAIR_BITS)
+        return _rows(_requests(number, PAIRS, codes >> bits, codes & ((np.uint64(1) << bits) - np.uint64(1)), seen, PAIR_BITS // 8))
 
     return run
 
@@ -177,12 +198,11 @@ def _answers(table: pa.Table, kind: int, total: np.ndarray, places: list[np.ndar
 
 
 def _count_words(table: pa.Table) -> pa.Table:
-    """Answers; and of the range, the number of tokens and kinds, and the words that may be frequent."""
+    """Answers; and of the range, the number of tokens and kinds, of all and of the rare words."""
     keys, total, places = _added(table, 8)
-    many = (total >= LEAST_FREQUENT) | (keys == _END)
-    totals = np.array([total.sum(), (total > 0).sum()], np.int64)
-    rows = [(-1, TOTALS, -1, totals.tobytes()), (-1, FREQUENT, -1, keys[many].tobytes(), total[many].tobytes())]
-    return _rows([*_answers(table, WORD_COUNTS, total, places), *rows])
+    rare = ~_are_frequent(keys, total)
+    totals = np.array([total.sum(), (total > 0).sum(), total[rare].sum(), (total[rare] > 0).sum()], np.int64)
+    return _rows([*_answers(table, WORD_COUNTS, total, places), (-1, TOTALS, -1, totals.tobytes())])
 
 
 def _count_pairs(table: pa.Table) -> pa.Table:
@@ -190,35 +210,14 @@ def _count_pairs(table: pa.Table) -> pa.Table:
     return _rows(_answers(table, PAIR_COUNTS, total, places))
 
 
-def _choose(least: int):
-    """Of the words that may be frequent, those with ``least`` tokens, and the end."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                keys, counts = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)
-                kept = (counts >= least) | (keys == _END)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[kept].view(np.int64)), pa.array(counts[kept])], names=["word", "n"])
-
-    return run
-
-
-def _score_unit(shared, parts: int, tokens: int, kinds: int, rare_tokens: int, rare_kinds: int):
+def _score_unit(parts: int, tokens: int, kinds: int, rare_tokens: int, rare_kinds: int):
     scale = tokens + ADDED * (kinds + 1)
 
     def run(table: pa.Table) -> pa.Table:
-        kind, part = table.column("kind").to_numpy(), table.column("part").to_numpy()
-        body = int(np.flatnonzero(kind == BODY)[0])
-        unit = _Unit(*(table.column(c)[body].as_py() for c in "abcde"))
-
-        def answered(which):
-            rows = np.flatnonzero(kind == which)
-            found = [_unpack(table.column("a")[int(r)].as_py(), 6) for r in rows[np.argsort(part[rows])]]
-            return np.concatenate(found).astype(np.int64)
-
-        counts, frequent = answered(WORD_COUNTS), np.isin(unit.keys, shared.value)
+        _, unit, counts = _unit_of(table)
+        frequent = _are_frequent(unit.keys, counts)
         _, places = unit.pairs(frequent, parts)
-        seen = answered(PAIR_COUNTS)[places]
+        seen = _answered(table, PAIR_COUNTS)[places]
         share = (counts + ADDED) / scale
         rare_share = (rare_tokens + ADDED * rare_kinds + ADDED) / scale
         # training tokens of the state before each token; the start stands for one end per text
@@ -266,19 +265,12 @@ def score_texts(docs: DataFrame) -> DataFrame:
     units = _keep(rows.select("text", "doc_id", (~held_out).alias("train")).mapInArrow(_unit_batches, _ROW), "units")
     asked = units.mapInArrow(_ask_words(parts), _ROW)
     answers = _keep(asked.groupBy("part").applyInArrow(_count_words, _ROW), "word-counts")
-    totals = [np.frombuffer(r.a, np.int64) for r in answers.where(F.col("kind") == TOTALS).select("a").toLocalIterator()]  # 16 bytes a range
-    tokens, kinds = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0)
-    least = max(LEAST_FREQUENT, -(-tokens // STATES))
-    found = answers.where(F.col("kind") == FREQUENT).select("a", "b").mapInArrow(_choose(least), "word long, n long").toArrow()
-    states = np.sort(np.append(found.column("word").to_numpy().view(np.uint64), _END))
-    inner = found.column("n").to_numpy()[found.column("word").to_numpy().view(np.uint64) != _END]
-    ends = tokens and int(found.column("n").to_numpy().sum()) - int(inner.sum())
-    rare_tokens, rare_kinds = tokens - int(inner.sum()) - ends, kinds - len(inner) - (ends > 0)
-    shared = docs.sparkSession.sparkContext.broadcast(np.unique(states))
+    totals = [np.frombuffer(r.a, np.int64) for r in answers.where(F.col("kind") == TOTALS).select("a").toLocalIterator()]  # 32 bytes a range
+    tokens, kinds, rare_tokens, rare_kinds = (int(x) for x in np.sum(totals, axis=0)) if totals else (0, 0, 0, 0)
     pair_parts = PAIR_RANGES * parts
-    pairs = units.mapInArrow(_ask_pairs(pair_parts, shared), _ROW).groupBy("part").applyInArrow(_count_pairs, _ROW)
-    known = units.unionByName(answers.where(F.col("kind") == WORD_COUNTS)).unionByName(pairs)
-    scored = known.groupBy("unit").applyInArrow(
-        _score_unit(shared, pair_parts, tokens, kinds, rare_tokens, rare_kinds), "doc_id long, n_tokens long, n_known long, base_score double, score double"
+    counted = units.unionByName(answers.where(F.col("kind") == WORD_COUNTS))
+    pairs = counted.groupBy("unit").applyInArrow(_ask_pairs(pair_parts), _ROW).groupBy("part").applyInArrow(_count_pairs, _ROW)
+    scored = counted.unionByName(pairs).groupBy("unit").applyInArrow(
+        _score_unit(pair_parts, tokens, kinds, rare_tokens, rare_kinds), "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
