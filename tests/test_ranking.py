@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.operators import grouping, ranking, skew
+from tidemark.session import materialize
 
 
 def sample(spark, seed=3, n=600):
@@ -113,3 +114,11 @@ def test_equal_order_values_are_split(spark):
     got = grouping.nested_parts(df, ["k"], "o", 20, ["id"], one_task_rows=0).collect()
     assert sorted(x["id"] for r in got for x in r["rows"]) == list(range(200))
     assert len(got) >= 8
+
+
+@pytest.mark.parametrize("limit", [0, 10_000])
+def test_scaled_unique_rank_equals_window(spark, rows, limit):
+    named = materialize(sample(spark).withColumn("n", F.monotonically_increasing_id()), "named")
+    wanted = named.withColumn("u", ranking.unique_rank("v", ["n"], ["g"]))
+    got = ranking.scaled_unique_rank(named, "v", ["n"], ["g"], "u", limit)
+    assert rows(got, "g", "n", "u") == rows(wanted, "g", "n", "u")

@@ -135,3 +135,13 @@ def test_query_with_parameters(spark, rows):
     assert rows(got) == [(dt.date(2021, 1, 1),)]
     assert readers.preview(df, 1, F.desc("d")).first()["d"] == dt.date(2021, 1, 1)
     assert readers.random_rows(df, 1, seed=1).count() == 1
+
+
+def test_random_rows_do_not_depend_on_partitioning(spark, rows):
+    df = spark.range(200).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("v"))
+    first = rows(readers.random_rows(df, 5, seed=3))
+    for parts in (1, 7):
+        assert rows(readers.random_rows(df.repartition(parts), 5, seed=3)) == first
+        assert rows(readers.random_rows(df.repartition(parts), 5, seed=3, key="k")) == rows(readers.random_rows(df, 5, seed=3, key="k"))
+    assert rows(readers.random_rows(df, 5, seed=4)) != first
+    assert readers.random_rows(df.where("k < 0"), 2).count() == 0

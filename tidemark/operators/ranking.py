@@ -44,6 +44,14 @@ def unique_rank(value: str, tie_break: Sequence[str], partition: Sequence[str])
     return F.row_number().over(Window.partitionBy(*partition).orderBy(*order)).cast("long")
 
 
+def scaled_unique_rank(
+    df: DataFrame, value: str, tie_break: Sequence[str], keys: Sequence[str], name: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
+    """``unique_rank`` as a column ``name``, for groups of any size."""
+    order = [F.col(value).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in tie_break]]
+    return row_positions(df, keys, order, name, one_task_rows).withColumn(name, F.col(name) + 1)
+
+
 def has_large_group(df: DataFrame, keys: Sequence[str], above: int) -> bool:
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     return bool(sizes.where(F.col("_n") > above).take(1))
@@ -64,13 +72,16 @@ def range_buckets(
     return materialize(spread.withColumn("_bucket", F.spark_partition_id()), "ranges"), True
 
 
-def _running(df: DataFrame, keys: list[str], order: list[Column], weight: Column, name: str) -> DataFrame:
+def _running(
+    df: DataFrame, keys: list[str], order: list[Column], weight: Column, name: str, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Adds what the rows of its group before a row weigh; a group may cover any number of tasks.
 
-    Rows are dealt by ranges of group and order, so values of any type that sorts will do. Each range sums its own
-    piece of a group and adds what the group's pieces in earlier ranges hold.
+    Rows are dealt by ranges of group and order, as many as the counted rows ask for, so values of any type that sorts will do. Each range
+    sums its own piece of a group and adds what the group's pieces in earlier ranges hold.
     """
-    spread = df.repartitionByRange(*[F.col(k).asc_nulls_first() for k in keys], *order)
+    ranges = max(1, math.ceil(df.count() / max(one_task_rows, LEAST_RANGE)))
+    spread = df.repartitionByRange(ranges, *[F.col(k).asc_nulls_first() for k in keys], *order)
     placed = materialize(spread.withColumn("_range", F.spark_partition_id()), "ranges")
     pieces = placed.groupBy("_range", *keys).agg(F.sum(weight).alias("_own"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -80,7 +91,9 @@ def _running(df: DataFrame, keys: list[str], order: list[Column], weight: Column
     return join_same(summed, carry, ["_range", *keys]).withColumn(name, F.col(name) + F.col("_carry")).drop("_range", "_carry")
 
 
-def value_positions(df: DataFrame, keys: Sequence[str], value: str, descending: bool = False) -> DataFrame:
+def value_positions(
+    df: DataFrame, keys: Sequence[str], value: str, descending: bool = False, one_task_rows: int = ONE_TASK_ROWS
+) -> DataFrame:
     """Distinct values per group with ``_ties`` (rows holding it) and ``_before`` (rows ahead).
 
     Rows are first counted per distinct value, with a map-side combine.
@@ -88,7 +101,7 @@ def value_positions(df: DataFrame, keys: Sequence[str], value: str, descending:
     keys = list(keys)
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_ties"))
     order = F.desc(value) if descending else F.asc(value)
-    placed = _running(counts, keys, [order], F.col("_ties"), "_before")
+    placed = _running(counts, keys, [order], F.col("_ties"), "_before", one_task_rows)
     return materialize(placed.select(*keys, value, "_ties", "_before"), "positions")
 
 
@@ -100,7 +113,7 @@ def row_positions(
     if not has_large_group(df, keys, one_task_rows):
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long") - 1)
     marked = df.withColumn("_row", F.monotonically_increasing_id())
-    return _running(marked, keys, [*order, F.col("_row").asc()], F.lit(1), name).drop("_row")
+    return _running(marked, keys, [*order, F.col("_row").asc()], F.lit(1), name, one_task_rows).drop("_row")
 
 
 def _total(values: Column) -> Column:
@@ -122,7 +135,7 @@ def with_positions(
     """
     keys = list(keys)
     if has_large_group(df, keys, one_task_rows):
-        positions = value_positions(df, keys, value, descending)
+        positions = value_positions(df, keys, value, descending, one_task_rows)
         return lookup_join(df, positions, [*keys, value], "_ties", keep_weight=True)
     v = F.col(value)
     ordered = Window.partitionBy(*keys).orderBy(v.desc_nulls_last() if descending else v.asc_nulls_last())

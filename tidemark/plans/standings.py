@@ -15,7 +15,7 @@ from tidemark.functions.stats import safe_ratio, strict_sum
 from tidemark.operators.grouping import last_by, standardize
 from tidemark.operators.joins import latest_before, left_lookup
 from tidemark.operators.learning import predict, scale_to_total
-from tidemark.operators.ranking import tie_ranks, unique_rank
+from tidemark.operators.ranking import ONE_TASK_ROWS, has_large_group, scaled_rank, scaled_unique_rank, tie_ranks, unique_rank
 from tidemark.operators.reshape import (
     densify, literal_row, numeric_columns, ordinal_of, over_columns, split_by_range, to_long, union_by_name, zero_where,
 )
@@ -111,7 +111,8 @@ def forecast(rows: DataFrame, model, predictors: Sequence[str] = PREDICTORS) ->
 
 
 def forecast_text():
-    share = F.format_string("%.2f%%", F.col("pred_medal_share") * 100)
+    shown = F.col("pred_medal_share").isNotNull()
+    share = F.when(shown, F.format_string("%.2f%%", F.col("pred_medal_share") * 100)).otherwise("NA%")
     known = F.col("pred_medals").isNotNull()
     amount = F.when(known, F.format_string("%.1f", F.col("pred_medals"))).otherwise("NA")
     return F.concat(
@@ -123,19 +124,23 @@ def forecast_text():
     )
 
 
-def long_standings(rows: DataFrame) -> DataFrame:
-    """One row per country, year and figure, with ranks per year and figure and a label."""
+def long_standings(rows: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+    """One row per country, year and figure, with ranks per year and figure and a label.
+
+    If a year has more than ``one_task_rows`` countries its ranks are counted in ranges.
+    """
     named = rows.withColumnsRenamed({"medals": "total", "pred_medals": "predicted"})
     compared = named.withColumn("total_vs_predicted", F.col("total") - F.col("predicted"))
     long = to_long(compared, ["year", "country"], DISPLAY_FIELDS, "medals_field", "medals_value")
     group = ["year", "medals_field"]
-    ranked = long.withColumns(
-        {
-            **tie_ranks("medals_value", group, "medals_value"),
-            "medals_value_unique_rk": unique_rank("medals_value", ["country"], group),
-            "medals_field_order": ordinal_of("medals_field", DISPLAY_FIELDS),
-        }
-    )
+    if has_large_group(rows, ["year"], one_task_rows):
+        long = materialize(long, "long-standings")
+        ranked = scaled_rank(long, group, "medals_value", "medals_value_rk", True, num_at_rank="medals_value_num_at_rk", one_task_rows=one_task_rows)
+        ranked = scaled_unique_rank(ranked, "medals_value", ["country"], group, "medals_value_unique_rk", one_task_rows)
+    else:
+        ranks = tie_ranks("medals_value", group, "medals_value")
+        ranked = long.withColumns(ranks | {"medals_value_unique_rk": unique_rank("medals_value", ["country"], group)})
+    ranked = ranked.withColumn("medals_field_order", ordinal_of("medals_field", DISPLAY_FIELDS))
     v = F.col("medals_value")
     amount = F.when(F.col("medals_field") == "predicted", F.format_string("%.1f", v)).when(
         F.col("medals_field") == "total_vs_predicted", F.format_string("%+.1f", v)

@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tidemark.functions.scalars import file_name, month_key, month_start, null_if_text
 from tidemark.operators.grouping import profile_by
 from tidemark.operators.ranking import ONE_TASK_ROWS, group_slices
-from tidemark.operators.reshape import union_by_name
+from tidemark.operators.reshape import columns_first, union_by_name
+from tidemark.operators.similarity import unit_vectors
 from tidemark.session import scratch_path
 from tidemark.sources import loader
 from tidemark.sources.filetable import FileTable
@@ -108,7 +110,30 @@ def nation_profile(spark, sf):
 
 
 def random_order(spark, sf):
-    return random_rows(read_table(spark, sf, "orders"), 1, seed=7)
+    return random_rows(read_table(spark, sf, "orders"), 1, seed=7, key="o_orderkey")
+
+
+def columns_in_front(spark, sf):
+    """Suppliers with balance and nation in front and a file name made of three parts, the name itself left out."""
+    suppliers = read_table(spark, sf, "supplier").withColumn("file", file_name(F.lit("balance of"), "s_name", "s_nationkey", extension="csv"))
+    return columns_first(suppliers, ["s_acctbal", "s_nationkey"], ["s_name"])
+
+
+def month_starts(spark, sf):
+    """Orders per month, the month as text and as the date it begins with; urgent priorities count as unknown."""
+    orders = read_table(spark, sf, "orders").withColumn("month", month_key("o_orderdate"))
+    known = orders.withColumn("priority", null_if_text(F.concat(F.lit(" "), "o_orderpriority", F.lit(" ")), "1-URGENT"))
+    counted = known.groupBy("month").agg(F.count(F.lit(1)).alias("num_orders"), F.count("priority").alias("known"))
+    return counted.withColumn("starts", month_start("month"))
+
+
+def vectors_with_direction(spark, sf):
+    """Vectors of every tenth row emptied and of every eleventh set to zero: these have no direction and go."""
+    row, vector = F.col("vec_id"), F.col("embedding")
+    zero = F.transform(vector, lambda x: (x * 0).cast("float"))
+    changed = read_table(spark, sf, "embeddings").withColumn("embedding", F.when(row % 10 == 0, F.array().cast("array<float>")).when(row % 11 == 0, zero).otherwise(vector))
+    units = unit_vectors(changed, "vec_id", "embedding")
+    return units.select("key", F.size("unit").alias("dims"), F.round(F.col("unit")[0], 6).alias("first"))
 
 
 def upload_slices_split(spark, sf):
@@ -223,7 +248,7 @@ def table_from_query(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        table_preview, pruned_scan, csv_round_trip, year_shard_union, year_partition_scan, file_listing, file_row_counts,
+        table_preview, pruned_scan, columns_in_front, month_starts, vectors_with_direction, csv_round_trip, year_shard_union, year_partition_scan, file_listing, file_row_counts,
         sql_with_parameters, segment_profile, nation_profile, random_order, upload_slices, upload_slices_split, upload_append,
         upload_keyed_replace, upload_keyed_partitions, upload_replace, upload_dry_run, upload_empty, table_from_query,
         file_table_keyed_replace, file_table_files,
@@ -251,6 +276,16 @@ SQL = {
     "table_preview": "SELECT * FROM part ORDER BY p_partkey LIMIT 10",
     "pruned_scan": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate >= DATE '1997-01-01'",
     "csv_round_trip": "SELECT * FROM customer",
+    "random_order": "SELECT * FROM orders ORDER BY md5('7|' || o_orderkey), o_orderkey LIMIT 1",
+    "columns_in_front": """
+SELECT * EXCLUDE (s_name), replace('balance of_' || s_name || '_' || s_nationkey, ' ', '_') || '.csv' AS file FROM supplier""",
+    "month_starts": """
+SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS num_orders, count(*) FILTER (o_orderpriority <> '1-URGENT') AS known,
+       CAST(min(date_trunc('month', o_orderdate)) AS DATE) AS starts FROM orders GROUP BY ALL""",
+    "vectors_with_direction": """
+SELECT vec_id AS key, len(embedding)::INTEGER AS dims,
+       round(embedding[1]::DOUBLE / sqrt(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE))), 6) AS "first"
+FROM embeddings WHERE vec_id % 10 <> 0 AND vec_id % 11 <> 0""",
     "year_shard_union": _SHARDS,
     "year_partition_scan": _SHARDS,
     "sql_with_parameters": """

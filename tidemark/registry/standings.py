@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.prompts import FORECAST_PROMPT, forecast_prompt
 from tidemark.functions.scalars import text_or_na
 from tidemark.functions.stats import line_intercept, line_slope
 from tidemark.operators.grouping import joined_text, with_group_totals
@@ -114,10 +115,15 @@ def medals_entrants_zero_filled(spark, sf):
     return plan.entrants_as_results(entrants.drop("n_regionkey"), listed, OPEN_YEAR, "NATION_6")
 
 
-def medals_long_ranked(spark, sf):
+def medals_long_ranked_split(spark, sf):
+    """The same with every year counted as too large for one task."""
+    return medals_long_ranked(spark, sf, 5)
+
+
+def medals_long_ranked(spark, sf, one_task_rows=ONE_TASK_ROWS):
     """Forecast stand-in: each year's total shared out by the previous share."""
     rows = _panel(spark, sf).withColumn("pred_medals", F.round(F.col("medal_share_prev") * F.col("yr_tot_medals"), 6))
-    long = plan.long_standings(rows)
+    long = plan.long_standings(rows, one_task_rows)
     return rounded(
         long.select(
             "year", "country", "medals_field", "medals_field_order", "medals_value", "medals_value_rk",
@@ -128,6 +134,17 @@ def medals_long_ranked(spark, sf):
     )
 
 
+def forecast_labels(spark, sf):
+    """The labels with their numbers, and the request about each; shares and amounts have one digit less than is shown."""
+    rows = _panel(spark, sf).select(
+        "year", "country", "is_host", F.round("medal_share_prev", 3).alias("pred_medal_share"),
+        F.round(F.col("medal_share_prev") * F.col("yr_tot_medals"), 0).alias("pred_medals"),
+    )
+    ranked = rows.withColumns(tie_ranks("pred_medals", ["year"], "pred_medals")).withColumn("label", plan.forecast_text())
+    prompt = forecast_prompt(F.col("year"), F.col("country"), F.col("is_host"), F.col("label"), F.lit("none"), F.when(F.col("is_host"), "French"))
+    return ranked.select("year", "country", "label", F.sha2(F.encode(prompt, "UTF-8"), 256).alias("prompt_sha256"))
+
+
 def medals_wide_with_text(spark, sf):
     """The long medal rows turned back to columns, and as one text per country and year."""
     ids = ["year", "country"]
@@ -243,7 +260,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         medals_by_year, medals_of_one_country, medals_year_hosts, medals_group_span, medals_rank_share_lag, medals_entrants_zero_filled,
-        medals_long_ranked, medals_wide_with_text, persistence_forecast, persistence_metrics, customer_year_grid, customer_year_rank, customer_year_rank_split,
+        medals_long_ranked, medals_long_ranked_split, forecast_labels, medals_wide_with_text, persistence_forecast, persistence_metrics, customer_year_grid, customer_year_rank, customer_year_rank_split,
         indicators_scaled, indicators_asof, events_latest_error, events_latest_error_split, numeric_corr_matrix, share_change_quartiles, order_price_quartiles, share_trend_line,
         model_split_counts,
     )
@@ -360,23 +377,13 @@ _NUMBERS = """gold silver bronze medals medals_rk medals_num_at_rk yr_tot_medals
     medal_share_2_ago gdp population gdp_per_capita gdp_scaled population_scaled gdp_per_capita_scaled""".split()
 _PAIRS = [(a, b) for a in _NUMBERS for b in _NUMBERS]
 
-SQL = {
-    "medals_by_year": f"""WITH {_PANEL}
-SELECT year, country, country_group, is_host, gold, silver, bronze, medals FROM panel""",
-    "medals_of_one_country": f"""WITH {_PANEL}
-SELECT country, year, medals, medals_rk FROM panel WHERE country = 'NATION_3' AND year = 1998""",
-    "medals_year_hosts": f"""WITH {_RESULTS}
-SELECT DISTINCT year, host_country FROM results UNION SELECT 2002, 'NATION_7'""",
-    "medals_group_span": f"WITH {_RESULTS} SELECT * FROM spans",
-    "medals_rank_share_lag": f"""WITH {_PANEL}
-SELECT year, country, country_group, medals, medals_rk, medals_num_at_rk, yr_tot_medals,
-       round(medal_share, 9) AS medal_share, round(medal_share_prev, 9) AS medal_share_prev,
-       round(medal_share_2_ago, 9) AS medal_share_2_ago FROM panel""",
-    "medals_entrants_zero_filled": f"""WITH {_RESULTS}
-SELECT n_name AS country, coalesce(gold, 0) AS gold, coalesce(silver, 0) AS silver, coalesce(bronze, 0) AS bronze,
-       2001 AS year, 'NATION_6' AS host_country
-FROM nation LEFT JOIN results ON n_name = country AND year = 2001 AND n_regionkey <> 3""",
-    "medals_long_ranked": f"""WITH {_PANEL},
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''").replace("\n", "' || chr(10) || '") + "'"
+
+
+_LONG_RANKED = (
+    f"""WITH {_PANEL},
 pred AS (SELECT *, round(medal_share_prev * yr_tot_medals, 6) AS pred FROM panel),
 long AS ("""
     + " UNION ALL ".join(
@@ -395,7 +402,38 @@ SELECT year, country, medals_field, medals_field_order, round(v, 6) + 0.0 AS med
        CASE WHEN v IS NOT NULL THEN rk || CASE WHEN rk % 100 BETWEEN 11 AND 13 THEN 'th' WHEN rk % 10 = 1 THEN 'st'
             WHEN rk % 10 = 2 THEN 'nd' WHEN rk % 10 = 3 THEN 'rd' ELSE 'th' END
             || CASE WHEN num > 1 THEN ' (tied)' ELSE '' END END AS rank_text
-FROM ranked""",
+FROM ranked"""
+)
+
+SQL = {
+    "medals_by_year": f"""WITH {_PANEL}
+SELECT year, country, country_group, is_host, gold, silver, bronze, medals FROM panel""",
+    "medals_of_one_country": f"""WITH {_PANEL}
+SELECT country, year, medals, medals_rk FROM panel WHERE country = 'NATION_3' AND year = 1998""",
+    "medals_year_hosts": f"""WITH {_RESULTS}
+SELECT DISTINCT year, host_country FROM results UNION SELECT 2002, 'NATION_7'""",
+    "medals_group_span": f"WITH {_RESULTS} SELECT * FROM spans",
+    "medals_rank_share_lag": f"""WITH {_PANEL}
+SELECT year, country, country_group, medals, medals_rk, medals_num_at_rk, yr_tot_medals,
+       round(medal_share, 9) AS medal_share, round(medal_share_prev, 9) AS medal_share_prev,
+       round(medal_share_2_ago, 9) AS medal_share_2_ago FROM panel""",
+    "medals_entrants_zero_filled": f"""WITH {_RESULTS}
+SELECT n_name AS country, coalesce(gold, 0) AS gold, coalesce(silver, 0) AS silver, coalesce(bronze, 0) AS bronze,
+       2001 AS year, 'NATION_6' AS host_country
+FROM nation LEFT JOIN results ON n_name = country AND year = 2001 AND n_regionkey <> 3""",
+    "medals_long_ranked": _LONG_RANKED,
+    "medals_long_ranked_split": _LONG_RANKED,
+    "forecast_labels": f"""WITH {_PANEL},
+p AS (SELECT year, country, is_host, round(medal_share_prev, 3) AS s, round(medal_share_prev * yr_tot_medals, 0) AS m FROM panel),
+r AS (SELECT *, rank() OVER (PARTITION BY year ORDER BY m DESC NULLS LAST) AS rk, count(*) OVER (PARTITION BY year, m) AS num FROM p),
+t AS (
+  SELECT year, country, is_host, year || ' ' || country || chr(10) || 'Predicted Medal Share: ' || coalesce(printf('%.2f', s * 100), 'NA') || '%' || chr(10)
+    || 'Predicted Medals: ' || coalesce(printf('%.1f', m), 'NA') || chr(10) || 'Predicted Medals Rank: '
+    || CASE WHEN m IS NULL THEN 'NA' ELSE rk || CASE WHEN num > 1 THEN ' (' || num || ' tied)' ELSE '' END END AS label FROM r
+)
+SELECT year, country, label, sha256(printf({_quoted(FORECAST_PROMPT)}, CAST(year AS VARCHAR), country,
+  CASE WHEN is_host THEN 'French' ELSE 'English' END, label, 'none')
+  || CASE WHEN is_host THEN 'Mention what hosting means for ' || country || '.' || chr(10) ELSE '' END) AS prompt_sha256 FROM t""",
     "medals_wide_with_text": f"""WITH {_PANEL}
 SELECT year, country, CAST(gold AS DOUBLE) AS num_gold, CAST(silver AS DOUBLE) AS num_silver,
        CAST(bronze AS DOUBLE) AS num_bronze, CAST(medals AS DOUBLE) AS num_medals,

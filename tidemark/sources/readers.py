@@ -20,8 +20,14 @@ def preview(df: DataFrame, rows: int, *order: Column | str) -> DataFrame:
     return (df.orderBy(*order) if order else df).limit(rows)
 
 
-def random_rows(df: DataFrame, rows: int = 1, seed: int = 0) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(rows)
+def random_rows(df: DataFrame, rows: int = 1, seed: int = 0, key: str | None = None) -> DataFrame:
+    """``rows`` rows picked by a hash of seed and ``key`` (the whole row if not given): the same under any partitioning.
+
+    Each task keeps its least hashes only. Keys that occur several times go together, ordered by the whole row.
+    """
+    whole = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    own = F.coalesce(F.col(key).cast("string"), F.lit("")) if key else whole
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), own).cast("binary")), own, whole).limit(rows)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
