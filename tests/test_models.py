@@ -69,6 +69,10 @@ def test_clusters(spark):
     scored = learning.assign_clusters(model, df)
     assert scored.columns == [*df.columns, "cluster"]
     assert scored.groupBy("c").agg(F.count_distinct("cluster").alias("n")).agg(F.max("n")).first()[0] == 1
+    found = {(r["row"], r["cluster"]): r["squared"] for r in learning.centre_distances(model, df).collect()}
+    points = [r["features"].toArray() for r in model.transform(df).collect()]
+    wanted = sorted(float(((p - c) ** 2).sum()) for p in points for c in model.stages[-1].clusterCenters())
+    assert sorted(found.values()) == pytest.approx(wanted, abs=1e-9)
     figures = learning.evaluate_clusters(model, df).first()
     assert figures["silhouette"] > 0.9 and 0 < figures["davies_bouldin_index"] < 0.2 and figures["num_rows"] == 30
     centres = learning.centroids(spark, model).where("feature = 'q'").collect()

@@ -11,7 +11,6 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import CountVectorizer, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,22 +77,47 @@ def centroids(spark: SparkSession, model: PipelineModel) -> DataFrame:
     return spark.createDataFrame(rows, "cluster int, feature string, token string, value double")
 
 
+def centre_distances(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """(row, cluster, own, squared): the squared distance of every row with whole numbers to every centre; own marks its cluster.
+
+    A row is its different tokens and its scaled numbers, so the distance is |x|² - 2 x·c + |c|² with sums over the tokens it has: tokens are
+    joined to the centres' values that are not 0, and no row becomes a vector of all tokens.
+    """
+    spark, words = df.sparkSession, [s for s in model.stages if hasattr(s, "vocabulary")]
+    numbers, scaler = model.stages[-4].getInputCols(), model.stages[-3]
+    centres = np.array(model.stages[-1].clusterCenters())
+    rows = materialize(assign_clusters(model, df.dropna(subset=list(numbers))).withColumn("row", F.monotonically_increasing_id()), "assigned")
+    first, parts, counts = 0, [], F.lit(0)
+    for stage in words:
+        known = np.array(stage.vocabulary, dtype=object)
+        at, token = np.nonzero(centres[:, first : first + len(known)])
+        values = centres[at, first + token]
+        parts.append(pd.DataFrame({"feature": stage.getInputCol(), "token": known[token], "cluster": (at + 1).astype("int32"), "value": values}))
+        counts = counts + F.size(F.array_distinct(F.array_compact(F.coalesce(stage.getInputCol(), F.array()))))
+        first += len(known)
+    squares = (centres[:, :first] ** 2).sum(axis=1)
+    places = [(i + 1, float(squares[i]), [float(x) for x in centres[i, first:]]) for i in range(len(centres))]
+    grid = F.broadcast(spark.createDataFrame(places, "cluster int, square double, place array<double>"))
+    table = spark.createDataFrame(pd.concat(parts), "feature string, token string, cluster int, value double")
+    held = [
+        rows.select("row", F.lit(s.getInputCol()).alias("feature"), F.explode(F.array_distinct(s.getInputCol())).alias("token")) for s in words
+    ]
+    products = reduce(DataFrame.union, held).join(table, ["feature", "token"]).groupBy("row", "cluster").agg(F.sum("value").alias("product"))
+    scaled = [(F.col(c).cast("double") - float(m)) / float(d) if d else F.lit(0.0) for c, m, d in zip(numbers, scaler.mean, scaler.std)]
+    z = rows.select("row", F.col("cluster").alias("mine"), counts.alias("n"), F.array(*scaled).alias("z"))
+    gap = F.aggregate(F.zip_with("z", "place", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda total, x: total + x)
+    every = z.crossJoin(grid).join(products, ["row", "cluster"], "left")  # a row for each of the few clusters
+    squared = F.col("n") - 2 * F.coalesce("product", F.lit(0.0)) + F.col("square") + gap
+    return every.select("row", "cluster", (F.col("cluster") == F.col("mine")).alias("own"), F.greatest(squared, F.lit(0.0)).alias("squared"))
+
+
 def evaluate_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Mean squared distance, Davies-Bouldin index (1979) and silhouette."""
     centres = np.array(model.stages[-1].clusterCenters())
     df = df.dropna(subset=list(model.stages[-4].getInputCols()))
-    scored = materialize(model.transform(df).select("features", "prediction"), "clustered")
-
-    @F.pandas_udf("double")
-    def to_centre(point: pd.Series, cluster: pd.Series) -> pd.Series:
-        if point.empty:
-            return pd.Series([], dtype="float64")
-        gaps = np.stack(point.to_numpy()) - centres[cluster.to_numpy()]
-        return pd.Series(np.sqrt((gaps * gaps).sum(axis=1)))
-
-    spread = scored.withColumn("_d", to_centre(vector_to_array("features"), "prediction"))
-    per_cluster = spread.groupBy("prediction").agg(
-        F.avg("_d").alias("spread"), F.sum(F.col("_d") * F.col("_d")).alias("squares"), F.count(F.lit(1)).alias("n")
+    own = materialize(centre_distances(model, df).where("own"), "own-distances")
+    per_cluster = own.groupBy((F.col("cluster") - 1).alias("prediction")).agg(
+        F.avg(F.sqrt("squared")).alias("spread"), F.sum("squared").alias("squares"), F.count(F.lit(1)).alias("n")
     )
     apart = np.sqrt(((centres[:, None, :] - centres[None, :, :]) ** 2).sum(axis=2))
     links = [(i, j, float(apart[i, j])) for i in range(len(centres)) for j in range(len(centres)) if i != j]
@@ -103,6 +127,7 @@ def evaluate_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
     worst = pairs.join(a, "i").join(b, "j").groupBy("i").agg(
         F.max(F.try_divide(F.col("si") + F.col("sj"), F.col("apart"))).alias("ratio")
     )
+    scored = materialize(model.transform(df).select("features", "prediction"), "clustered")
     silhouette = ClusteringEvaluator(featuresCol="features").evaluate(scored)
     return per_cluster.agg(
         (F.sum("squares") / F.sum("n")).alias("mean_squared_distance"), F.sum("n").alias("num_rows")

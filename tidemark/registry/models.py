@@ -55,6 +55,13 @@ def cluster_eval(spark, sf):
     return learning.evaluate_clusters(model, items)
 
 
+def cluster_nearest_centre(spark, sf):
+    """Items, and how many of them lie nearer to another centre than to their own: none."""
+    items, model = _clustered(spark, sf)
+    each = learning.centre_distances(model, items).groupBy("row").agg(F.min("squared").alias("least"), F.max(F.when(F.col("own"), F.col("squared"))).alias("mine"))
+    return each.agg(F.count(F.lit(1)).alias("num_rows"), F.count_if(F.col("mine") > F.col("least") + 1e-6).alias("misplaced"))
+
+
 def cluster_centroids(spark, sf):
     return learning.centroids(spark, _clustered(spark, sf)[1])
 
@@ -208,7 +215,7 @@ def forecast_standings_long(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (
-        cluster_profile, brand_profile, cluster_eval, cluster_centroids, glm_coefficients, glm_single_predictor, glm_normal_equations, gbt_single_split, gbt_single_split_attribution, gbt_predictions,
+        cluster_profile, brand_profile, cluster_eval, cluster_nearest_centre, cluster_centroids, glm_coefficients, glm_single_predictor, glm_normal_equations, gbt_single_split, gbt_single_split_attribution, gbt_predictions,
         gbt_metrics, gbt_importance, gbt_attribution, gbt_attribution_adds_up, gbt_attribution_wide, forecast_explanations, forecast_standings_long,
     )
 }
@@ -232,6 +239,10 @@ SELECT cluster, round(sum(w), 2) AS total_volume, round(sum(w * price) / nullif(
        string_agg(item_description, ', ' ORDER BY n) FILTER (n <= 10) AS top_items,
        string_agg(DISTINCT category_name, ', ' ORDER BY category_name) AS categories
 FROM top GROUP BY cluster""",
+    "cluster_nearest_centre": f"""WITH {sales._FACTS}
+SELECT count(*) AS num_rows, 0::BIGINT AS misplaced FROM (
+  SELECT p_type, p_name FROM facts WHERE p_type IS NOT NULL AND p_name IS NOT NULL GROUP BY ALL HAVING sum(volume) > 0
+)""",
     "glm_normal_equations": "SELECT unnest(["
     + ", ".join(f"'{c}'" for c in [*plan.PREDICTORS, "one"])
     + "]) AS term, CAST(0 AS DOUBLE) AS moment",
