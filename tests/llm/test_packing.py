@@ -1,3 +1,4 @@
+import functools
 import zlib
 
 import numpy as np
@@ -36,7 +37,7 @@ def check_sequences(rows, size):
 
 def packed(spark, rows, **options):
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids string, unit string, number string, sequence_id string")
-    return [r.asDict() for r in packing.ids_crc32(packing.pack_documents(docs, **options)).collect()]
+    return [r.asDict() for r in packing.pack_documents(docs, **options).collect()]
 
 
 def test_pieces_follow_the_tokenizer_and_sequences_have_no_gaps(spark):
@@ -55,6 +56,7 @@ def test_pieces_follow_the_tokenizer_and_sequences_have_no_gaps(spark):
             wanted.append((doc_id, k // 256, k, len(part), zlib.crc32(part.tobytes())))
     key = lambda x: tuple((v is not None, v) for v in x)
     assert sorted(((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got), key=key) == sorted(wanted, key=key)
+    assert all(zlib.crc32(np.array(r["ids"], "<u4").tobytes()) == r["ids_crc32"] for r in got)
     sequences = check_sequences(got, 256)
     assert sequences <= best_fit([w[3] for w in wanted], 256)
 
@@ -91,3 +93,17 @@ def test_fractional_solution_is_near_its_bound(low, high):
     plan = packing.pack_lengths(counts, 2048)
     _, bound = packing.fractional(counts, 2048)
     assert bound <= plan.sequences <= 1.06 * bound
+
+
+whole_tokenizer = functools.cache(lambda: Tokenizer.from_file(packing.VOCABULARY))
+PARTS = [*"abA1 2.,!'s<|>\n", "≠", "é", "×", "ß", "É", "\u0301", "\u0338", "\u0307", "İ", "一", "\u00a0", "»", "<|endoftext|>", "'ll", "ΑΣ"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS), max_size=20).map("".join), max_size=4))
+def test_spans_give_the_ids_of_whole_texts(texts):
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate(([0], np.cumsum([len(d) for d in data]))).astype(np.int64)
+    ids, edges = packing.token_ids(np.frombuffer(b"".join(data), np.uint8), offsets, packing._encoder(packing.VOCABULARY))
+    plain = whole_tokenizer()
+    assert [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)] == [plain.encode(t, add_special_tokens=False).ids + [0] for t in texts]

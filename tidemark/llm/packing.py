@@ -13,6 +13,7 @@ from __future__ import annotations
 import functools
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,39 +32,79 @@ END_ID = 0
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Rounds of multiplicative weights, how far from the best price a configuration may be, and the learning rate.
 ROUNDS, SLACK, RATE = 60, 0.05, 0.5
-#: Words whose ids a Python worker remembers at a time; it starts anew beyond, which changes no result.
-REMEMBERED = 600_000
+#: Spans whose ids a Python worker remembers; others are encoded again, which changes no result.
+REMEMBERED = 100_000
 
-_PIECES = "doc_id long, piece int, start long, length long, ids array<int>, unit long, number long"
+_PIECES = "doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long, unit long, number long"
+
+
+_APOSTROPHE, _LESS, _BAR = b"'<|"
+_LETTER, _DIGIT, _SIGN = np.zeros(256, bool), np.zeros(256, bool), np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
+_DIGIT[48:58] = True
+_SIGN[33:127] = ~_LETTER[33:127] & ~_DIGIT[33:127]
+_SIGN[_APOSTROPHE] = False
 
 
 @functools.lru_cache(maxsize=2)
 def _encoder(path: str):
-    """Ids of whole words, one byte string of 32-bit ids each.
+    """Ids of spans of text, one byte string of 32-bit ids each.
 
-    The vocabulary drops white space and never looks across it, so words can be encoded apart.
+    The vocabulary drops white space and never looks across it, so spans can be encoded apart. Printable ASCII spans without
+    apostrophe are single words to it, already in lower case, and skip its normalizer.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    tokenizer, known = Tokenizer.from_file(path), {}
+    whole = Tokenizer.from_file(path)
+    single, known = Tokenizer(whole.model), tb.Memory(REMEMBERED)
+
+    def add(tokenizer, words):
+        found = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
+        known.lately.update(zip(words, [array("i", one.ids).tobytes() for one in found], strict=True))
 
     def encode(words: list[bytes]) -> list[bytes]:
-        missing = [w for w in words if w not in known]
-        if len(known) + len(missing) > REMEMBERED:
-            known.clear()
-            missing = words
-        found = tokenizer.encode_batch([w.decode("utf-8", "replace") for w in missing], add_special_tokens=False)
-        for word, one in zip(missing, found, strict=True):
-            known[word] = np.array(one.ids, "<i4").tobytes()
-        return [known[w] for w in words]
+        missing = known.missing(words)
+        plain = [w.isascii() and b"'" not in w and b"<|" not in w and w.decode().isprintable() for w in missing]
+        add(single, [w for w, x in zip(missing, plain, strict=True) if x])
+        add(whole, [w for w, x in zip(missing, plain, strict=True) if not x])
+        lately = known.lately
+        return [lately[w] for w in words]
 
     return encode
 
 
+def spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with ASCII spans in lower case, and start, end and row of spans that the vocabulary splits at in any case.
+
+    Words are cut between ASCII letters, digits and signs, and after letters of Latin-1; not beside apostrophes, which may begin
+    an ending of their own, and not in words with ``<|``, which may hold a special token.
+    """
+    starts, ends, rows = tb.words(raw, offsets)
+    if not len(starts):
+        return raw, starts, ends, rows
+    letter, digit, sign = _LETTER[raw], _DIGIT[raw], _SIGN[raw]
+    accented = np.zeros(len(raw), bool)
+    accented[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] < 0xC0) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+    cut = np.zeros(len(raw), bool)
+    cut[1:] = (letter | accented)[:-1] & (digit | sign)[1:] | digit[:-1] & (letter | digit | sign)[1:] | sign[:-1] & (letter | digit)[1:]
+    marked = np.flatnonzero((raw[:-1] == _LESS) & (raw[1:] == _BAR))
+    for k in np.unique(np.searchsorted(starts, marked, "right") - 1).tolist():
+        cut[starts[k] : ends[k]] = False
+    cut[starts] = True
+    begins = np.flatnonzero(cut)
+    word = np.searchsorted(starts, begins, "right") - 1
+    stops = np.minimum(ends[word], np.append(begins[1:], len(raw)))
+    wide = np.add.reduceat(raw >= 128, begins, dtype=np.int64) > 0
+    wide[np.isin(word, np.searchsorted(starts, marked, "right") - 1)] = True
+    lead = int(begins[0])
+    keep = np.concatenate((np.ones(lead, bool), np.repeat(wide, np.diff(np.append(begins, len(raw))))))
+    return np.where(keep, raw, tb.LOWER[raw]), begins, stops, rows[word]
+
+
 def token_ids(raw: np.ndarray, offsets: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, each text followed by ``END_ID``, and the offsets of the texts."""
-    starts, ends, rows = tb.words(raw, offsets)
+    raw, starts, ends, rows = spans(raw, offsets)
     n = len(offsets) - 1
     counts = tb.lengths_by_row(rows, n)
     _, firsts, places = np.unique(tb.word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
@@ -104,6 +145,8 @@ def _piece_batches(path: str, size: int):
                 number[order] = np.arange(len(doc)) - np.repeat(fresh, np.diff(np.append(fresh, len(doc)))) + used[ranked]
                 used += np.bincount(length, minlength=size + 1)
                 edges = np.append(where[doc] + start, where[-1])
+                data, cuts = memoryview(ids.astype("<u4", copy=False)).cast("B"), (4 * edges).tolist()
+                sums = [zlib.crc32(data[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first).take(pa.array(doc)),
@@ -111,10 +154,11 @@ def _piece_batches(path: str, size: int):
                         pa.array(start),
                         pa.array(length),
                         pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(ids)),
+                        pa.array(sums, pa.int64()),
                         pa.array(np.full(len(doc), unit, np.int64)),
                         pa.array(number),
                     ],
-                    names=["doc_id", "piece", "start", "length", "ids", "unit", "number"],
+                    names=["doc_id", "piece", "start", "length", "ids", "ids_crc32", "unit", "number"],
                 )
 
     return run
@@ -286,17 +330,18 @@ def _place_batches(plan: Plan):
 
 
 def token_pieces(docs: DataFrame, vocabulary: str = VOCABULARY, size: int = SEQUENCE) -> DataFrame:
-    """(doc_id, piece, start, length, ids, unit, number) of every row of ``docs`` (doc_id, text).
+    """(doc_id, piece, start, length, ids, ids_crc32, unit, number) of every row of ``docs`` (doc_id, text).
 
-    ids are those of the text and one ``END_ID``, cut after every ``size``. number counts the pieces of one length
+    ids are those of the text and one ``END_ID``, cut after every ``size``; ids_crc32 is the unsigned CRC-32 of them as
+    little-endian unsigned 32-bit numbers. number counts the pieces of one length
     within a unit (the task that wrote them). NULL and empty texts are the end alone.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(_piece_batches(vocabulary, size), _PIECES)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, size: int = SEQUENCE) -> DataFrame:
-    """(doc_id, piece, start, length, ids, sequence_id, offset) of every piece of every document.
+def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, size: int = SEQUENCE, ids: bool = True) -> DataFrame:
+    """(doc_id, piece, start, length, ids, ids_crc32, sequence_id, offset) of every piece of every document; without ``ids``, not these.
 
     The pieces of a sequence follow one another without gaps from offset 0 and hold at most ``size`` tokens. Rows that repeat a
     doc_id, or have none, are documents of their own. NULL and empty texts hold ``END_ID`` alone. Equal lengths are told apart
@@ -314,23 +359,7 @@ def pack_documents(docs: DataFrame, vocabulary: str = VOCABULARY, size: int = SE
     ahead = Window.partitionBy("length").orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
     before = held.select("unit", "length", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("before"))
     rows = pieces.join(before, ["unit", "length"]).withColumn("number", F.col("number") + F.col("before"))
-    rows = rows.select("doc_id", "piece", "start", "length", "ids", "number")
-    return rows.mapInArrow(_place_batches(plan), "doc_id long, piece int, start long, length long, ids array<int>, sequence_id long, offset long")
-
-
-def ids_crc32(df: DataFrame) -> DataFrame:
-    """``df`` with ids_crc32 in place of ids: the unsigned CRC-32 of the ids as little-endian unsigned 32-bit numbers."""
-    schema = ", ".join("ids_crc32 long" if f.name == "ids" else f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    names = ["ids_crc32" if x == "ids" else x for x in df.columns]
-    at = df.columns.index("ids")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(at)
-            edges = ids.offsets.to_numpy().tolist()
-            data = memoryview(np.ascontiguousarray(ids.values.to_numpy().astype("<u4"))).cast("B")
-            sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            columns = [pa.array(sums, pa.int64()) if i == at else batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return df.mapInArrow(run, schema)
+    kept = [c for c in ("doc_id", "piece", "start", "length", "ids", "ids_crc32") if ids or c != "ids"]
+    rows = rows.select(*kept, "number")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.select(*kept).schema.fields)
+    return rows.mapInArrow(_place_batches(plan), f"{schema}, sequence_id long, offset long")

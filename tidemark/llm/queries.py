@@ -69,7 +69,7 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.ids_crc32(packing.pack_documents(_table(spark, sf_dir, "documents")))
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), ids=False)
 
 
 QUERIES = {
