@@ -206,3 +206,43 @@ def test_identifier_pairs_equal_the_plain_way():
     data = [t.encode() for t in texts]
     offsets = np.concatenate(([0], np.cumsum([len(d) for d in data]))).astype(np.int64)
     assert (secretscan.identifier_pairs(np.frombuffer(b"".join(data), np.uint8), offsets) == wanted).all()
+
+
+def test_repeated_tokens_take_linear_time(spark):
+    docs = spark.createDataFrame([(1, "0 " * 40_000), (2, "1 " * 50)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "0 " * 400), (8, "a b c d 5 " * 60)], "item_id long, text string")
+    started = time.perf_counter()
+    got = decontam.contaminated(docs, bench).collect()
+    assert time.perf_counter() - started < 30  # most of it is planning
+    assert [(r.doc_id, r.item_id, r.covered, r.changed) for r in got] == [(1, 7, 400, False)]
+
+
+def test_items_of_few_words_need_whole_sentences(spark):
+    texts = {1: "an answer of any kind", 2: "So. Of! More", 3: "of", 4: "Is it two ways?", 5: "It went. Two ways? Yes", 6: "of\nsome"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "of"), (2, "two ways")], "item_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontam.contaminated(docs, bench).collect()) == [(2, 1), (3, 1), (5, 2)]
+
+
+def test_windows_equal_the_plain_way(spark):
+    """Verbatim passages of small random texts: an item's tokens in windows of eight that the document has anywhere."""
+    rng = random.Random(11)
+    words = [w for w in "red blue green tree house river stone light".split()]
+    items = {i: [rng.choice(words[:5]) for _ in range(rng.randint(8, 40))] for i in range(6)}
+    docs = {}
+    for d in range(60):
+        text = [rng.choice(words) for _ in range(rng.randint(0, 60))]
+        if rng.random() < 0.7:
+            item = items[rng.randrange(6)]
+            a = rng.randrange(len(item))
+            text[3:3] = item[a : a + rng.randint(1, 30)]
+        docs[d] = text
+    wanted = set()
+    for d, text in docs.items():
+        runs = {tuple(text[i : i + 8]) for i in range(len(text) - 7)}
+        for i, item in items.items():
+            covered = {t for k in range(len(item) - 7) if tuple(item[k : k + 8]) in runs for t in range(k, k + 8)}
+            if len(covered) >= min(13, len(item)):
+                wanted.add((d, i, len(item), len(covered), False))
+    frames = (spark.createDataFrame([(k, " ".join(v)) for k, v in x.items()], f"{name} long, text string") for x, name in ((docs, "doc_id"), (items, "item_id")))
+    assert {tuple(r) for r in decontam.contaminated(*frames).collect()} == wanted

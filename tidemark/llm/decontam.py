@@ -20,6 +20,8 @@ from tidemark.session import materialize
 
 #: Tokens of a window, plain words a template window must hold, and tokens of an item that must be covered (all, if it has fewer).
 WINDOW, LEAST_PLAIN, LEAST_COVERED = 8, 4, 13
+#: Items of fewer tokens are found where they make up whole sentences, or the whole text.
+SHORT_ITEM = 4
 #: Bits of the filter that documents' windows pass before the join; its size does not depend on any table.
 FILTER_BITS = 24
 #: Units, as they stand after a number.
@@ -51,8 +53,9 @@ def _hash_words(words: list[str]) -> np.ndarray:
 _UNIT_HASHES = _hash_words(UNITS)
 
 
-def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, template hash, slot value (0: a plain word; else its last bits tell the kind) and lower-cased word's hash of every token.
+def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, template hash, slot value (0: a plain word; else its last bits tell the kind) and lower-cased word's hash of every token, and
+    whether it begins a sentence.
 
     A token is a word without its ASCII punctuation, if anything is left. One that begins with a digit is a number; a
     unit is one only after a number; a name is capitalised, with small letters after, and neither the first word of a
@@ -71,7 +74,7 @@ def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     a, b = places[starts], places[ends]
     values = tb.word_hashes(tb.LOWER[bare], a, b)
     if not len(a):
-        return rows, values, values, values
+        return rows, values, values, values, sentence
     digit = _DIGIT[bare[a]]
     capitals = np.concatenate(([0], np.cumsum(_UPPER[bare])))
     name = _UPPER[bare[a]] & (capitals[b] - capitals[a] == 1) & (b - a > 1) & ~sentence
@@ -81,7 +84,7 @@ def template(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     unit = after & (_UNIT_HASHES[at] == values)
     kinds = np.select([digit, unit, name], [NUMBER, UNIT, NAME], -1)
     slot = kinds >= 0
-    return rows, np.where(slot, _PLACES[kinds], values), np.where(slot, values & ~np.uint64(3) | (kinds + 1).astype(np.uint64), np.uint64(0)), values
+    return rows, np.where(slot, _PLACES[kinds], values), np.where(slot, values & ~np.uint64(3) | (kinds + 1).astype(np.uint64), np.uint64(0)), values, sentence
 
 
 def _run_hashes(tokens: np.ndarray, width: int, seed: int) -> np.ndarray:
@@ -95,16 +98,19 @@ def _run_hashes(tokens: np.ndarray, width: int, seed: int) -> np.ndarray:
 def windows(raw: np.ndarray, offsets: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Row, place, hash and slots (windows x width) of every run of ``width`` tokens, by its words and by its template.
 
-    By words every run counts, and has no slots. By template a run needs enough plain words. One that begins with a name is
+    By words every run counts, and has no slots; runs of fewer than ``SHORT_ITEM`` tokens only if they are whole sentences. By template a run needs enough plain words. One that begins with a name is
     given once more with that name as a plain word, as the same word is plain where it begins a text.
     """
-    rows, tokens, slots, words = template(raw, offsets)
+    rows, tokens, slots, words, sentence = template(raw, offsets)
     n = len(rows) - width + 1
     if n <= 0:
         none = np.zeros(0, np.int64)
         return none, none, none.astype(np.uint64), np.zeros((0, width), np.uint64)
     firsts = np.searchsorted(rows, np.arange(len(offsets) - 1))
     whole = rows[:n] == rows[width - 1 :]
+    if width < SHORT_ITEM:
+        ends = np.append(sentence | np.append(True, rows[1:] != rows[:-1]), True)
+        whole &= ends[:n] & ends[width : width + n]
     plain = np.concatenate(([0], np.cumsum(slots == 0)))
     plain, least = plain[width:] - plain[:n], min(LEAST_PLAIN, width)
     value = _run_hashes(tokens, width, width)
@@ -147,7 +153,7 @@ def _window_batches(widths: list[int], shared=None):
 def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for first, last, raw, offsets in tb.pieces(batch.column(1)):
-            rows, _, _, _ = template(raw, offsets)
+            rows, *_ = template(raw, offsets)
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(tb.lengths_by_row(rows, last - first))], names=["id", "n"])
 
 
@@ -215,10 +221,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """(doc_id, item_id, item_tokens, covered, changed): pairs of a document and a benchmark item it holds.
 
     covered is the number of the item's tokens in matching windows whose slots map one to one onto the document's along
-    one alignment; different numbers may become the same number. Of an alignment whose slots do not, the part that follows one mapping
+    one alignment, or in windows without slots; different numbers may become the same number. Of an alignment whose slots do not, the part that follows one mapping
     counts, where it has ``LEAST_COVERED`` tokens in a row. A pair counts from ``LEAST_COVERED`` of them, or all of a shorter item. changed says that some
     slot's value differs. Items of fewer than ``WINDOW`` tokens are matched whole: verbatim, or by template if all
-    their tokens are plain or at least ``LEAST_PLAIN`` are. Rows without text or id match nothing; a repeated item_id is one item with the
+    their tokens are plain or at least ``LEAST_PLAIN`` are; those of fewer than ``SHORT_ITEM`` where they are whole sentences. Rows without text or id match nothing; a repeated item_id is one item with the
     longest of its texts, rows that repeat a doc_id are one document. An empty table gives no pairs.
     """
     spark = docs.sparkSession
@@ -235,21 +241,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     wanted = materialize(wanted, "item-windows")
     shared = spark.sparkContext.broadcast(_filter(wanted))
     found = _texts(docs, "doc_id").mapInArrow(_window_batches(sorted({WINDOW, *short}), shared), schema)
-    pairs = found.select(F.col("id").alias("doc_id"), F.col("place").alias("at"), "w", F.col("slots").alias("own")).join(
-        wanted.select(F.col("id").alias("item_id"), "place", "w", "slots"), "w"
-    )
-    pairs = materialize(pairs.withColumn("shift", F.col("at") - F.col("place")).distinct(), "template-matches")
+    found = materialize(found.select(F.col("id").alias("doc_id"), F.col("place").alias("at"), "w", F.col("slots").alias("own")), "doc-windows")
+    wanted = wanted.select(F.col("id").alias("item_id"), "place", "w", "slots")
+    bare, open_ = F.forall("slots", lambda x: x == 0), F.forall("own", lambda x: x == 0)
+    pairs = found.where(~open_).join(wanted.where(~bare), "w")
+    pairs = materialize(pairs.withColumn("shift", F.col("at") - F.col("place")).drop("at").distinct(), "template-matches")
     line = ["doc_id", "item_id", "shift"]
     values = pairs.select(*line, F.explode(F.arrays_zip("slots", "own")).alias("v")).where("v.slots <> 0").select(*line, "v.slots", "v.own").distinct()
     forth = values.groupBy(*line, "slots").agg(F.count("*").alias("n")).groupBy(*line).agg(F.max("n").alias("forth"))
     back = values.where(F.col("own").bitwiseAND(3) != NUMBER + 1).groupBy(*line, "own").agg(F.count("*").alias("n"))
     back = back.groupBy(*line).agg(F.max("n").alias("back"))
     changed = values.groupBy(*line).agg(F.max(F.col("slots") != F.col("own")).alias("changed"))
-    odd = forth.join(back, line, "left").where("forth > 1 OR back > 1").select(*line)
-    tokens = pairs.join(odd, line, "left_anti").select(*line, F.explode(F.sequence(F.col("place"), F.col("place") + F.size("slots") - 1)).alias("token"))
-    tokens = tokens.join(changed, line, "left").select("doc_id", "item_id", "token", F.coalesce("changed", F.lit(False)).alias("changed"))
+    odd = materialize(forth.join(back, line, "left").where("forth > 1 OR back > 1").select(*line), "odd-lines")
+    tokens = pairs.join(odd, line, "left_anti").join(changed, line).select("doc_id", "item_id", "place", F.size("slots").alias("width"), "changed")
+    # windows without slots agree wherever they stand: each counts once for a document, however often it occurs
+    twisted = odd.select("doc_id", "item_id").distinct()
+    same = found.where(open_).select("doc_id", "w").distinct().join(wanted.where(bare), "w")
+    same = same.join(twisted, ["doc_id", "item_id"], "left_anti").select("doc_id", "item_id", "place", F.size("slots").alias("width"), F.lit(False).alias("changed"))
+    # only where a line is not one to one they are told apart by line: there they continue its runs
+    beside = wanted.where(bare).join(twisted, "item_id").join(found.where(open_), ["doc_id", "w"]).withColumn("shift", F.col("at") - F.col("place"))
+    beside = beside.select(*line, "place", "slots", "own").distinct()
+    straight = beside.join(odd, line, "left_anti").select("doc_id", "item_id", "place", F.size("slots").alias("width"), F.lit(False).alias("changed"))
+    tokens = tokens.unionByName(same).unionByName(straight).distinct()
+    tokens = tokens.select("doc_id", "item_id", F.explode(F.sequence(F.col("place"), F.col("place") + F.col("width") - 1)).alias("token"), "changed")
     # a line has at most a window of each kind at each place of the item, so its list is bounded by the item
-    mixed = pairs.join(odd, line, "left_semi").groupBy(*line).agg(F.collect_list(F.struct("place", "slots", "own")).alias("found"))
+    mixed = pairs.select(*line, "place", "slots", "own").unionByName(beside).join(odd, line, "left_semi")
+    mixed = mixed.groupBy(*line).agg(F.collect_list(F.struct("place", "slots", "own")).alias("found"))
     parts = mixed.select("doc_id", "item_id", "found").mapInArrow(_parts, "doc_id long, item_id long, token long, changed boolean")
     covered = tokens.unionByName(parts).groupBy("doc_id", "item_id", "token").agg(F.min("changed").alias("changed"))
     covered = covered.groupBy("doc_id", "item_id").agg(F.count("*").alias("covered"), F.max("changed").alias("changed"))
