@@ -53,6 +53,7 @@ def test_equals_brute_force(spark, monkeypatch, rounds):
     """With 0 star rounds all links come from the blocks, which are small here."""
     monkeypatch.setattr(neardup, "STAR_ROUNDS", rounds)
     monkeypatch.setattr(neardup, "BLOCK", 7)
+    monkeypatch.setattr(neardup, "SENT_IDS", 10 if rounds == 1 else 1_000_000)
     texts = made(rounds)
     docs = spark.createDataFrame([(d, t, "z") for d, t in texts.items()], "doc_id long, text string, component_id string")
     got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in neardup.near_duplicates(docs.repartition(5)).collect()}

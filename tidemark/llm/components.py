@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 
 def _state(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -31,7 +31,9 @@ def components(links: DataFrame) -> DataFrame:
         lowest = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(lowest, "u")
         small = small.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        before = edges
         edges, now = _state(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
+        discard(before)
         if now == seen:
             break
         seen = now

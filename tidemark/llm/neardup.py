@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import textbytes as tb
 from tidemark.llm.components import components
-from tidemark.session import materialize
+from tidemark.session import discard, materialize
 
 SIZE, BANDS = 128, 32
 WIDTH = 5
@@ -26,6 +26,8 @@ NUMERATOR, DENOMINATOR = 75, 100
 LEAST_AGREEMENT = int(SIZE * 0.55)
 STAR_ROUNDS = 1
 BLOCK = 512
+#: Most ids (8 bytes each) that go to every task to leave other texts out before texts are joined; beyond, all texts are joined.
+SENT_IDS = 1_000_000
 _SEEDS = tb.mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -130,10 +132,10 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _link_block(table: pa.Table) -> pa.Table:
-    """Links between different components within one block of a bucket, or between two blocks.
+def _close_pairs(table: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of one block of a bucket, or of two, each with the rows whose sketches agree with it, best first.
 
-    A pair is looked at in the first band that both share only. Labels that a link joins are one from then on.
+    Only rows of different labels pair, and a pair is looked at in the first band that both share only.
     """
     side = table.column("side").to_numpy()
     ids, labels = (table.column(c).to_numpy() for c in ("rep", "label"))
@@ -141,6 +143,29 @@ def _link_block(table: pa.Table) -> pa.Table:
     bands = marks.reshape(len(marks), BANDS, -1)
     band, alone = table.column("band")[0].as_py(), table.column("i")[0] == table.column("j")[0]
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == (0 if alone else 1))
+    for k in left:
+        agree = (marks[right] == marks[k]).sum(axis=1)
+        order = np.argsort(-agree, kind="stable")
+        hits = right[order[agree[order] >= LEAST_AGREEMENT]]
+        hits = hits[(labels[hits] != labels[k]) & (ids[hits] > ids[k] if alone else ids[hits] != ids[k])]
+        yield k, hits[(bands[hits] == bands[k]).all(axis=2).argmax(axis=1) == band]
+
+
+def _close_rows(table: pa.Table) -> pa.Table:
+    """The rows that pair with another by sketch: only their texts are needed."""
+    paired = np.zeros(len(table), bool)
+    for k, hits in _close_pairs(table):
+        paired[hits] = True
+        paired[k] |= len(hits) > 0
+    return table.filter(pa.array(paired))
+
+
+def _link_block(table: pa.Table) -> pa.Table:
+    """Links between different components within one block of a bucket, or between two blocks.
+
+    Labels that a link joins are one from then on.
+    """
+    ids, labels = (table.column(c).to_numpy() for c in ("rep", "label"))
     texts, sets, joined, a, b = table.column("text"), {}, {}, [], []
 
     def found(k):
@@ -154,12 +179,7 @@ def _link_block(table: pa.Table) -> pa.Table:
             label = joined[label]
         return label
 
-    for k in left:
-        agree = (marks[right] == marks[k]).sum(axis=1)
-        order = np.argsort(-agree, kind="stable")
-        hits = right[order[agree[order] >= LEAST_AGREEMENT]]
-        hits = hits[(labels[hits] != labels[k]) & (ids[hits] > ids[k] if alone else ids[hits] != ids[k])]
-        hits = hits[(bands[hits] == bands[k]).all(axis=2).argmax(axis=1) == band]
+    for k, hits in _close_pairs(table):
         for other in hits:
             x, y = root(labels[k]), root(labels[other])
             if x == y:
@@ -186,6 +206,12 @@ class _Groups:
         reps = self.classes.select(F.col("rep").alias("doc_id"))
         self.reps = materialize(full.join(reps, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "sketch"), "reps")
 
+    def texts_of(self, ids: DataFrame) -> DataFrame:
+        """The texts, without those of other documents if ``ids`` (doc_id) are counted to be few."""
+        wanted = materialize(ids.distinct(), "wanted")
+        few = wanted.count() <= SENT_IDS
+        return self.texts.join(F.broadcast(wanted), "doc_id", "left_semi") if few else self.texts
+
     def members(self) -> DataFrame:
         """(key, rep) of the band buckets with two or more sets."""
         per = SIZE // BANDS * 2
@@ -210,7 +236,7 @@ class _Groups:
         firsts = rows.select("centre", "salt").distinct()
         rows = rows.withColumn("role", F.lit(1)).unionByName(firsts.withColumn("role", F.lit(0)).withColumn("doc_id", F.col("centre")))
         return materialize(
-            rows.join(self.texts, "doc_id").select("centre", "salt", "role", "doc_id", "text")
+            rows.join(self.texts_of(rows.select("doc_id")), "doc_id").select("centre", "salt", "role", "doc_id", "text")
             .repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role")
             .mapInArrow(_verify_batches, "a long, b long").distinct(),
             label,
@@ -232,17 +258,37 @@ class _Groups:
         return rows.select(F.col("c").alias("a"), F.col("rep").alias("b")).distinct()
 
     def rest(self, mixed: DataFrame) -> DataFrame:
-        """Links between the components of a bucket: all pairs whose sketches agree, verified in blocks of bounded size."""
+        """Links between the components of a bucket, in blocks of bounded size.
+
+        Sketches tell first which rows of a block pair at all; only these come again with their texts, which verify the pairs.
+        """
         sizes = mixed.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
         rows = mixed.join(sizes, "key").join(self.reps, "rep").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(7)), F.col("blocks")).cast("int"))
-        rows = rows.join(self.texts.withColumnRenamed("doc_id", "rep"), "rep")
         others = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-        rows = rows.select("key", "band", "rep", "label", "sketch", "text", "own", others.alias("other"))
+        rows = rows.select("key", "band", "rep", "label", "sketch", "own", others.alias("other"))
         rows = rows.select(
             "key", "band", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "label", "sketch", "text",
+            F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "rep", "label", "sketch",
         )
-        return rows.groupBy("key", "i", "j").applyInArrow(_link_block, "a long, b long").distinct()
+        close = rows.groupBy("key", "i", "j").applyInArrow(_close_rows, "key long, band int, i int, j int, side int, rep long, label long, sketch binary")
+        close = materialize(close, "close-rows")
+        found = self.texts_of(close.select(F.col("rep").alias("doc_id")))
+        texts = close.join(found.withColumnRenamed("doc_id", "rep"), "rep").select(*close.columns, "text")
+        return texts.groupBy("key", "i", "j").applyInArrow(_link_block, "a long, b long").distinct()
+
+
+def _merged(labels: DataFrame | None, links: DataFrame, turn: int) -> DataFrame:
+    """(node, label) after more links: they join the components there are, which are then few nodes."""
+    if labels is not None:
+        for end in ("a", "b"):
+            named = labels.select(F.col("node").alias(end), "label")
+            links = links.join(named, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    joined = components(links)
+    if labels is not None:
+        further = joined.select(F.col("node").alias("label"), F.col("label").alias("lowest"))
+        moved = labels.join(further, "label", "left").select("node", F.coalesce("lowest", "label").alias("label"))
+        joined = moved.unionByName(joined.join(moved.select("node"), "node", "left_anti"))
+    return materialize(joined, f"labels{turn}")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -263,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     work = _Groups(docs)
     members = work.members()
-    found, tested, labels = None, None, None
+    tested, labels = None, None
     for turn in range(STAR_ROUNDS + 1):
         mixed = materialize(work.mixed(members, labels), f"mixed{turn}")
         if not mixed.take(1):
@@ -278,8 +324,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             links = work.verified(pairs.select("a", "b"), f"links{turn}")
             pairs = pairs.select("lo", "hi")
             tested = pairs if tested is None else tested.union(pairs)
-        found = links if found is None else found.union(links)
-        labels = materialize(components(found), f"labels{turn}")
+        if links.take(1):
+            labels = _merged(labels, links, turn)
+        discard(mixed)
+    discard(members)
     copies = work.classes.select("d1", "d2", "rep")
     own = work.docs.join(copies, ["d1", "d2"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"))
     if labels is not None:
