@@ -64,7 +64,10 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """Languages and log-shares (language, slot) from the labelled rows of ``docs`` (doc_id, text, lang) outside fold 0."""
+    """Languages and log-shares (language, slot) from the labelled rows of ``docs`` (doc_id, text, lang) outside fold 0.
+
+    At most ``TRAIN_DOCS`` of each language are read, those with the least hash of doc_id, and ``MOST_LANGUAGES`` languages.
+    """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
     rows = rows.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(fold != HELD_OUT)
