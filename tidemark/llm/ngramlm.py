@@ -49,7 +49,7 @@ def _rows(rows: list[tuple]) -> pa.Table:
 def _pack(x: np.ndarray, width: int) -> bytes:
     """Whole numbers under 256^width byte by byte, low bytes of all first: sorted or small ones compress."""
     data = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
-    return len(data).to_bytes(8, "little") + pa.Codec("zstd").compress(data, asbytes=True)
+    return len(data).to_bytes(8, "little") + pa.Codec("zstd", 4).compress(data, asbytes=True)
 
 
 def _unpack(data: bytes, width: int) -> np.ndarray:
@@ -67,9 +67,9 @@ def _parts_of(hashes: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _requests(unit: int, kind: int, part: np.ndarray, keys: np.ndarray, counts: np.ndarray, width: int) -> list[tuple]:
-    """A row for each range that the sorted keys fall in."""
+    """A row for each range that the sorted keys fall in, each key as its distance to the one before."""
     cuts = np.append(np.flatnonzero(np.diff(part, prepend=np.uint64(1 << 40))), len(part))
-    return [(unit, kind, int(part[a]), _pack(keys[a:b], width), _pack(counts[a:b], 4)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return [(unit, kind, int(part[a]), _pack(np.diff(keys[a:b], prepend=np.uint64(0)), width), _pack(counts[a:b], 4)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +185,7 @@ def _column(table: pa.Table, name: str) -> list:
 
 def _added(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Different keys of a range, their training counts, and each request's places among them."""
-    asked = [_unpack(x, width) for x in _column(table, "a")]
+    asked = [np.cumsum(_unpack(x, width), dtype=np.uint64) for x in _column(table, "a")]
     counts = np.concatenate([_unpack(x, 4) for x in _column(table, "b")])
     keys, places = np.unique(np.concatenate(asked), return_inverse=True)
     total = np.bincount(places, counts, len(keys)).astype(np.int64)
