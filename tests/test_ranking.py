@@ -122,3 +122,11 @@ def test_scaled_unique_rank_equals_window(spark, rows, limit):
     wanted = named.withColumn("u", ranking.unique_rank("v", ["n"], ["g"]))
     got = ranking.scaled_unique_rank(named, "v", ["n"], ["g"], "u", limit)
     assert rows(got, "g", "n", "u") == rows(wanted, "g", "n", "u")
+
+
+def test_a_small_limit_does_not_make_ever_more_ranges(spark):
+    df = spark.range(20_000).withColumn("g", F.lit(1))
+    placed, split = ranking.range_buckets(df, ["g"], "id", 1)
+    assert split and placed.agg(F.count_distinct("_bucket")).first()[0] <= 256
+    numbered = ranking.row_positions(df, ["g"], [F.asc("id")], "at", 1)
+    assert numbered.where("at <> id").count() == 0 and numbered.count() == 20_000

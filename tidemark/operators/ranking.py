@@ -18,8 +18,8 @@ from tidemark.session import materialize
 
 # A group of this many rows may be sorted by one task.
 ONE_TASK_ROWS = 1_000_000
-# Ranges of fewer rows are not worth a task.
-LEAST_RANGE = 32
+# Ranges of fewer rows are not worth a task, and more ranges than these only if each holds ``ONE_TASK_ROWS``.
+LEAST_RANGE, MANY_RANGES = 32, 256
 
 
 def tie_ranks(value: str, partition: Sequence[str], prefix: str, method: str = "min") -> dict[str, Column]:
@@ -57,6 +57,12 @@ def has_large_group(df: DataFrame, keys: Sequence[str], above: int) -> bool:
     return bool(sizes.where(F.col("_n") > above).take(1))
 
 
+def range_count(rows: int, one_task_rows: int) -> int:
+    """How many ranges ``rows`` are dealt to: about ``one_task_rows`` to each, but not ever more of small ones as the table grows."""
+    fine = math.ceil(rows / max(one_task_rows, LEAST_RANGE))
+    return max(1, min(fine, max(MANY_RANGES, math.ceil(rows / ONE_TASK_ROWS))))
+
+
 def range_buckets(
     df: DataFrame, keys: Sequence[str], value: str, one_task_rows: int = ONE_TASK_ROWS
 ) -> tuple[DataFrame, bool]:
@@ -67,7 +73,7 @@ def range_buckets(
     """
     if not has_large_group(df, keys, one_task_rows):
         return df.withColumn("_bucket", F.lit(0)), False
-    ranges = max(1, math.ceil(df.count() / max(one_task_rows, LEAST_RANGE)))
+    ranges = range_count(df.count(), one_task_rows)
     spread = df.repartitionByRange(ranges, *[F.col(k).asc_nulls_first() for k in keys], F.col(value).asc_nulls_first())
     return materialize(spread.withColumn("_bucket", F.spark_partition_id()), "ranges"), True
 
@@ -80,7 +86,7 @@ def _running(
     Rows are dealt by ranges of group and order, as many as the counted rows ask for, so values of any type that sorts will do. Each range
     sums its own piece of a group and adds what the group's pieces in earlier ranges hold.
     """
-    ranges = max(1, math.ceil(df.count() / max(one_task_rows, LEAST_RANGE)))
+    ranges = range_count(df.count(), one_task_rows)
     spread = df.repartitionByRange(ranges, *[F.col(k).asc_nulls_first() for k in keys], *order)
     placed = materialize(spread.withColumn("_range", F.spark_partition_id()), "ranges")
     pieces = placed.groupBy("_range", *keys).agg(F.sum(weight).alias("_own"))
