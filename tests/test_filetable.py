@@ -74,3 +74,14 @@ def test_append_and_vacuum(spark, table):
     assert table.vacuum() >= 2
     assert table.read().count() == 20 and table.read().where("v LIKE 'c%'").count() == 20
     assert table.create(numbered(spark, 0, 0)).read().count() == 0
+
+
+def test_many_small_files_take_few_tasks(spark, tmp_path):
+    table = FileTable(spark, str(tmp_path / "t"), "k", rows_per_file=5).create(numbered(spark, 0, 1000))
+    files = table.manifest().collect()
+    assert len(files) >= 200 and max(r.rows for r in files) <= 5 and sum(r.rows for r in files) == 1000
+    assert len({r.file.rsplit("/", 1)[1].split("-")[1] for r in files}) <= 64
+    table.replace_keys(numbered(spark, 500, 505, "b"), ["k"])
+    assert table.vacuum() >= 1
+    assert sorted(r.k for r in table.read().collect()) == list(range(1000))
+    assert table.read().where("v LIKE 'b%'").count() == 5 and table.read().columns == ["k", "v"]

@@ -8,6 +8,7 @@ an earlier version keep their files until ``vacuum``.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -24,6 +25,8 @@ ROWS_PER_FILE = 2_000_000
 BYTES_PER_FILE = 500_000_000
 #: Rows that weigh more than this part of a file have one of their own.
 HEAVY_PART = 0.125
+#: One task writes one file up to this many files; of more and small ones it writes several, up to ``TASK_PART`` of a file of the usual size.
+MANY_FILES, TASK_PART = 64, 0.125
 _MANIFEST = "file string, rows long, bytes long, low string, high string"
 
 
@@ -50,6 +53,12 @@ def deal_by_size(df: DataFrame, rows: int = ROWS_PER_FILE, size: int = BYTES_PER
     in order, and the sum before a row says which file it belongs to; files are filled to 1 less the largest light weight, so none exceeds a limit.
     A row that weighs more than ``HEAVY_PART`` has a file of its own, also if it alone exceeds ``size``.
     """
+    placed, files = place_by_size(df, rows, size)
+    return placed.repartitionById(files, "_file").select(*df.columns)
+
+
+def place_by_size(df: DataFrame, rows: int, size: int) -> tuple[DataFrame, int]:
+    """``df`` with the file of ``deal_by_size`` as ``_file``, not yet dealt, and the number of files."""
     weight = F.greatest(F.lit(1.0 / rows), row_bytes(df) / size)
     kept = df.schema.fields
     names = [f.name for f in kept]
@@ -79,7 +88,23 @@ def deal_by_size(df: DataFrame, rows: int = ROWS_PER_FILE, size: int = BYTES_PER
     at = F.least(F.floor((F.col("_from") + F.col("_ahead")) / fill), F.lit(files - 1))
     place = F.when(is_light, at).otherwise(F.lit(files) + F.col("_own") + F.col("_heavy") - 1).cast("int")
     dealt = summed.join(F.broadcast(starts), "_task").withColumn("_file", place)
-    return dealt.repartitionById(files + heavy, "_file").select(*names)
+    return dealt.select(*names, "_file"), files + heavy
+
+
+def _name() -> Column:
+    """A file's path below the table's ``data``, as manifests list it."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/data/(b[0-9a-f]{32}/.*)$", 1)
+
+
+def _opened(spark: SparkSession, schema: T.StructType, paths: Sequence[str]) -> DataFrame:
+    """The rows under ``paths``. Listing them is done at once, by ``MANY_FILES`` tasks and not by one for each path."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    usual = spark.conf.get(name)
+    spark.conf.set(name, str(min(MANY_FILES, int(usual))))
+    try:
+        return spark.read.schema(schema).parquet(*paths)
+    finally:
+        spark.conf.set(name, usual)
 
 
 @dataclass(frozen=True)
@@ -117,7 +142,7 @@ class FileTable:
     def read(self, version: int | None = None) -> DataFrame:
         """The table's rows, at its last version or an earlier one."""
         files = [f"{self.path}/data/{r['file']}" for r in self.manifest(version).select("file").toLocalIterator()]
-        return self.spark.read.parquet(*files) if files else self.spark.createDataFrame([], self._schema())
+        return _opened(self.spark, self._schema(), files) if files else self.spark.createDataFrame([], self._schema())
 
     def _schema(self) -> T.StructType:
         fs, path = self._fs()
@@ -128,10 +153,17 @@ class FileTable:
     def _write(self, df: DataFrame) -> DataFrame:
         """New files of ``df`` under both limits, and their manifest rows."""
         batch = f"b{uuid.uuid4().hex}"
-        deal_by_size(df, self.rows_per_file, self.bytes_per_file).write.parquet(f"{self.path}/data/{batch}")
-        files = self.spark.read.schema(df.schema).parquet(f"{self.path}/data/{batch}")
-        name = F.concat(F.lit(f"{batch}/"), F.col("_metadata.file_name"))
-        return files.groupBy(name.alias("file")).agg(
+        placed, number = place_by_size(df, self.rows_per_file, self.bytes_per_file)
+        if number <= MANY_FILES:
+            placed.repartitionById(number, "_file").select(*df.columns).write.parquet(f"{self.path}/data/{batch}")
+        else:
+            load = F.sum(F.greatest(F.lit(1.0 / ROWS_PER_FILE), row_bytes(df) / BYTES_PER_FILE))
+            tasks = min(number, max(MANY_FILES, math.ceil(placed.agg(load).first()[0] / TASK_PART)))
+            task = F.floor(F.col("_file") * tasks / number).cast("int")
+            dealt = placed.withColumn("_task", task).repartitionById(tasks, "_task").drop("_task")
+            dealt.write.partitionBy("_file").parquet(f"{self.path}/data/{batch}")
+        files = _opened(self.spark, df.schema, [f"{self.path}/data/{batch}"])
+        return files.groupBy(_name().alias("file")).agg(
             F.count(F.lit(1)).alias("rows"), F.max(F.col("_metadata.file_size")).alias("bytes"),
             F.min(self.key).cast("string").alias("low"), F.max(self.key).cast("string").alias("high"),
         )
@@ -171,9 +203,8 @@ class FileTable:
         names = [r["file"] for r in live.select("file").toLocalIterator()]
         if not names:
             return self.spark.createDataFrame([], "file string")
-        rows = self.spark.read.schema(self._schema()).parquet(*[f"{self.path}/data/{n}" for n in names])
-        path = F.col("_metadata.file_path")
-        found = rows.select(*columns, F.concat_ws("/", F.element_at(F.split(path, "/"), -2), F.element_at(F.split(path, "/"), -1)).alias("file"))
+        rows = _opened(self.spark, self._schema(), [f"{self.path}/data/{n}" for n in names])
+        found = rows.select(*columns, _name().alias("file"))
         return found.join(keys.select(*columns).distinct(), list(columns), "left_semi").select("file").distinct()
 
     def replace_keys(self, df: DataFrame, columns: Sequence[str]) -> FileTable:
@@ -188,7 +219,7 @@ class FileTable:
         names = [r["file"] for r in touched.toLocalIterator()]
         new = rows
         if names:
-            old = self.spark.read.schema(self._schema()).parquet(*[f"{self.path}/data/{n}" for n in names])
+            old = _opened(self.spark, self._schema(), [f"{self.path}/data/{n}" for n in names])
             new = old.join(keys, columns, "left_anti").select(*rows.columns).unionByName(rows)
         live = self.manifest(base).join(touched, "file", "left_anti")
         self._commit(live.unionByName(self._write(new)), base)
@@ -200,9 +231,11 @@ class FileTable:
         last = self.version()
         live, gone = {r["file"] for r in self.manifest(last).select("file").toLocalIterator()}, 0
         for batch in fs.listStatus(path(f"{self.path}/data")):
-            name = batch.getPath().getName()
-            files = [s.getPath() for s in fs.listStatus(batch.getPath())]
-            dead = [f for f in files if f"{name}/{f.getName()}" not in live]
+            top = batch.getPath().toString()
+            files, listed = [], fs.listFiles(batch.getPath(), True)
+            while listed.hasNext():
+                files.append(listed.next().getPath())
+            dead = [f for f in files if f"{batch.getPath().getName()}{f.toString()[len(top):]}" not in live]
             gone += sum(f.getName().endswith(".parquet") for f in dead)
             if len(dead) == len(files):
                 fs.delete(batch.getPath(), True)
