@@ -2,9 +2,11 @@ import datetime as dt
 import os
 import uuid
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.registry import core
 from tidemark.session import discard, materialize, shared_dir
 from tidemark.sources import loader, readers
 
@@ -145,3 +147,12 @@ def test_random_rows_do_not_depend_on_partitioning(spark, rows):
         assert rows(readers.random_rows(df.repartition(parts), 5, seed=3, key="k")) == rows(readers.random_rows(df, 5, seed=3, key="k"))
     assert rows(readers.random_rows(df, 5, seed=4)) != first
     assert readers.random_rows(df.where("k < 0"), 2).count() == 0
+
+
+def test_row_counts_of_tables_whose_parts_share_names(spark, tmp_path):
+    for i, name in enumerate(core.TABLES):
+        (tmp_path / f"{name}.parquet").mkdir()
+        pd.DataFrame({"x": range(i + 1)}).to_parquet(tmp_path / f"{name}.parquet" / "part-0.parquet")
+    got = {r.file: r.num_rows for r in core.file_row_counts(spark, str(tmp_path)).collect()}
+    assert got == {f"{name}.parquet/part-0.parquet": i + 1 for i, name in enumerate(core.TABLES)}
+    assert core.file_row_counts(spark, str(tmp_path)).count() == len(core.TABLES)

@@ -74,11 +74,11 @@ def file_listing(spark, sf):
 
 def file_row_counts(spark, sf):
     """Every listed file with the number of rows that reading its table finds in it."""
-    counts = [
-        read_table(spark, sf, name).groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count(F.lit(1)).alias("n"))
-        for name in TABLES
-    ]
-    listed = list_files(spark, sf, "*.parquet").select(F.substring_index("uri", "/", -1).alias("file"))
+    def below(path):  # parts of different tables may have one name
+        return F.regexp_extract(path, r"/([^/]+\.parquet(?:/.*)?)$", 1).alias("file")
+
+    counts = [read_table(spark, sf, name).groupBy(below("_metadata.file_path")).agg(F.count(F.lit(1)).alias("n")) for name in TABLES]
+    listed = list_files(spark, sf, "*.parquet").select(below("uri"))
     return listed.join(union_by_name(*counts), "file", "left").select("file", F.coalesce("n", F.lit(0)).alias("num_rows"))
 
 
