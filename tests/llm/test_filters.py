@@ -246,3 +246,11 @@ def test_windows_equal_the_plain_way(spark):
                 wanted.add((d, i, len(item), len(covered), False))
     frames = (spark.createDataFrame([(k, " ".join(v)) for k, v in x.items()], f"{name} long, text string") for x, name in ((docs, "doc_id"), (items, "item_id")))
     assert {tuple(r) for r in decontam.contaminated(*frames).collect()} == wanted
+
+
+def test_decontamination_plans_stay_small(spark):
+    """Leaves of one plan start together and each costs the driver memory, so what is left to run last reads few tables."""
+    docs = spark.createDataFrame([(1, f"then {ITEM}"), (2, "other words")], "doc_id long, text string")
+    bench = spark.createDataFrame([(10, ITEM)], "item_id long, text string")
+    for df, most in ((decontam.contaminated(docs, bench), 3), (decontam.drop_contaminated(docs, bench), 2)):
+        assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= most

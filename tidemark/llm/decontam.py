@@ -247,27 +247,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     pairs = found.where(~open_).join(wanted.where(~bare), "w")
     pairs = materialize(pairs.withColumn("shift", F.col("at") - F.col("place")).drop("at").distinct(), "template-matches")
     line = ["doc_id", "item_id", "shift"]
-    values = pairs.select(*line, F.explode(F.arrays_zip("slots", "own")).alias("v")).where("v.slots <> 0").select(*line, "v.slots", "v.own").distinct()
-    forth = values.groupBy(*line, "slots").agg(F.count("*").alias("n")).groupBy(*line).agg(F.max("n").alias("forth"))
-    back = values.where(F.col("own").bitwiseAND(3) != NUMBER + 1).groupBy(*line, "own").agg(F.count("*").alias("n"))
-    back = back.groupBy(*line).agg(F.max("n").alias("back"))
-    changed = values.groupBy(*line).agg(F.max(F.col("slots") != F.col("own")).alias("changed"))
-    odd = materialize(forth.join(back, line, "left").where("forth > 1 OR back > 1").select(*line), "odd-lines")
-    tokens = pairs.join(odd, line, "left_anti").join(changed, line).select("doc_id", "item_id", "place", F.size("slots").alias("width"), "changed")
+    # a line's different pairs of slots are bounded by the item: one list tells if they map one to one and if one changed
+    values = pairs.select(*line, F.explode(F.arrays_zip("slots", "own")).alias("v")).where("v.slots <> 0")
+    values = values.groupBy(*line).agg(F.collect_set("v").alias("v"))
+    typed = F.filter("v", lambda x: x["own"].bitwiseAND(3) != NUMBER + 1)
+    forth = F.size("v") > F.size(F.array_distinct(F.col("v.slots")))
+    back = F.size(typed) > F.size(F.array_distinct(F.transform(typed, lambda x: x["own"])))
+    lines = materialize(values.select(*line, (forth | back).alias("odd"), F.exists("v", lambda x: x["slots"] != x["own"]).alias("changed")), "lines")
+    odd, even = lines.where("odd").select(*line), lines.where("NOT odd").select(*line, "changed")
+    tokens = pairs.join(even, line).select("doc_id", "item_id", "place", F.size("slots").alias("width"), "changed")
     # windows without slots agree wherever they stand: each counts once for a document, however often it occurs
-    twisted = odd.select("doc_id", "item_id").distinct()
+    # each step is written before the next: stages of one plan that all start at once cost the driver some MB each
+    twisted = materialize(odd.select("doc_id", "item_id").distinct(), "twisted")
     same = found.where(open_).select("doc_id", "w").distinct().join(wanted.where(bare), "w")
     same = same.join(twisted, ["doc_id", "item_id"], "left_anti").select("doc_id", "item_id", "place", F.size("slots").alias("width"), F.lit(False).alias("changed"))
     # only where a line is not one to one they are told apart by line: there they continue its runs
     beside = wanted.where(bare).join(twisted, "item_id").join(found.where(open_), ["doc_id", "w"]).withColumn("shift", F.col("at") - F.col("place"))
-    beside = beside.select(*line, "place", "slots", "own").distinct()
+    beside = materialize(beside.select(*line, "place", "slots", "own").distinct(), "beside")
     straight = beside.join(odd, line, "left_anti").select("doc_id", "item_id", "place", F.size("slots").alias("width"), F.lit(False).alias("changed"))
-    tokens = tokens.unionByName(same).unionByName(straight).distinct()
+    tokens = materialize(tokens.unionByName(same).unionByName(straight).distinct(), "covering")
     tokens = tokens.select("doc_id", "item_id", F.explode(F.sequence(F.col("place"), F.col("place") + F.col("width") - 1)).alias("token"), "changed")
     # a line has at most a window of each kind at each place of the item, so its list is bounded by the item
     mixed = pairs.select(*line, "place", "slots", "own").unionByName(beside).join(odd, line, "left_semi")
     mixed = mixed.groupBy(*line).agg(F.collect_list(F.struct("place", "slots", "own")).alias("found"))
-    parts = mixed.select("doc_id", "item_id", "found").mapInArrow(_parts, "doc_id long, item_id long, token long, changed boolean")
+    parts = materialize(mixed.select("doc_id", "item_id", "found").mapInArrow(_parts, "doc_id long, item_id long, token long, changed boolean"), "parts")
     covered = tokens.unionByName(parts).groupBy("doc_id", "item_id", "token").agg(F.min("changed").alias("changed"))
     covered = covered.groupBy("doc_id", "item_id").agg(F.count("*").alias("covered"), F.max("changed").alias("changed"))
     sized = covered.join(sizes.select(F.col("id").alias("item_id"), F.col("n").alias("item_tokens")), "item_id")
@@ -277,4 +280,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns; rows without doc_id stay."""
     held = contaminated(docs, benchmark).select(F.col("doc_id").alias("__held")).distinct()
+    held = materialize(held, "held")  # its size is known before the documents are read: where it is small they need no shuffle
     return docs.join(held, F.col("doc_id") == F.col("__held"), "left_anti")
