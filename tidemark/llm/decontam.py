@@ -255,12 +255,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     back = F.size(typed) > F.size(F.array_distinct(F.transform(typed, lambda x: x["own"])))
     lines = materialize(values.select(*line, (forth | back).alias("odd"), F.exists("v", lambda x: x["slots"] != x["own"]).alias("changed")), "lines")
     odd, even = lines.where("odd").select(*line), lines.where("NOT odd").select(*line, "changed")
-    tokens = pairs.join(even, line).select("doc_id", "item_id", "place", F.size("slots").alias("width"), "changed")
+    tokens = materialize(pairs.join(even, line).select("doc_id", "item_id", "place", F.size("slots").alias("width"), "changed").distinct(), "typed")
     # windows without slots agree wherever they stand: each counts once for a document, however often it occurs
     # each step is written before the next: stages of one plan that all start at once cost the driver some MB each
     twisted = materialize(odd.select("doc_id", "item_id").distinct(), "twisted")
     same = found.where(open_).select("doc_id", "w").distinct().join(wanted.where(bare), "w")
     same = same.join(twisted, ["doc_id", "item_id"], "left_anti").select("doc_id", "item_id", "place", F.size("slots").alias("width"), F.lit(False).alias("changed"))
+    same = materialize(same.distinct(), "same")
     # only where a line is not one to one they are told apart by line: there they continue its runs
     beside = wanted.where(bare).join(twisted, "item_id").join(found.where(open_), ["doc_id", "w"]).withColumn("shift", F.col("at") - F.col("place"))
     beside = materialize(beside.select(*line, "place", "slots", "own").distinct(), "beside")
