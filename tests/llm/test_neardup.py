@@ -3,8 +3,9 @@ import random
 import re
 
 import pytest
+from pyspark import cloudpickle
 
-from tidemark.llm import neardup
+from tidemark.llm import components, decontam, neardup, secretscan, toxicity
 
 
 def _set(text):
@@ -82,3 +83,34 @@ def _bytes(texts):
 
     (_, _, raw, offsets), = textbytes.pieces(pa.array(texts))
     return raw, offsets
+
+
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    written, own = [], components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, label: written.append(label) or own(df, label))
+    stars = [(1, 2), (1, 3), (1, 2), (9, 4), (5, 5), (None, 1)]
+    got = components.components(spark.createDataFrame(stars, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 1), (4, 4), (9, 4)] and len(written) == 1
+    chain = [(i, i + 1) for i in range(20, 40)] + stars + [(3, 9)]
+    got = components.components(spark.createDataFrame(chain, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == [(i, 1) for i in (1, 2, 3, 4, 9)] + [(i, 20) for i in range(20, 41)]
+
+
+def test_dropping_keeps_one_of_each_group_in_few_jobs(spark):
+    rows = [*made(2).items(), (None, "x y z"), (None, None), (1, made(2)[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = brute(dict(rows[:-3]))
+    spark.sparkContext.setJobGroup("drop", "")
+    left = neardup.drop_near_duplicates(docs)
+    got = sorted(left.collect(), key=str)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("drop"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    wanted = [r for r in rows[:-1] if r[0] is None or found[r[0]][2]]
+    assert sorted((r.doc_id or -1, r.text or "") for r in got) == sorted((d or -1, t or "") for d, t in wanted)
+    assert jobs < 106  # 116 when each search of components ran a round more and texts were shuffled
+
+
+def test_functions_go_to_tasks_without_what_the_driver_has_worked_out():
+    neardup.shingle_sets(*_bytes(["one two three four five six"]))  # fills the cache of powers, 8 MB each
+    for task in (neardup._sketch_batches, decontam._window_batches([8]), secretscan._redactor(None, 0, ""), toxicity._scorer(None, True)):
+        assert len(cloudpickle.dumps(task)) < 200_000

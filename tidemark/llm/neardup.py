@@ -26,7 +26,7 @@ NUMERATOR, DENOMINATOR = 75, 100
 LEAST_AGREEMENT = int(SIZE * 0.55)
 STAR_ROUNDS = 1
 BLOCK = 512
-#: Most ids (8 bytes each) that go to every task to leave other texts out before texts are joined; beyond, all texts are joined.
+#: Most ids (8 bytes each) that go to every task to leave texts out where they are read; beyond, all texts are joined.
 SENT_IDS = 1_000_000
 _SEEDS = tb.mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -193,6 +193,10 @@ def _link_block(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def _few(ids: DataFrame) -> bool:
+    return ids.count() <= SENT_IDS
+
+
 class _Groups:
     """The tables of one search: sketches of the distinct sets, texts, links found so far."""
 
@@ -200,17 +204,16 @@ class _Groups:
         self.spark = docs.sparkSession
         self.texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id IS NOT NULL")
         raw = self.texts.mapInArrow(_sketch_batches, "doc_id long, n long, d1 long, d2 long, sketch binary")
-        self.docs = materialize(raw.groupBy("doc_id").agg(F.min(F.struct("n", "d1", "d2", "sketch")).alias("s")).select("doc_id", "s.*"), "sketches")
-        full = self.docs.where("n > 0")
-        self.classes = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-        reps = self.classes.select(F.col("rep").alias("doc_id"))
-        self.reps = materialize(full.join(reps, "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "sketch"), "reps")
+        sketched = raw.groupBy("doc_id").agg(F.min(F.struct("n", "d1", "d2", "sketch")).alias("s"), F.count("*").alias("rows"))
+        self.docs = materialize(sketched.select("doc_id", "s.*", "rows"), "sketches")
+        classes = self.docs.where("n > 0").groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "sketch")).alias("m"))
+        self.classes = materialize(classes.select("d1", "d2", F.col("m.doc_id").alias("rep"), "m.sketch"), "reps")
+        self.reps = self.classes.select("rep", "sketch")
 
     def texts_of(self, ids: DataFrame) -> DataFrame:
         """The texts, without those of other documents if ``ids`` (doc_id) are counted to be few."""
         wanted = materialize(ids.distinct(), "wanted")
-        few = wanted.count() <= SENT_IDS
-        return self.texts.join(F.broadcast(wanted), "doc_id", "left_semi") if few else self.texts
+        return self.texts.join(F.broadcast(wanted), "doc_id", "left_semi") if _few(wanted) else self.texts
 
     def members(self) -> DataFrame:
         """(key, rep) of the band buckets with two or more sets."""
@@ -234,11 +237,12 @@ class _Groups:
         salts = 16 + total // 50_000
         rows = close.select(F.col("a").alias("centre"), F.pmod(F.xxhash64("b"), F.lit(salts)).alias("salt"), F.col("b").alias("doc_id"))
         firsts = rows.select("centre", "salt").distinct()
+        ends = close.select(F.explode(F.array("a", "b")).alias("doc_id"))
         rows = rows.withColumn("role", F.lit(1)).unionByName(firsts.withColumn("role", F.lit(0)).withColumn("doc_id", F.col("centre")))
         return materialize(
-            rows.join(self.texts_of(rows.select("doc_id")), "doc_id").select("centre", "salt", "role", "doc_id", "text")
+            rows.join(self.texts_of(ends), "doc_id").select("centre", "salt", "role", "doc_id", "text")
             .repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role")
-            .mapInArrow(_verify_batches, "a long, b long").distinct(),
+            .mapInArrow(_verify_batches, "a long, b long"),
             label,
         )
 
@@ -251,11 +255,11 @@ class _Groups:
         return known.join(split, "key", "left_semi")
 
     def stars(self, mixed: DataFrame, turn: int) -> DataFrame:
-        """Each member with its bucket's centre: the least member first, then members picked by hash."""
+        """Each member with its bucket's centre, as often as they share one: the least member first, then members picked by hash."""
         order = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
         centres = mixed.groupBy("key").agg(F.min(F.struct(order.alias("o"), F.col("rep").alias("c"), F.col("label").alias("l"))).alias("m")).select("key", "m.c", "m.l")
         rows = mixed.join(centres, "key").where("label <> l")
-        return rows.select(F.col("c").alias("a"), F.col("rep").alias("b")).distinct()
+        return rows.select(F.col("c").alias("a"), F.col("rep").alias("b"))
 
     def rest(self, mixed: DataFrame) -> DataFrame:
         """Links between the components of a bucket, in blocks of bounded size.
@@ -274,7 +278,7 @@ class _Groups:
         close = materialize(close, "close-rows")
         found = self.texts_of(close.select(F.col("rep").alias("doc_id")))
         texts = close.join(found.withColumnRenamed("doc_id", "rep"), "rep").select(*close.columns, "text")
-        return texts.groupBy("key", "i", "j").applyInArrow(_link_block, "a long, b long").distinct()
+        return texts.groupBy("key", "i", "j").applyInArrow(_link_block, "a long, b long")
 
 
 def _merged(labels: DataFrame | None, links: DataFrame, turn: int) -> DataFrame:
@@ -291,27 +295,15 @@ def _merged(labels: DataFrame | None, links: DataFrame, turn: int) -> DataFrame:
     return materialize(joined, f"labels{turn}")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every document of ``docs`` (doc_id, text).
-
-    Sets are the distinct shingles of ``WIDTH`` words after lower-casing A-Z; a text with fewer words is
-    one shingle, one without words (or NULL) has none and no link. Documents are linked if
-    the shared part of their sets is 0.75 of the union or more, confirmed on the full sets. component_id
-    is the smallest doc_id reachable over links, kept marks the document that bears it. Shingles are 64-bit hashes.
-
-    Equal sets are one class before anything else, so copies meet only in sums. Buckets of a band are first
-    compared with one centre each, ``STAR_ROUNDS`` times; a bucket whose members are connected is done. Members
-    of different components in one bucket are then compared by sketch in blocks and verified, so no link
-    between sets that share a bucket is lost. Two sets at 0.75 miss all 32 bands with probability 5e-6.
-
-    Rows that repeat a doc_id count as one document. Rows without doc_id are kept, with a NULL
-    component. An empty table gives an empty result; other columns are ignored.
-    """
+def _grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The table of sketches, with how many rows bear a doc_id, and the result for documents that have one."""
     work = _Groups(docs)
     members = work.members()
     tested, labels = None, None
     for turn in range(STAR_ROUNDS + 1):
-        mixed = materialize(work.mixed(members, labels), f"mixed{turn}")
+        mixed = work.mixed(members, labels)
+        if labels is not None:
+            mixed = materialize(mixed, f"mixed{turn}")
         if not mixed.take(1):
             break
         if turn == STAR_ROUNDS:
@@ -324,15 +316,35 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             links = work.verified(pairs.select("a", "b"), f"links{turn}")
             pairs = pairs.select("lo", "hi")
             tested = pairs if tested is None else tested.union(pairs)
+        if labels is not None:
+            discard(mixed)
         if links.take(1):
             labels = _merged(labels, links, turn)
-        discard(mixed)
     discard(members)
     copies = work.classes.select("d1", "d2", "rep")
     own = work.docs.join(copies, ["d1", "d2"], "left").select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep"))
     if labels is not None:
         own = own.join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("rep", F.coalesce("label", "rep"))
-    result = own.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"), (F.col("doc_id") == F.col("rep")).alias("kept"))
+    return work.docs, own.select("doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"), (F.col("doc_id") == F.col("rep")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every document of ``docs`` (doc_id, text).
+
+    Sets are the distinct shingles of ``WIDTH`` words after lower-casing A-Z; a text with fewer words is
+    one shingle, one without words (or NULL) has none and no link. Documents are linked if
+    the shared part of their sets is 0.75 of the union or more, confirmed on the full sets. component_id
+    is the smallest doc_id reachable over links, kept marks the document that bears it. Shingles are 64-bit hashes.
+
+    Equal sets are one class before anything else, so copies meet only in sums. Buckets of a band are first
+    compared with one centre each, ``STAR_ROUNDS`` times; a bucket whose members are connected is done. Members
+    of different components in one bucket are then compared by sketch in blocks and verified, so no link
+    between sets that share a bucket is lost. Two sets at 0.75 miss all 32 bands with probability 5e-6.
+
+    Rows that repeat a doc_id count as one document. Rows without doc_id are kept, with a NULL
+    component. An empty table gives an empty result; other columns are ignored.
+    """
+    _, result = _grouped(docs)
     loose = docs.where("doc_id IS NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     loose = loose.mapInArrow(_sketch_batches, "doc_id long, n long, d1 long, d2 long, sketch binary")
     return result.unionByName(loose.select("doc_id", F.col("n").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"), F.lit(True).alias("kept")))
@@ -343,9 +355,9 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat a doc_id one stays; rows without doc_id all stay.
     """
-    kept = near_duplicates(docs.select("doc_id", "text")).where("kept AND doc_id IS NOT NULL").select("doc_id")
-    rows = docs.join(kept.withColumnRenamed("doc_id", "__kept"), F.col("doc_id") == F.col("__kept"), "left_semi")
-    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if repeated.take(1):
-        rows = rows.dropDuplicates(["doc_id"])
-    return rows.unionByName(docs.where("doc_id IS NULL"))
+    sketched, result = _grouped(docs.select("doc_id", "text"))
+    copies = materialize(result.where("NOT kept").select(F.col("doc_id").alias("__copy")), "copies")
+    rows = docs.join(F.broadcast(copies) if _few(copies) else copies, F.col("doc_id") == F.col("__copy"), "left_anti")
+    if not sketched.where("rows > 1").take(1):
+        return rows
+    return rows.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).unionByName(rows.where("doc_id IS NULL"))

@@ -72,7 +72,14 @@ def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return starts, np.flatnonzero(stops) + 1, np.searchsorted(offsets, starts, "right") - 1
 
 
-def _powers(n: int, base: int, known={}) -> np.ndarray:  # noqa: B006
+class _Known(dict):
+    """What a process has worked out. Functions go to tasks with their defaults; this goes there empty."""
+
+    def __reduce__(self):
+        return type(self), ()
+
+
+def _powers(n: int, base: int, known=_Known()) -> np.ndarray:  # noqa: B008
     have = known.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, PIECE + 1), base, np.uint64)
