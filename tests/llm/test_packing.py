@@ -107,3 +107,34 @@ def test_spans_give_the_ids_of_whole_texts(texts):
     ids, edges = packing.token_ids(np.frombuffer(b"".join(data), np.uint8), offsets, packing._encoder(packing.VOCABULARY))
     plain = whole_tokenizer()
     assert [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)] == [plain.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+
+
+def test_plain_spans_are_encoded_once_and_without_the_normalizer():
+    encoder = packing.Encoder(packing.VOCABULARY)
+    by_itself, together = [], []
+
+    def watched(tokenizer, seen):
+        class Watched:
+            def encode_batch_fast(self, texts, **options):
+                seen.extend(texts)
+                return tokenizer.encode_batch_fast(texts, **options)
+
+        return Watched()
+
+    encoder.whole, encoder.single = watched(encoder.whole, by_itself), watched(encoder.single, together)
+    text = "Größe 12 größe GRÖSSE ÉTÉ-été l'été a\u0301 × ß<|x|>".encode()
+    for _ in range(2):
+        ids, _ = packing.token_ids(np.frombuffer(text, np.uint8), np.array([0, len(text)]), encoder)
+        assert ids.tolist() == whole_tokenizer().encode(text.decode(), add_special_tokens=False).ids + [0]
+    assert sorted(x for part in together for x in part.split()) == sorted(["größe", "1", "2", "grösse", "été", "-"])
+    assert sorted(by_itself) == sorted(["l'été", "a\u0301", "×", "ß<|x|>"])
+
+
+def test_forgotten_spans_change_no_ids():
+    encoder = packing.Encoder(packing.VOCABULARY, limit=3)
+    for text in ["one two été", "three 4 five's", "one 4 six × seven eight", "", "été two nine", "× one"]:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        ids, _ = packing.token_ids(raw, np.array([0, len(raw)]), encoder)
+        assert ids.tolist() == whole_tokenizer().encode(text, add_special_tokens=False).ids + [0]
+        assert len(encoder.hashes) <= 2 * encoder.limit + 6
+        assert (np.diff(encoder.hashes.astype(object)) > 0).all() and len(encoder.ids) == 1 + encoder.count.sum()

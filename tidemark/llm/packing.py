@@ -11,9 +11,9 @@ follows from counts, so the assignment is arithmetic on every row and nothing is
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,7 +33,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 #: Rounds of multiplicative weights, how far from the best price a configuration may be, and the learning rate.
 ROUNDS, SLACK, RATE = 60, 0.05, 0.5
 #: Spans whose ids a Python worker remembers; others are encoded again, which changes no result.
-REMEMBERED = 100_000
+REMEMBERED = 200_000
 
 _PIECES = "doc_id long, piece int, start long, length long, ids array<int>, ids_crc32 long, unit long, number long"
 
@@ -46,48 +46,104 @@ _SIGN[33:127] = ~_LETTER[33:127] & ~_DIGIT[33:127]
 _SIGN[_APOSTROPHE] = False
 
 
-@functools.lru_cache(maxsize=2)
-def _encoder(path: str):
-    """Ids of spans of text, one byte string of 32-bit ids each.
+class Encoder:
+    """Ids of spans of text. A Python worker remembers them by the spans' hashes: between ``limit`` used lately and twice as many.
 
-    The vocabulary drops white space and never looks across it, so spans can be encoded apart. Printable ASCII spans without
-    apostrophe are single words to it, already in lower case, and skip its normalizer.
+    The vocabulary drops white space and never looks across it, so spans can be encoded apart. Plain spans are single words to it,
+    already in lower case: they skip its normalizer and are encoded together, as the last token of a word says so.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    whole = Tokenizer.from_file(path)
-    single, known = Tokenizer(whole.model), tb.Memory(REMEMBERED)
 
-    def add(tokenizer, words):
-        found = tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        known.lately.update(zip(words, [array("i", one.ids).tobytes() for one in found], strict=True))
+    def __init__(self, path: str, limit: int = REMEMBERED):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.whole, self.limit, self.turn = Tokenizer.from_file(path), limit, 0
+        self.single = Tokenizer(self.whole.model)
+        self.single.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary, suffix = self.whole.get_vocab(with_added_tokens=True), self.whole.model.end_of_word_suffix
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[k for token, k in vocabulary.items() if token.endswith(suffix)]] = True
+        # Of each span remembered, in the order of the hashes: where its ids begin, how many there are, and when it was used last.
+        self.hashes, self.begin = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.count, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.array([END_ID], np.int32)  # END_ID, then the ids of all spans
+
+    def _encoded(self, spans: list[bytes], plain: bool) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Ids of the spans and how many each has, in runs of spans."""
+        ids, counts = [], []
+        for first in range(0, len(spans), 10_000):
+            part = spans[first : first + 10_000]
+            if plain:
+                ids.append(np.array(self.single.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)[0].ids, np.int32))
+                counts.append(np.diff(np.flatnonzero(self.closing[ids[-1]]), prepend=-1))
+                if len(counts[-1]) != len(part):
+                    raise ValueError(f"{len(part)} words have {len(counts[-1])} last tokens")
+            else:
+                found = [e.ids for e in self.whole.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False)]
+                counts.append(np.fromiter(map(len, found), np.int64, len(found)))
+                ids.append(np.fromiter(itertools.chain.from_iterable(found), np.int32, int(counts[-1].sum())))
+        return ids, counts
+
+    def _forget(self) -> None:
+        kept = np.sort(np.argsort(self.used, kind="stable")[-self.limit :])
+        count = self.count[kept]
+        begin = np.cumsum(count) - count
+        at = np.repeat(self.begin[kept] - begin, count) + np.arange(int(count.sum()))
+        self.ids = np.concatenate((self.ids[:1], self.ids[at]))
+        self.hashes, self.begin, self.count, self.used = self.hashes[kept], begin + 1, count, self.used[kept]
+
+    def find(self, hashes: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of spans with these hashes, ascending and distinct, begin in ``ids``, and how many each has."""
+        if len(self.hashes) > 2 * self.limit:
+            self._forget()
+        self.turn += 1
+        at = np.searchsorted(self.hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != hashes[inside]
+        missing = np.flatnonzero(new)
+        ids, counts, order = [self.ids], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for kind in (True, False):
+            some = missing[plain[missing] == kind]
+            more = self._encoded([data[a:b] for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)], kind)
+            ids += more[0]
+            counts += more[1]
+            order.append(some)
+        count, begin = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
+        order, each = np.concatenate(order), np.concatenate(counts)
+        count[order], begin[order] = each, len(self.ids) + np.cumsum(each) - each
+        where = at[missing]
+        self.ids = np.concatenate(ids)
+        self.hashes, self.used = np.insert(self.hashes, where, hashes[missing]), np.insert(self.used, where, 0)
+        self.begin, self.count = np.insert(self.begin, where, begin[missing]), np.insert(self.count, where, count[missing])
+        at += np.cumsum(new) - new
+        self.used[at] = self.turn
+        return self.begin[at], self.count[at]
 
-    def encode(words: list[bytes]) -> list[bytes]:
-        missing = known.missing(words)
-        plain = [w.isascii() and b"'" not in w and b"<|" not in w and w.decode().isprintable() for w in missing]
-        add(single, [w for w, x in zip(missing, plain, strict=True) if x])
-        add(whole, [w for w, x in zip(missing, plain, strict=True) if not x])
-        lately = known.lately
-        return [lately[w] for w in words]
 
-    return encode
+@functools.lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
-def spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes with ASCII spans in lower case, and start, end and row of spans that the vocabulary splits at in any case.
+def spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes with ASCII and plain spans in lower case; start, end and row of spans that the vocabulary splits at in any case; which are plain.
 
-    Words are cut between ASCII letters, digits and signs, and after letters of Latin-1; not beside apostrophes, which may begin
-    an ending of their own, and not in words with ``<|``, which may hold a special token.
+    Words are cut between letters, ASCII digits and signs, where letters are those of ASCII and Latin-1; not beside apostrophes, which
+    may begin an ending of their own, and not in words with ``<|``, which may hold a special token. Plain spans have nothing else in them.
     """
     starts, ends, rows = tb.words(raw, offsets)
     if not len(starts):
-        return raw, starts, ends, rows
+        return raw, starts, ends, rows, np.zeros(0, bool)
     letter, digit, sign = _LETTER[raw], _DIGIT[raw], _SIGN[raw]
-    accented = np.zeros(len(raw), bool)
+    accented, lead = np.zeros(len(raw), bool), np.zeros(len(raw), bool)
     accented[1:] = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] < 0xC0) & (raw[1:] != 0x97) & (raw[1:] != 0xB7)
+    lead[:-1] = accented[1:]
     cut = np.zeros(len(raw), bool)
-    cut[1:] = (letter | accented)[:-1] & (digit | sign)[1:] | digit[:-1] & (letter | digit | sign)[1:] | sign[:-1] & (letter | digit)[1:]
+    opening = letter | lead
+    cut[1:] = (letter | accented)[:-1] & (digit | sign)[1:] | digit[:-1] & (opening | digit | sign)[1:] | sign[:-1] & (opening | digit)[1:]
     marked = np.flatnonzero((raw[:-1] == _LESS) & (raw[1:] == _BAR))
     for k in np.unique(np.searchsorted(starts, marked, "right") - 1).tolist():
         cut[starts[k] : ends[k]] = False
@@ -95,34 +151,33 @@ def spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     begins = np.flatnonzero(cut)
     word = np.searchsorted(starts, begins, "right") - 1
     stops = np.minimum(ends[word], np.append(begins[1:], len(raw)))
+    special = np.isin(word, np.searchsorted(starts, marked, "right") - 1)
+    plain = np.add.reduceat(~(opening | accented | digit | sign | tb.SPACE[raw]), begins, dtype=np.int64) == 0
+    plain &= ~special
     wide = np.add.reduceat(raw >= 128, begins, dtype=np.int64) > 0
-    wide[np.isin(word, np.searchsorted(starts, marked, "right") - 1)] = True
-    lead = int(begins[0])
-    keep = np.concatenate((np.ones(lead, bool), np.repeat(wide, np.diff(np.append(begins, len(raw))))))
-    return np.where(keep, raw, tb.LOWER[raw]), begins, stops, rows[word]
+    wide = (wide | special) & ~plain
+    keep = np.concatenate((np.ones(int(begins[0]), bool), np.repeat(wide, np.diff(np.append(begins, len(raw))))))
+    lower = np.where(accented & (raw < 0x9F), raw + 32, tb.LOWER[raw])
+    return np.where(keep, raw, lower), begins, stops, rows[word], plain
 
 
-def token_ids(raw: np.ndarray, offsets: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
+def token_ids(raw: np.ndarray, offsets: np.ndarray, encode: Encoder) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, each text followed by ``END_ID``, and the offsets of the texts."""
-    raw, starts, ends, rows = spans(raw, offsets)
+    raw, starts, ends, rows, plain = spans(raw, offsets)
     n = len(offsets) - 1
     counts = tb.lengths_by_row(rows, n)
-    _, firsts, places = np.unique(tb.word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-    data = raw.tobytes()
-    ids = encode([data[a:b] for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist(), strict=True)])
-    ids.append(np.array([END_ID], "<i4").tobytes())
-    flat = np.frombuffer(b"".join(ids), "<i4")
-    lengths = np.array([len(x) // 4 for x in ids], np.int64)
-    begins = np.cumsum(lengths) - lengths
+    hashes, firsts, places = np.unique(tb.word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+    begins, lengths = encode.find(hashes, raw.tobytes(), starts[firsts], ends[firsts], plain[firsts])
+    begins, lengths = np.append(begins, 0), np.append(lengths, 1)  # the last is END_ID
     stops = np.cumsum(counts + 1) - 1
-    order = np.full(len(places) + n, len(ids) - 1, np.int64)
+    order = np.full(len(places) + n, len(hashes), np.int64)
     inner = np.ones(len(order), bool)
     inner[stops] = False
     order[inner] = places
     each = lengths[order]
     ahead = np.cumsum(each)
     at = np.repeat(begins[order] - (ahead - each), each) + np.arange(int(each.sum()))
-    return flat[at], np.concatenate(([0], ahead[stops])).astype(np.int64)
+    return encode.ids[at], np.concatenate(([0], ahead[stops])).astype(np.int64)
 
 
 def _piece_batches(path: str, size: int):
