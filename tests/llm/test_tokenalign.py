@@ -108,3 +108,46 @@ def test_product_equals_dense(left, right, block):
     again = np.zeros((5, 6), np.int64)
     again[np.repeat(np.arange(5), np.diff(turned.indptr)), turned.indices] = turned.data
     assert (again == y.T).all()
+
+
+def test_chunks_are_encoded_together_and_met_once():
+    class Watched:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.seen = tokenizer, []
+
+        def encode_batch_fast(self, texts, **options):
+            self.seen.extend(texts)
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    tokenizers = ta.Tokenizers(ta.A_VOCABULARY, ta.B_VOCABULARY)
+    tokenizers.a = Watched(tokenizers.a)
+    memory = ta._Memory(tokenizers)
+    text = " ".join(f"word{k}" for k in range(1000)).encode()
+    first = ta.align_texts(np.frombuffer(text, np.uint8), np.array([0, len(text)]), memory)
+    assert len(tokenizers.a.seen) <= -(-1000 // ta.TOGETHER)
+    again = ta.align_texts(np.frombuffer(text, np.uint8), np.array([0, len(text)]), memory)
+    assert len(tokenizers.a.seen) <= -(-1000 // ta.TOGETHER) and again.digests == first.digests
+
+
+PIECES = [*"ab1 \n\t.,'", "  ", "▁", "é", "日本", "🙂", "\u00a0", "\u3000", "\x1c", "<s>", "<|endoftext|>", "word", "\0", "\ufffd"]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PIECES), max_size=8).map(lambda x: (" " + "".join(x)).encode()), max_size=12))
+def test_texts_encoded_together_have_the_ids_of_each_alone(texts):
+    tokenizers = ta._tokenizers(ta.A_VOCABULARY, ta.B_VOCABULARY)
+    together, alone = tokenizers.encode(texts), [tokenizers.encode([t]) for t in texts]
+    for k, (ids, count, owner) in enumerate(together):
+        assert [x.tolist() for x in np.split(ids, np.cumsum(count))[:-1]] == [one[k][0].tolist() for one in alone]
+        assert owner.tolist() == np.repeat(np.arange(len(texts)), count).tolist()
+
+
+def test_forgotten_chunks_change_no_result():
+    tokenizers = ta._tokenizers(ta.A_VOCABULARY, ta.B_VOCABULARY)
+    small, plenty = ta._Memory(tokenizers, limit=2), ta._Memory(tokenizers)
+    for text in ["one two three", "three four a▁b five six", "one two seven", "x" * 100 + " one", "three four"]:
+        raw = np.frombuffer(text.encode(), np.uint8)
+        a, b = (ta.align_texts(raw, np.array([0, len(raw)]), memory) for memory in (small, plenty))
+        assert a.digests == b.digests and a.pairs.tolist() == b.pairs.tolist() and a.links.data.tolist() == b.links.data.tolist()
+        assert len(small.hashes) <= 4 and len(small.chunks.said) == len(small.hashes)
+    assert len(plenty.hashes) == 8

@@ -112,24 +112,3 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 def lengths_by_row(rows: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(rows, minlength=n).astype(np.int64)
-
-
-class Memory:
-    """What a Python worker remembers of byte strings: those used lately, between ``limit`` and twice as many."""
-
-    def __init__(self, limit: int):
-        self.limit, self.lately, self.before = limit, {}, {}
-
-    def missing(self, keys: list[bytes]) -> list[bytes]:
-        """The keys that are not known; the others count as used."""
-        if len(self.lately) > self.limit:
-            self.lately, self.before = {}, self.lately
-        lately, before, out = self.lately, self.before, []
-        for key in keys:
-            if key not in lately:
-                value = before.get(key)
-                if value is None:
-                    out.append(key)
-                else:
-                    lately[key] = value
-        return out

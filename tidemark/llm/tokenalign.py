@@ -31,8 +31,8 @@ from tidemark.session import materialize
 
 A_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 B_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
-#: Bytes of text of a unit, entries a product expands at a time, and chunks a Python worker remembers.
-UNIT, EXPANDED, REMEMBERED = 2 << 20, 1 << 20, 80_000
+#: Bytes of text of a unit, entries a product expands at a time, chunks a Python worker remembers, and chunks that are encoded together.
+UNIT, EXPANDED, REMEMBERED, TOGETHER = 2 << 20, 1 << 20, 80_000, 64
 _SHIFT = 20  # bits of a B id within a pair
 
 
@@ -119,6 +119,19 @@ def groups_of(shared: Csr) -> tuple[np.ndarray, np.ndarray]:
     return a_group, b_group
 
 
+class Spelling:
+    """The bytes of each id of a vocabulary."""
+
+    def __init__(self, table: list[bytes]):
+        self.raw, self.lengths = np.frombuffer(b"".join(table), np.uint8), np.array([len(x) for x in table], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of these ids in a row."""
+        each = self.lengths[ids]
+        return self.raw[np.repeat(self.begins[ids] - (np.cumsum(each) - each), each) + np.arange(int(each.sum()))]
+
+
 class Tokenizers:
     """Both vocabularies: ids of texts, and the bytes of each id."""
 
@@ -134,10 +147,9 @@ class Tokenizers:
         shown = sorted(x for x in letters if ord(x) < 256)
         byte_of = {x: ord(x) for x in shown} | dict(zip(letters[len(shown) :], (i for i in range(256) if chr(i) not in shown), strict=True))
         size = self.a.get_vocab_size(with_added_tokens=True)
-        self.a_bytes = [bytes(byte_of.get(c, 63) for c in self.a.id_to_token(i) or "") for i in range(size)]
-        self.b_bytes = [self._piece(i) for i in range(self.b.vocab_size())]
-        self.a_length, self.b_length = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
-        self.names = [f"{i}{after}" for after in ",|;" for i in range(max(size, len(self.b_bytes)))]
+        self.a_spelling = Spelling([bytes(byte_of.get(c, 63) for c in self.a.id_to_token(i) or "") for i in range(size)])
+        self.b_spelling = Spelling([self._piece(i) for i in range(self.b.vocab_size())])
+        self.names = [f"{i}{after}" for after in ",|;" for i in range(max(size, self.b.vocab_size()))]
 
     def said(self, a_ids: np.ndarray, a_group: np.ndarray, b_ids: np.ndarray, b_group: np.ndarray) -> list[str]:
         """The tokens of all groups as ``a1,a2|b1;``, a string for each token in order."""
@@ -151,20 +163,54 @@ class Tokenizers:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of texts that begin with a space; both empty where the bytes of either differ from the text."""
-        plain = [x.decode("utf-8", "replace") for x in texts]
-        a = [e.ids for e in self.a.encode_batch_fast(plain, add_special_tokens=False)]
-        b = self.b.encode([x[1:] for x in plain], num_threads=1)
-        whole = b"".join(texts)
-        for ids, table, length in ((a, self.a_bytes, self.a_length), (b, self.b_bytes, self.b_length)):
+    def _come_back(self, raw: np.ndarray, edges: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """Strings lie between ``edges`` and hold texts that stop at ``ends``. Which texts lie in strings that come back from the tokens
+        of both vocabularies, with a token's end at each text's end; and of these, by vocabulary, ids and text of each token."""
+        data = raw.tobytes()
+        plain = [data[x:y].decode("utf-8", "replace") for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+        sizes, string, good, tokens = np.diff(edges), np.searchsorted(edges, ends) - 1, np.ones(len(plain), bool), []
+        for ids, table in (
+            ([e.ids for e in self.a.encode_batch_fast(plain, add_special_tokens=False)], self.a_spelling),
+            (self.b.encode([x[1:] for x in plain], num_threads=1), self.b_spelling),
+        ):
             flat, _, owner = _flat(ids)
-            same = np.bincount(owner, length[flat], len(ids)) == [len(x) for x in texts]
-            if not same.all() or b"".join([table[k] for k in flat.tolist()]) != whole:
-                for i, text in enumerate(texts):
-                    if b"".join([table[k] for k in ids[i]]) != text:
-                        a[i], b[i] = [], []
-        return a, b
+            same = np.bincount(owner, table.lengths[flat], len(plain)) == sizes
+            flat, owner, kept = flat[same[owner]], owner[same[owner]], np.where(same, sizes, 0)
+            stop = np.cumsum(table.lengths[flat]) + (edges[:-1] - (np.cumsum(kept) - kept))[owner]
+            place = np.flatnonzero(np.repeat(same, sizes))
+            same[np.searchsorted(edges, place[table.of(flat) != raw[place]], "right") - 1] = False
+            closed = np.zeros(len(raw) + 1, bool)
+            closed[stop] = True
+            same[string[~closed[ends]]] = False
+            good &= same
+            tokens.append((flat, owner, stop))
+        return good[string], [(flat[good[owner]], np.searchsorted(ends, stop[good[owner]])) for flat, owner, stop in tokens]
+
+    def encode(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each vocabulary: all ids of texts that begin with a space in a row, how many each text has, and the text of each id.
+
+        There are none where the bytes of either vocabulary's tokens differ from the text. Neither looks across a space after another
+        character, so texts are encoded some together and told apart by their bytes; one that does not come back is encoded again by itself.
+        """
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+        raw = np.frombuffer(b"".join(texts), np.uint8)
+        if not len(texts):
+            return [_flat([]), _flat([])]
+        starts = np.concatenate(([0], ends[:-1]))
+        alone = (np.add.reduceat(_other_space(raw), starts, dtype=np.int64) > 0) | tb.SPACE[raw[ends - 1]]
+        opens = alone | (np.arange(len(texts)) % TOGETHER == 0)
+        opens[1:] |= alone[:-1]
+        good, tokens = self._come_back(raw, np.append(starts[opens], len(raw)), ends)
+        again = np.flatnonzero(~good)
+        if len(again):
+            parts = [texts[k] for k in again.tolist()]
+            edges = np.concatenate(([0], np.cumsum([len(x) for x in parts])))
+            _, more = self._come_back(np.frombuffer(b"".join(parts), np.uint8), edges, edges[1:])
+            for k, ((ids, text), (new, place)) in enumerate(zip(tokens, more, strict=True)):
+                text = np.concatenate((text, again[place]))
+                order = np.argsort(text, kind="stable")
+                tokens[k] = np.concatenate((ids, new))[order], text[order]
+        return [(ids, np.bincount(text, minlength=len(texts)), text) for ids, text in tokens]
 
 
 @functools.lru_cache(maxsize=2)
@@ -179,46 +225,75 @@ def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return flat, counts, np.repeat(np.arange(len(ids)), counts)
 
 
-#: Of a chunk: number of ids of A and B and of groups, groups as text, id pairs and the links of each pair as 64-bit numbers.
-Chunk = tuple[int, int, int, str, bytes, bytes]
+@dataclass
+class Chunks:
+    """Aligned texts: of each the number of ids of A and B and of groups, the groups as text, and its id pairs, those of text i
+    being ``pairs[edges[i]:edges[i + 1]]``, with the links of each pair."""
 
+    counts: np.ndarray
+    said: np.ndarray
+    edges: np.ndarray
+    pairs: np.ndarray
+    amounts: np.ndarray
 
-def aligned_chunks(texts: list[bytes], tokenizers: Tokenizers) -> list[Chunk]:
+    @classmethod
+    def joined(cls, parts: list[Chunks]) -> Chunks:
+        width = np.concatenate([np.zeros(1, np.int64), *(np.diff(x.edges) for x in parts)])
+        return cls(
+            np.concatenate([np.zeros((0, 3), np.int64), *(x.counts for x in parts)]), np.concatenate([np.zeros(0, object), *(x.said for x in parts)]), np.cumsum(width),
+            *(np.concatenate([np.zeros(0, np.int64), *(getattr(x, name) for x in parts)]) for name in ("pairs", "amounts")),
+        )
+
+    def take(self, rows: np.ndarray) -> Chunks:
+        width = np.diff(self.edges)[rows]
+        edges = np.concatenate(([0], np.cumsum(width)))
+        at = np.repeat(self.edges[rows] - edges[:-1], width) + np.arange(int(edges[-1]))
+        return Chunks(self.counts[rows], self.said[rows], edges, self.pairs[at], self.amounts[at])
+
+
+def aligned_chunks(texts: list[bytes], tokenizers: Tokenizers) -> Chunks:
     """Groups and links of each text; a text that does not come back from its tokens has none, and an empty group text."""
-    a, b = tokenizers.encode(texts)
-    (a_ids, a_count, a_chunk), (b_ids, b_count, b_chunk) = _flat(a), _flat(b)
-    a_group, b_group = groups_of(overlaps(tokenizers.a_length[a_ids], tokenizers.b_length[b_ids]))
+    (a_ids, a_count, a_chunk), (b_ids, b_count, b_chunk) = tokenizers.encode(texts)
+    a_group, b_group = groups_of(overlaps(tokenizers.a_spelling.lengths[a_ids], tokenizers.b_spelling.lengths[b_ids]))
     groups = int(a_group[-1]) + 1 if len(a_group) else 0
     a_keys, a_row = np.unique(a_chunk << _SHIFT | a_ids, return_inverse=True)
     b_keys, b_row = np.unique(b_chunk << _SHIFT | b_ids, return_inverse=True)
     links = product(Csr.counted(a_row, a_group, len(a_keys), groups), Csr.counted(b_row, b_group, len(b_keys), groups).transposed())
     low = (1 << _SHIFT) - 1
     pairs = np.repeat(a_keys & low, np.diff(links.indptr)) << _SHIFT | b_keys[links.indices] & low
-    edges = (8 * links.indptr[np.searchsorted(a_keys >> _SHIFT, np.arange(len(texts) + 1))]).tolist()
-    pairs, amounts = pairs.tobytes(), links.data.astype(np.int64).tobytes()
+    edges = links.indptr[np.searchsorted(a_keys >> _SHIFT, np.arange(len(texts) + 1))]
     firsts = np.searchsorted(a_group, np.arange(groups))
-    owner = np.searchsorted(a_chunk[firsts] if groups else firsts, np.arange(len(texts) + 1)).tolist()
-    said, ends = tokenizers.said(a_ids, a_group, b_ids, b_group), np.concatenate(([0], np.cumsum(a_count + b_count))).tolist()
-    return [
-        (x, y, owner[i + 1] - owner[i], "".join(said[ends[i] : ends[i + 1]])[:-1], pairs[edges[i] : edges[i + 1]], amounts[edges[i] : edges[i + 1]])
-        for i, (x, y) in enumerate(zip(a_count.tolist(), b_count.tolist(), strict=True))
-    ]
+    counts = np.stack((a_count, b_count, np.bincount(a_chunk[firsts] if groups else firsts, minlength=len(texts))), axis=1)
+    tokens, ends = tokenizers.said(a_ids, a_group, b_ids, b_group), np.concatenate(([0], np.cumsum(a_count + b_count))).tolist()
+    said = np.array(["".join(tokens[x:y])[:-1] for x, y in itertools.pairwise(ends)], object)
+    return Chunks(counts, said, edges, pairs, links.data.astype(np.int64))
 
 
 class _Memory:
-    """Chunks aligned so far in this Python worker."""
-
-    def __init__(self, tokenizers: Tokenizers):
-        self.tokenizers, self.known = tokenizers, tb.Memory(REMEMBERED)
-
-    def of(self, texts: list[bytes]) -> list[Chunk]:
-        new = self.known.missing(texts)
-        here, long = self.known.lately, {}
-        for first in range(0, len(new), 10_000):
-            part = new[first : first + 10_000]
-            for text, chunk in zip(part, aligned_chunks(part, self.tokenizers), strict=True):
-                (here if len(text) <= 64 else long)[text] = chunk
-        return [here[x] if x in here else long[x] for x in texts]
+    """Chunks aligned in this Python worker by their hashes, in order: those used lately, between ``limit`` and twice as many."""
+
+    def __init__(self, tokenizers: Tokenizers, limit: int = REMEMBERED):
+        self.tokenizers, self.limit, self.turn = tokenizers, limit, 0
+        self.hashes, self.used, self.chunks = np.zeros(0, np.uint64), np.zeros(0, np.int64), Chunks.joined([])
+
+    def of(self, hashes: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray) -> Chunks:
+        """The chunks with these hashes, ascending and distinct, that lie in ``data``."""
+        have, self.turn = len(self.hashes), self.turn + 1
+        at = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = at < have
+        known[inside] = self.hashes[at[inside]] == hashes[inside]
+        self.used[at[known]] = self.turn
+        new = np.flatnonzero(~known)
+        at[new] = have + np.arange(len(new))
+        texts = [data[x:y] for x, y in zip(starts[new].tolist(), ends[new].tolist(), strict=True)]
+        both = Chunks.joined([self.chunks, *(aligned_chunks(texts[k : k + 10_000], self.tokenizers) for k in range(0, len(texts), 10_000))])
+        short = new[(ends - starts)[new] <= 64]
+        keys, used = np.concatenate((self.hashes, hashes[short])), np.concatenate((self.used, np.full(len(short), self.turn)))
+        kept = np.argsort(used, kind="stable")[-self.limit if len(used) > 2 * self.limit else 0 :]
+        kept = kept[np.argsort(keys[kept], kind="stable")]
+        self.hashes, self.used, self.chunks = keys[kept], used[kept], both.take(np.concatenate((np.arange(have), at[short]))[kept])
+        return both.take(at)
 
 
 @functools.lru_cache(maxsize=2)
@@ -273,25 +348,23 @@ class Unit:
 def align_texts(raw: np.ndarray, offsets: np.ndarray, memory: _Memory) -> Unit:
     n = len(offsets) - 1
     spaced, starts, ends, rows = chunked(raw, offsets)
-    _, firsts, places = np.unique(tb.span_hashes(spaced, starts, ends), return_index=True, return_inverse=True)
-    data = spaced.tobytes()
-    chunks = memory.of([data[x:y] for x, y in zip(starts[firsts].tolist(), ends[firsts].tolist(), strict=True)])
-    broken = np.array([not c[0] for c in chunks], bool)
+    hashes, firsts, places = np.unique(tb.span_hashes(spaced, starts, ends), return_index=True, return_inverse=True)
+    chunks = memory.of(hashes, spaced.tobytes(), starts[firsts], ends[firsts])
+    broken = chunks.counts[:, 0] == 0
     good = np.ones(n, bool)
     good[rows[broken[places]]] = False
     kept = good[rows]
     rows, places = rows[kept], places[kept]
-    counts = [np.bincount(rows, np.array([c[k] for c in chunks], np.int64)[places], n).astype(np.int64) for k in range(3)]
-    said, edges = [c[3] for c in chunks], np.searchsorted(rows, np.arange(n + 1)).tolist()
+    counts = [np.bincount(rows, chunks.counts[places, k], n).astype(np.int64) for k in range(3)]
+    said, edges = chunks.said.tolist(), np.searchsorted(rows, np.arange(n + 1)).tolist()
     order = places.tolist()
     digests = [
         hashlib.sha256(";".join([said[k] for k in order[a:b]]).encode()).hexdigest() if a < b else ""
         for a, b in zip(edges[:-1], edges[1:], strict=True)
     ]
-    pairs, columns = np.unique(np.frombuffer(b"".join([c[4] for c in chunks]), np.int64), return_inverse=True)
-    width = np.concatenate(([0], np.cumsum([len(c[4]) // 8 for c in chunks]))).astype(np.int64)
-    by_chunk = Csr(width, columns, np.frombuffer(b"".join([c[5] for c in chunks]), np.int64), len(pairs))
-    links = product(Csr.counted(rows, places, n, len(chunks)), by_chunk)
+    pairs, columns = np.unique(chunks.pairs, return_inverse=True)
+    by_chunk = Csr(chunks.edges, columns, chunks.amounts, len(pairs))
+    links = product(Csr.counted(rows, places, n, len(hashes)), by_chunk)
     return Unit(*counts, digests, pairs, links)
 
 
@@ -387,10 +460,10 @@ def aligned_tokens(docs: DataFrame, a_vocabulary: str = A_VOCABULARY, b_vocabula
         for batch in batches:
             for row, text in enumerate(batch.column(1)):
                 text = (text.as_py() or "").encode("utf-8", "replace")
-                a, b = tokenizers.encode([b" " + text]) if text else ([[]], [[]])
-                shared = overlaps(tokenizers.a_length[np.array(a[0], np.int64)], tokenizers.b_length[np.array(b[0], np.int64)])
+                (a, _, _), (b, _, _) = tokenizers.encode([b" " + text] if text else [])
+                shared = overlaps(tokenizers.a_spelling.lengths[a], tokenizers.b_spelling.lengths[b])
                 token = np.repeat(np.arange(shared.rows), np.diff(shared.indptr))
-                values = [a[0], b[0], *groups_of(shared), token, shared.indices, shared.data]
+                values = [a, b, *groups_of(shared), token, shared.indices, shared.data]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, 1), *(pa.array([np.asarray(v, np.int32)], pa.list_(pa.int32())) for v in values)],
                     names=["doc_id", "a_ids", "b_ids", "a_group", "b_group", "a_token", "b_token", "shared_bytes"],
