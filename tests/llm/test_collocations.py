@@ -3,6 +3,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -95,3 +96,31 @@ def test_sql_says_the_same():
     given_rows = [(["en", None][i % 2], " ".join(rng.choice(WORDS, 60))) for i in range(300)]
     con.executemany("INSERT INTO documents VALUES (?, ?)", given_rows)
     assert sorted(con.execute(co.COLLOCATIONS_SQL).fetchall()) == plain(given_rows, 30, 2000)
+
+
+def test_batches_to_spark_are_bounded(monkeypatch):
+    monkeypatch.setattr(co, "SENT", 50)
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(-1, 40, 2000).astype(np.int32)
+    unit = pa.table({"unit": [0], "token": pa.array([tokens], pa.list_(pa.int32()))})
+    answers = pa.table({"asking": [0] * 40, "at": range(40), "id": pa.array(range(40), pa.int32()), "total": [co.HEAVY + 1] * 40})
+    routed = co._route_unit(30)(unit, answers)
+    words, number = co.suffixes(tokens)
+    assert routed.num_rows > 30 and sum(len(x) for x in routed["n"]) == len(number)
+    assert all(b.num_rows == 1 or len(b.column("n").flatten()) <= 50 for b in routed.to_batches())
+    four = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([4]), pa.array([words.T.reshape(-1)]), pa.array([number])], names=["route", "whole", "suffix", "n"])
+    found = list(co._count_route(1)(iter([four, four])))
+    assert len(found) > 1 and all(b.num_rows <= 50 for b in found)
+    got = {tuple(w): n for b in found for *w, n in zip(*(c.to_pylist() for c in b.columns), strict=True)}
+    wanted = co.sorted_counts(words, 2 * number, 1, 4)
+    assert got == dict(zip(map(tuple, wanted[0].T.tolist()), wanted[1].tolist(), strict=True))
+
+
+def test_a_unit_is_looked_at_in_parts(monkeypatch):
+    texts = pa.array(["the Cat. the cat", None, "", "a cat, the end " * 40, "The END"])
+    code = np.array([0, 1, 0, 1, 1], np.uint64)
+    whole = co._unit_words(texts, code)
+    monkeypatch.setattr(co.tb.pieces, "__defaults__", (10,))
+    parts = co._unit_words(texts, code)
+    assert [x if isinstance(x, list) else x.tolist() for x in parts] == [x if isinstance(x, list) else x.tolist() for x in whole]
+    assert whole[2].sum() == (whole[3] >= 0).sum() == 4 + 160 + 2

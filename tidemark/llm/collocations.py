@@ -12,6 +12,7 @@ Equal suffixes of a unit of texts travel once, with their number.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,14 +23,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import textbytes as tb
-from tidemark.session import materialize
+from tidemark.session import arrow_batches, materialize
 
 DEPTH, LEAST, TOP = 4, 30, 2000
 #: A phrase goes if a longer one around it has so many of each hundred of its occurrences.
 COVERED = 80
 SCALE = 2_000_000
-#: Bytes of text of a unit, training words for each route, occurrences from which leading words are routed deeper.
-UNIT, ROUTE, HEAVY = 8 << 20, 1 << 20, 1 << 20
+#: Bytes of text of a unit, training words for each route, occurrences from which leading words are routed deeper, rows of a batch to Spark.
+UNIT, ROUTE, HEAVY, SENT = 8 << 20, 1 << 19, 1 << 20, 1 << 16
+#: Units of a stored file: Spark reads and writes up to thousands of rows of a file at once.
+FILE_UNITS = 2
 NO_LANGUAGE = "und"
 
 _BREAK = np.zeros(256, bool)
@@ -39,6 +42,7 @@ _BETWEEN[[9, 32]] = True
 
 _UNIT = "unit long, lang array<string>, word array<string>, n array<long>, token array<int>"
 _SUFFIXES = "route int, whole int, suffix array<int>, n array<long>"
+_ROUTED = pa.schema([("route", pa.int32()), ("whole", pa.int32()), ("suffix", pa.list_(pa.int32())), ("n", pa.list_(pa.int64()))])
 _PHRASES = "w0 int, w1 int, w2 int, w3 int, n long"
 
 
@@ -61,23 +65,47 @@ def piece_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, np.flatnonzero(stops) + 1, rows, first
 
 
+def _unit_words(texts: pa.Array, code: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+    """Language code, bytes and number of the different words of some texts, and the places of all words, -1 before each piece.
+
+    About ``tb.PIECE`` bytes are looked at together: only a place for each word is kept of the whole.
+    """
+    keys, langs, words, counts, tokens = [], [], [], [], []
+    for first, last, raw, offsets in tb.pieces(texts):
+        data = raw.tobytes().lower()  # A-Z only
+        raw = np.frombuffer(data, np.uint8)
+        starts, ends, rows, opening = piece_words(raw, offsets)
+        its = code[first:last][rows]
+        found, firsts, places, number = np.unique(
+            tb.span_hashes(raw, starts, ends) ^ tb.mix(its + np.uint64(1)), return_index=True, return_inverse=True, return_counts=True
+        )
+        token = np.full(len(places) + int(opening.sum()), -1, np.int32)
+        token[np.arange(len(places)) + np.cumsum(opening)] = places
+        keys.append(found)
+        langs.append(its[firsts])
+        words += [data[a:b] for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist(), strict=True)]
+        counts.append(number)
+        tokens.append(token)
+    _, firsts, places = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.zeros(len(firsts), np.int64)
+    np.add.at(total, places, np.concatenate(counts))
+    ahead = 0
+    for found, token in zip(keys, tokens, strict=True):
+        at = np.flatnonzero(token >= 0)
+        token[at] = places[ahead + token[at]]
+        ahead += len(found)
+    return np.concatenate(langs)[firsts], [words[k] for k in firsts.tolist()], total, np.concatenate(tokens)
+
+
 def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Units of whole texts: their words by language, with counts, and the places of all words, -1 before each piece."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         langs = pc.dictionary_encode(batch.column(0).fill_null(NO_LANGUAGE))
         names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy().astype(np.uint64)
-        for first, last, raw, offsets in tb.pieces(batch.column(1), UNIT):
-            raw = tb.LOWER[raw]
-            starts, ends, rows, opening = piece_words(raw, offsets)
-            code = codes[first:last][rows]
-            keys = tb.span_hashes(raw, starts, ends) ^ tb.mix(code + np.uint64(1))
-            _, firsts, places, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-            data = raw.tobytes()
-            words = [data[a:b] for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist(), strict=True)]
-            spoken = [names[k] for k in code[firsts].tolist()]
-            tokens = np.full(len(places) + int(opening.sum()), -1, np.int32)
-            tokens[np.arange(len(places)) + np.cumsum(opening)] = places
+        for first, last, _, _ in tb.pieces(batch.column(1), UNIT):
+            code, words, counts, tokens = _unit_words(batch.column(1).slice(first, last - first), codes[first:last])
+            spoken = [names[k] for k in code.tolist()]
             lists = (pa.array(spoken, pa.string()), pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts), pa.array(tokens))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([number]), *(pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists)],
@@ -108,33 +136,39 @@ def _route_unit(parts: int):
         ids, counts = np.full(size, -1, np.int32), np.zeros(size, np.int64)
         at = answers.column("at").to_numpy()
         ids[at], counts[at] = answers.column("id").to_numpy(), answers.column("total").to_numpy()
-        known = np.where(body < 0, -1, ids[body])
-        words, number = suffixes(known)
+        words, number = suffixes(np.where(body < 0, -1, ids[body]))
         order = np.argsort(ids, kind="stable")
-        rank = np.searchsorted(ids[order], words)
-        total = np.where(words < 0, 0, counts[order][np.minimum(rank, size - 1)])
-        low = np.minimum.accumulate(total, axis=0)
-        whole = 2 + (low[1] > HEAVY).astype(np.int64) + ((low[1] > HEAVY) & (low[2] > HEAVY))
+        by_id, totals = ids[order], counts[order]
+
+        def total(column: np.ndarray) -> np.ndarray:
+            return np.where(column < 0, 0, totals[np.minimum(np.searchsorted(by_id, column), size - 1)])
+
+        low = np.minimum(total(words[0]), total(words[1]))
+        whole = 2 + (low > HEAVY).astype(np.int64) + (np.minimum(low, total(words[2])) > HEAVY)
         key = tb.mix(words[0].astype(np.uint64) << np.uint64(32) | words[1].astype(np.uint64))
         for k in (2, 3):
             key = np.where(whole > k, tb.mix(key ^ (words[k].astype(np.int64) + k * (1 << 40)).astype(np.uint64)), key)
-        route = (key % np.uint64(parts)).astype(np.int64)
-        kind = route * 8 + whole
+        kind = (key % np.uint64(parts)).astype(np.int64) * 8 + whole
         order = np.argsort(kind, kind="stable")
         edges = np.append(np.flatnonzero(np.diff(kind[order], prepend=-1)), len(order))
         heads = kind[order][edges[:-1]]
-        flat = np.ascontiguousarray(words[:, order].T).reshape(-1)
-        return pa.table({
-            "route": pa.array((heads // 8).astype(np.int32)), "whole": pa.array((heads % 8).astype(np.int32)),
-            "suffix": pa.ListArray.from_arrays(pa.array((edges * DEPTH).astype(np.int32)), pa.array(flat)),
-            "n": pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(number[order])),
-        })
+        batches, first = [], 0
+        while first < len(heads):  # a batch of about SENT suffixes, so nothing between here and Spark holds all of them again
+            last = max(int(np.searchsorted(edges, edges[first] + SENT, "right")) - 1, first + 1)
+            chosen, inner = order[edges[first] : edges[last]], edges[first : last + 1] - edges[first]
+            batches.append(pa.RecordBatch.from_arrays([
+                pa.array((heads[first:last] // 8).astype(np.int32)), pa.array((heads[first:last] % 8).astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array((inner * DEPTH).astype(np.int32)), pa.array(np.ascontiguousarray(words[:, chosen].T).reshape(-1))),
+                pa.ListArray.from_arrays(pa.array(inner.astype(np.int32)), pa.array(number[chosen])),
+            ], schema=_ROUTED))
+            first = last
+        return pa.Table.from_batches(batches, _ROUTED)
 
     return run
 
 
-def sorted_counts(words: np.ndarray, number: np.ndarray, least: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases of two and more words among suffixes, a column each with -1 after its end, and their counts.
+def sorted_pieces(words: np.ndarray, number: np.ndarray, least: int, whole: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Phrases of two and more words among suffixes, a column each with -1 after its end, and their counts, as they are found.
 
     Multikey three-way quicksort of pointers, all open partitions at once: a partition whose suffixes agree in ``deep`` words is split by the
     next word into less, equal and greater than the median of three; the equal part agrees in one word more and is a phrase. Phrases of
@@ -144,7 +178,6 @@ def sorted_counts(words: np.ndarray, number: np.ndarray, least: int, whole: int)
     depth, n = words.shape
     pointer = np.arange(n)
     start, size, deep = np.zeros(min(n, 1), np.int64), np.full(min(n, 1), n), np.zeros(min(n, 1), np.int64)
-    found, counts = [np.zeros((depth, 0), words.dtype)], [np.zeros(0, np.int64)]
     while len(start):
         part = np.repeat(np.arange(len(start)), size)
         base = np.cumsum(size) - size
@@ -170,26 +203,39 @@ def sorted_counts(words: np.ndarray, number: np.ndarray, least: int, whole: int)
         if phrase.any():
             taken = words[:, pointer[s1[phrase]]].copy()
             taken[np.arange(depth)[:, None] >= more[phrase]] = -1
-            found.append(taken)
-            counts.append(w1[phrase])
+            yield taken, w1[phrase]
         open_sides = [(n > 0) & ((w >= least) | (np.maximum(more, 2) < whole)) for n, w in ((n0, w0), (n2, w2))]
         open_equal = (pivot >= 0) & (more < depth) & ((w1 >= least) | (np.maximum(more + 1, 2) < whole))
         start = np.concatenate((s0[open_sides[0]], s1[open_equal], s2[open_sides[1]]))
         size = np.concatenate((n0[open_sides[0]], n1[open_equal], n2[open_sides[1]]))
         deep = np.concatenate((deep[open_sides[0]], more[open_equal], deep[open_sides[1]]))
-    return np.concatenate(found, axis=1), np.concatenate(counts)
+
+
+def sorted_counts(words: np.ndarray, number: np.ndarray, least: int, whole: int) -> tuple[np.ndarray, np.ndarray]:
+    """All of ``sorted_pieces``."""
+    found = [(words[:, :0], np.zeros(0, np.int64)), *sorted_pieces(words, number, least, whole)]
+    return np.concatenate([x for x, _ in found], axis=1), np.concatenate([x for _, x in found])
 
 
 def _count_route(least: int):
-    def run(table: pa.Table) -> pa.Table:
-        kinds = table.column("whole").to_numpy()
-        out = []
-        for whole in np.unique(kinds).tolist():
-            rows = table.filter(pa.array(kinds == whole))
-            words = rows.column("suffix").combine_chunks().flatten().to_numpy().reshape(-1, DEPTH).T
-            out.append(sorted_counts(np.ascontiguousarray(words), rows.column("n").combine_chunks().flatten().to_numpy(), least, whole))
-        words, counts = np.concatenate([x for x, _ in out], axis=1), np.concatenate([x for _, x in out])
-        return pa.table({**{f"w{k}": pa.array(words[k].astype(np.int32)) for k in range(DEPTH)}, "n": pa.array(counts)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole, flat, number = 2, [], []
+        for batch in batches:  # one kind in a group
+            whole = batch.column("whole")[0].as_py()
+            flat.append(batch.column("suffix").flatten().to_numpy())
+            number.append(batch.column("n").flatten().to_numpy())
+        words, number = np.concatenate(flat).reshape(-1, DEPTH).T, np.concatenate(number)
+        flat.clear()
+        found, held = [], 0
+        for piece in itertools.chain(sorted_pieces(words, number, least, whole), [None]):
+            if piece is not None:
+                found.append(piece)
+                held += len(piece[1])
+            if held >= SENT or held and piece is None:
+                columns = [*np.concatenate([x for x, _ in found], axis=1).astype(np.int32), np.concatenate([x for _, x in found])]
+                found, held = [], 0
+                for first in range(0, len(columns[0]), SENT):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[first : first + SENT]) for x in columns], names=["w0", "w1", "w2", "w3", "n"])
 
     return run
 
@@ -208,7 +254,8 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     """(words, id, a) of the phrases of two to four words with ``least`` occurrences, (id, lang, word, total) of the
     words with as many, and (lang, n) of all. words are the ids of a phrase in order."""
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    units = materialize(rows.mapInArrow(_unit_batches, _UNIT), "phrase-units")
+    with arrow_batches(docs.sparkSession, UNIT):
+        units = materialize(rows.mapInArrow(_unit_batches, _UNIT), "phrase-units", file_rows=FILE_UNITS)
     listed = units.select("unit", F.posexplode(F.arrays_zip("lang", "word", "n")).alias("at", "x")).select("unit", "at", "x.*")
     counts = materialize(listed.groupBy("lang", "word").agg(F.sum("n").alias("total")), "word-totals")
     sizes = counts.groupBy("lang").agg(F.sum("total").alias("n"))
@@ -217,10 +264,12 @@ def phrase_counts(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     asked = listed.select(F.col("unit").alias("asking"), "at", F.col("lang").alias("its"), F.col("word").alias("own"))
     answers = asked.join(words, (F.col("its") == F.col("lang")) & (F.col("own") == F.col("word"))).select("asking", "at", "id", "total")
     routed = units.select("unit", "token").groupBy("unit").cogroup(answers.groupBy("asking")).applyInArrow(_route_unit(parts), _SUFFIXES)
-    found = routed.groupBy("route").applyInArrow(_count_route(least), _PHRASES)
+    found = routed.groupBy("route", "whole").applyInArrow(_count_route(least), _PHRASES)
     found = found.groupBy("w0", "w1", "w2", "w3").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     numbers = F.filter(F.array("w0", "w1", "w2", "w3"), lambda w: w >= 0)
-    return materialize(found.select(numbers.alias("words"), F.col("w0").alias("id"), "a"), "phrases"), words, sizes
+    with arrow_batches(docs.sparkSession, UNIT):
+        phrases = materialize(found.select(numbers.alias("words"), F.col("w0").alias("id"), "a"), "phrases")
+    return phrases, words, sizes
 
 
 def scored_phrases(phrases: DataFrame, words: DataFrame, covered: int = COVERED) -> DataFrame:
