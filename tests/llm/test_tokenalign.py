@@ -6,9 +6,11 @@ import pyarrow.parquet as pq
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import tokenalign as ta
+from tidemark.session import ARROW_BYTES_CONF, materialize
 
 TEXTS = [
     None, "", " ", "  two  spaces  ", "plain words here", "tabs\tand\nlines\n\n  end \n", "no break   x   y", "日本語のテキスト です", "a▁b c", "<s> </s> <0x0A> <unk>",
@@ -151,3 +153,20 @@ def test_forgotten_chunks_change_no_result():
         assert a.digests == b.digests and a.pairs.tolist() == b.pairs.tolist() and a.links.data.tolist() == b.links.data.tolist()
         assert len(small.hashes) <= 4 and len(small.chunks.said) == len(small.hashes)
     assert len(plenty.hashes) == 8
+
+
+def test_units_are_met_in_small_batches_and_files(spark, monkeypatch):
+    seen = {}
+
+    def kept(df, label, **options):
+        out = materialize(df, label, **options)
+        most = out.groupBy(F.input_file_name()).count().agg(F.max("count")).first()[0]
+        seen[label] = spark.conf.get(ARROW_BYTES_CONF, None), out.count(), most
+        return out
+
+    monkeypatch.setattr(ta, "materialize", kept)
+    monkeypatch.setattr(ta, "UNIT", 1000)
+    docs = spark.createDataFrame([(k, f"word{k} and more words " * 20) for k in range(100)], "doc_id long, text string").coalesce(1)
+    assert ta.align_documents(docs).count() == 100
+    size, units, most = seen["aligned"]
+    assert size == "2000b" and units > ta.FILE_UNITS and most <= ta.FILE_UNITS

@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import textbytes as tb
-from tidemark.session import materialize
+from tidemark.session import arrow_batches, materialize
 
 A_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 B_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 #: Bytes of text of a unit, entries a product expands at a time, chunks a Python worker remembers, and chunks that are encoded together.
-UNIT, EXPANDED, REMEMBERED, TOGETHER = 2 << 20, 1 << 20, 80_000, 64
+UNIT, EXPANDED, REMEMBERED, TOGETHER = 1 << 20, 1 << 18, 80_000, 64
+#: Units of a stored file: Spark reads and writes up to thousands of rows of a file at once.
+FILE_UNITS = 8
 _SHIFT = 20  # bits of a B id within a pair
 
 
@@ -324,7 +326,8 @@ def chunked(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     begins = np.cumsum(lengths[rows] + 1) - (lengths[rows] + 1)
     cut = np.zeros(len(spaced), bool)
     if len(spaced):
-        cut[1:] = (spaced[1:] == 32) & ~tb.SPACE[spaced[:-1]]
+        before = spaced[:-1]
+        cut[1:] = (spaced[1:] == 32) & (before != 32) & ((before < 9) | (before > 13))
         odd = np.add.reduceat(_other_space(spaced), begins, dtype=np.int64) > 0
         cut &= np.repeat(~odd, lengths[rows] + 1)
         cut[begins + lengths[rows]] = False
@@ -438,7 +441,8 @@ def align_documents(docs: DataFrame, a_vocabulary: str = A_VOCABULARY, b_vocabul
     other columns are ignored. Whole texts are read; a long text is a unit of its own.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    units = materialize(rows.mapInArrow(_unit_batches(a_vocabulary, b_vocabulary), _UNIT), "aligned")
+    with arrow_batches(docs.sparkSession, 2 * UNIT):
+        units = materialize(rows.mapInArrow(_unit_batches(a_vocabulary, b_vocabulary), _UNIT), "aligned", file_rows=FILE_UNITS)
     asked = units.select(F.col("unit").alias("asking"), F.posexplode("pair").alias("at", "pair"))
     answers = asked.join(pair_counts(units), "pair").select("asking", "at", "count", "best")
     bodies = units.drop("pair", "n")
